@@ -1 +1,108 @@
-"""Queries (filled in below)."""
+"""Queries for threshold tuning (card E: rule sets 1 and 2, U1, J3, W1, F21, P9; J4, F22).
+
+Fixture centres carry DS/WS/MP prefixes, so rule set 2 (production prefix
+``PRD`` in the reference) is run with ``centre_prefix="DS"``. The notification
+report of rule set 1 is the threshold summary view, which has no ``when``
+column, so its condition test is skipped (``cond=None``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from jobscope.operators import tuning as TU
+from jobscope.plans.registry import register
+from jobscope.sources.fixtures import AS_OF_EVENTS, Estate
+
+AS_OF = AS_OF_EVENTS
+
+RULES1_SQL = """
+r AS (SELECT server_name, folder_name, job_name, notification_time FROM fx_shout_sum),
+j AS (SELECT r.*, s.media_s FROM r JOIN fx_stat s ON r.server_name = s.datacenter AND r.job_name = s.jobname WHERE s.media_s IS NOT NULL),
+rules1 AS (
+ SELECT 11 AS rule_no, server_name, folder_name, job_name, media_s, notification_time, NULL::VARCHAR AS urgency, NULL::VARCHAR AS message, '+03%' AS valor_correto
+   FROM j WHERE starts_with(server_name, 'DS') AND media_s >= 1800 AND notification_time <> '>35' AND notification_time <> '>035'
+ UNION ALL SELECT 12, server_name, folder_name, job_name, media_s, notification_time, NULL, NULL, '+070%'
+   FROM j WHERE starts_with(server_name, 'DS') AND media_s >= 3000 AND notification_time <> '+070%'
+ UNION ALL SELECT 13, server_name, folder_name, job_name, media_s, notification_time, NULL, NULL, concat('=', CAST(CAST(floor((media_s * 1.5 + 1800) / 60) AS BIGINT) AS VARCHAR))
+   FROM j WHERE starts_with(server_name, 'DS') AND media_s >= 5400 AND notification_time NOT LIKE '=%'
+ UNION ALL SELECT 14, server_name, folder_name, job_name, media_s, notification_time, NULL, NULL, concat('=', CAST(CAST(floor((media_s * 1.5 + 1800) / 60) AS BIGINT) AS VARCHAR))
+   FROM j WHERE server_name = 'OS' AND media_s >= 3600 AND notification_time LIKE '%>%')"""
+
+RULES2_SQL = """
+base AS (SELECT t.data_center AS server_name, t.sched_table AS folder_name, trim(jb.job_name) AS job_name, s.when_cond,
+           s.shout_time AS notification_time, s.urgency, s.message
+         FROM fx_shout s JOIN fx_def_job jb ON s.table_id = jb.table_id AND s.job_id = jb.job_id
+         JOIN fx_def_table t ON s.table_id = t.table_id WHERE starts_with(t.data_center, 'DS')),
+ws AS (SELECT base.*, st.media_s FROM base JOIN fx_stat st ON base.server_name = st.datacenter AND base.job_name = st.jobname WHERE st.media_s IS NOT NULL),
+rules2 AS (
+ SELECT 21 AS rule_no, server_name, folder_name, job_name, media_s, notification_time, urgency, message, '+03%' AS valor_correto
+   FROM ws WHERE when_cond = 'EXECUTING' AND media_s >= 1800 AND notification_time >= '+03%' AND notification_time <> '+070%'
+ UNION ALL SELECT 22, server_name, folder_name, job_name, media_s, notification_time, urgency, message, '+070%'
+   FROM ws WHERE when_cond = 'EXECUTING' AND media_s >= 3000 AND notification_time >= '+070%' AND notification_time <> '+03%'
+ UNION ALL SELECT 23, server_name, folder_name, job_name, CAST(0 AS BIGINT), notification_time, urgency, message, 'OK'
+   FROM base WHERE when_cond = 'NOTOK')"""
+
+
+def _rules1(E):
+    return TU.report_rules(E.shout_sum.drop("media_s"), E.stat, centre_prefix="DS", cond=None)
+
+
+def _rules2(E):
+    return TU.definition_rules(E.shout, E.def_job, E.def_table, E.stat, centre_prefix="DS")
+
+
+@register("e1_u1_report_threshold_rules", sql=f"WITH {RULES1_SQL}\nSELECT * FROM rules1", views=("fx_shout_sum", "fx_stat"))
+def q_rules1(spark, sf):
+    return _rules1(Estate(spark, sf))
+
+
+@register("e2_j1_definition_threshold_rules", sql=f"WITH {RULES2_SQL}\nSELECT * FROM rules2",
+          views=("fx_shout", "fx_def_job", "fx_def_table", "fx_stat"))
+def q_rules2(spark, sf):
+    return _rules2(Estate(spark, sf))
+
+
+@register("e3_threshold_summary_final", sql=f"""
+WITH {RULES1_SQL}, {RULES2_SQL},
+c AS (SELECT * FROM rules1 UNION ALL SELECT * FROM rules2),
+f AS (SELECT c.*, CASE WHEN c.valor_correto <> 'OK' THEN (SELECT max(e.end_time) FROM fx_exec e WHERE e.data_center = c.server_name
+        AND e.sched_table = c.folder_name AND e.job_name = c.job_name) END AS end_time FROM c),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY server_name, folder_name, job_name, notification_time
+        ORDER BY rule_no NULLS FIRST, media_s NULLS FIRST, urgency NULLS FIRST, message NULLS FIRST, valor_correto NULLS FIRST, end_time NULLS FIRST) AS rn FROM f) t WHERE rn = 1),
+x AS (SELECT rule_no, server_name, folder_name, job_name, media_s, notification_time, urgency, message, end_time,
+        CASE WHEN TRY_CAST(replace(valor_correto, '%', '') AS BIGINT) > 999 THEN '+30%' ELSE valor_correto END AS valor_correto FROM k)
+SELECT * FROM x WHERE NOT coalesce(valor_correto = notification_time, false)""",
+          views=("fx_shout_sum", "fx_stat", "fx_shout", "fx_def_job", "fx_def_table", "fx_exec"))
+def q_summary(spark, sf):
+    E = Estate(spark, sf)
+    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.exec)
+
+
+@register("j4_model_executions", sql=f"""
+SELECT e.data_center, s.job_name, e.start_time, e.end_time, e.runtime_s FROM fx_exec e
+JOIN fx_shout_sum s ON e.data_center = s.server_name AND e.job_name = s.job_name AND e.sched_table = s.folder_name
+WHERE e.completion_status = 'Ended OK' AND starts_with(e.data_center, 'DS') AND e.start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 60 DAY""",
+          views=("fx_exec", "fx_shout_sum"))
+def q_model(spark, sf):
+    E = Estate(spark, sf)
+    return TU.model_executions(E.exec, E.shout_sum, AS_OF, 60, "DS")
+
+
+@register("j4_f22_model_executions_jittered")
+def q_model_jitter(spark, sf):
+    """Rows-only: run times of at most 24 minutes are replaced by random 50–58 s."""
+    E = Estate(spark, sf)
+    return TU.model_executions(E.exec, E.shout_sum, AS_OF, 60, "DS", jitter=True)
+
+
+@register("e4_f8_j8_threshold_impact", sql="""
+WITH s AS (SELECT id, server_name, folder_name, job_name, media_s, valor_correto, notification_time,
+  CASE WHEN starts_with(valor_correto, '=') THEN TRY_CAST(substring(valor_correto, 2) AS BIGINT) * 60
+       WHEN starts_with(valor_correto, '+') THEN CAST(floor(CAST(media_s AS DOUBLE) + CAST(media_s AS DOUBLE) * (CAST(TRY_CAST(substring(valor_correto, 2, length(valor_correto) - 2) AS BIGINT) AS DOUBLE) / 100)) AS BIGINT)
+  END AS new_time_s FROM fx_shout_sum)
+SELECT s.*, (SELECT count(*) FROM fx_exec e WHERE e.job_name = s.job_name AND e.data_center = s.server_name AND s.new_time_s < e.runtime_s) AS calc_shout
+FROM s""", views=("fx_shout_sum", "fx_exec"))
+def q_impact(spark, sf):
+    E = Estate(spark, sf)
+    return TU.threshold_impact(E.shout_sum, E.exec)
