@@ -101,7 +101,7 @@ SELECT exec_id, date_diff('second', start_time, end_time) AS runtime_s,
        printf('%02d:%02d:%02d', runtime_s // 3600, (runtime_s % 3600) // 60, runtime_s % 60) AS hms,
        runtime_s AS back_s FROM fx_exec""", views=("fx_exec",))
 def q_durations(spark, sf):
-    e = Estate(spark, sf).exec
+    e = Estate(spark, sf).runs
     hms = TF.sec_to_time("runtime_s")
     return e.select("exec_id", TF.duration_s("end_time", "start_time").alias("runtime_s"), hms.alias("hms"),
                     TF.time_to_sec(hms).alias("back_s"))
@@ -133,7 +133,7 @@ SELECT exec_id,
   CASE WHEN substring(data_center, 1, 2) = 'DS' THEN 'DISTRIBUIDA' ELSE 'MAINFRAME' END AS plataforma,
   substring(data_center, 1, 2) AS ambiente FROM fx_exec""", views=("fx_exec",))
 def q_codes(spark, sf):
-    e = Estate(spark, sf).exec
+    e = Estate(spark, sf).runs
     return e.select("exec_id", T.app_code("job_name", "M").alias("sigla_m"), T.app_code("job_name", "P").alias("sigla_p"),
                     T.app_code("job_name", "M", test_len=1).alias("sigla_m1"),
                     T.platform("data_center").alias("plataforma"), T.platform_prefix("data_center").alias("ambiente"))
@@ -239,7 +239,7 @@ def q_failed_ids(spark, sf):
 @register("f22_jitter_small")
 def q_jitter(spark, sf):
     """Rows-only: random values are not comparable; range and untouched rows are unit-tested."""
-    e = Estate(spark, sf).exec
+    e = Estate(spark, sf).runs
     return e.select("exec_id", "runtime_s", TF.jitter_small("runtime_s").alias("modelled_s"))
 
 

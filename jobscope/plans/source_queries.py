@@ -35,7 +35,7 @@ def q_service_summary(spark, sf):
     from jobscope.plans.services import service_summary
 
     E = Estate(spark, sf)
-    return service_summary(E.bim, E.exec, E.def_job)
+    return service_summary(E.bim, E.runs, E.def_job)
 
 
 @register("pl13_m4_criticality_check", sql="""

@@ -21,7 +21,7 @@ AS_OF = AS_OF_EVENTS
 SELECT data_center, job_name, end_time FROM fx_exec e
 WHERE end_time = (SELECT max(end_time) FROM fx_exec x WHERE x.job_name = e.job_name)""", views=("fx_exec",))
 def q_latest(spark, sf):
-    return R.latest_execution(Estate(spark, sf).exec)
+    return R.latest_execution(Estate(spark, sf).runs)
 
 
 @register("j5_mttr", sql=f"""
@@ -43,7 +43,7 @@ def q_update_from(spark, sf):
     E = Estate(spark, sf)
     target = E.shout_sum.select("id", "server_name", "folder_name", "job_name", "valor_correto",
                                 F.lit(None).cast("timestamp").alias("end_time"))
-    src = E.exec.select(F.col("data_center").alias("server_name"), F.col("sched_table").alias("folder_name"),
+    src = E.runs.select(F.col("data_center").alias("server_name"), F.col("sched_table").alias("folder_name"),
                         "job_name", "end_time")
     todo = target.filter(F.col("valor_correto") != "OK")
     done = R.update_from(todo, src, ["server_name", "folder_name", "job_name"], {"end_time": "end_time"})
@@ -55,7 +55,7 @@ SELECT job_id, job_name FROM fx_def_job d WHERE NOT EXISTS (SELECT 1 FROM fx_exe
           views=("fx_def_job", "fx_exec"))
 def q_not_exists(spark, sf):
     E = Estate(spark, sf)
-    runs = E.exec.select("job_name").distinct()
+    runs = E.runs.select("job_name").distinct()
     return R.anti_join(E.def_job.select("job_id", "job_name"), runs, ["job_name"], trim_keys=True)
 
 
@@ -65,7 +65,7 @@ ON e.job_name = d.jn""", views=("fx_exec", "fx_def_job"))
 def q_left(spark, sf):
     E = Estate(spark, sf)
     look = E.def_job.select(F.trim("job_name").alias("jn"), "memname")
-    e = E.exec.select("exec_id", "job_name")
+    e = E.runs.select("exec_id", "job_name")
     return e.join(look, e.job_name == look.jn, "left").select("exec_id", "job_name", "memname")
 
 
@@ -83,7 +83,7 @@ def q_alerts_if(spark, sf):
     E = Estate(spark, sf)
     s = E.shout_sum.select("id", "server_name", "job_name", "valor_correto",
                            effective_threshold("valor_correto", "media_s").alias("new_time_s"))
-    return R.alerts_if_threshold(s, E.exec)
+    return R.alerts_if_threshold(s, E.runs)
 
 
 # --------------------------------------------------------------------------- sets
@@ -152,14 +152,14 @@ def q_purge(spark, sf):
 SELECT exec_id, end_time FROM fx_exec WHERE end_time IS NULL OR end_time >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY""",
           views=("fx_exec",))
 def q_purge_exec(spark, sf):
-    return R.purge(Estate(spark, sf).exec.select("exec_id", "end_time"), "end_time", 30, AS_OF)
+    return R.purge(Estate(spark, sf).runs.select("exec_id", "end_time"), "end_time", 30, AS_OF)
 
 
 @register("p9_delete_by_predicate", sql="""
 SELECT exec_id, data_center, sched_table FROM fx_exec WHERE NOT coalesce(data_center LIKE 'MP%' OR sched_table = 'CREATED', false)""",
           views=("fx_exec",))
 def q_delete_pred(spark, sf):
-    e = Estate(spark, sf).exec.select("exec_id", "data_center", "sched_table")
+    e = Estate(spark, sf).runs.select("exec_id", "data_center", "sched_table")
     return R.keep_unless(e, F.col("data_center").startswith("MP") | (F.col("sched_table") == "CREATED"))
 
 
@@ -207,7 +207,7 @@ SELECT substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10) AS data, substr
   completion_status AS status, count(*) AS volume
 FROM fx_exec WHERE data_center NOT IN ('M-REDE-R', 'M-CARTAO-R') GROUP BY ALL""", views=("fx_exec",))
 def q_daily_volume(spark, sf):
-    return A.daily_volume(Estate(spark, sf).exec, None, "M", exclude_centres=("M-REDE-R", "M-CARTAO-R"))
+    return A.daily_volume(Estate(spark, sf).runs, None, "M", exclude_centres=("M-REDE-R", "M-CARTAO-R"))
 
 
 @register("a1_daily_volume_mainframe_day", sql="""
@@ -217,7 +217,7 @@ SELECT substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10) AS data, substr
 FROM fx_exec WHERE starts_with(data_center, 'MP') AND data_center NOT IN ('MP-CARTAO-R', 'MP-REDE-R')
   AND substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10) = '2024-01-15' GROUP BY ALL""", views=("fx_exec",))
 def q_daily_volume_mp(spark, sf):
-    return A.daily_volume(Estate(spark, sf).exec, "2024-01-15", "P", centre_prefix="MP",
+    return A.daily_volume(Estate(spark, sf).runs, "2024-01-15", "P", centre_prefix="MP",
                           exclude_centres=("MP-CARTAO-R", "MP-REDE-R"))
 
 
@@ -225,7 +225,7 @@ def q_daily_volume_mp(spark, sf):
 SELECT substring(data_center, 1, 2) AS platform, CAST(start_time AS DATE) AS data, count(*) AS n FROM fx_exec
 WHERE start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 2 DAY GROUP BY ALL ORDER BY n DESC""", views=("fx_exec",))
 def q_platform_volume(spark, sf):
-    return A.platform_volume(Estate(spark, sf).exec, AS_OF, 2).orderBy(F.col("n").desc())
+    return A.platform_volume(Estate(spark, sf).runs, AS_OF, 2).orderBy(F.col("n").desc())
 
 
 @register("a4_service_fanout", sql="""
@@ -239,13 +239,13 @@ def q_fanout(spark, sf):
 @register("a5_max_end_per_job", sql="SELECT data_center, job_name, max(end_time) AS max_end_time FROM fx_exec GROUP BY ALL",
           views=("fx_exec",))
 def q_max(spark, sf):
-    return A.max_per_key(Estate(spark, sf).exec, ["data_center", "job_name"], "end_time", "max_end_time")
+    return A.max_per_key(Estate(spark, sf).runs, ["data_center", "job_name"], "end_time", "max_end_time")
 
 
 @register("a6_jobs_over_80_runs", sql="SELECT job_name, count(*) AS runs FROM fx_exec GROUP BY job_name HAVING count(*) > 80",
           views=("fx_exec",))
 def q_having(spark, sf):
-    return A.keys_with_more_than(Estate(spark, sf).exec, ["job_name"], 80)
+    return A.keys_with_more_than(Estate(spark, sf).runs, ["job_name"], 80)
 
 
 ALARM_SQL = """SELECT server_name AS data_center, job_name, CASE WHEN message = 'Ended not OK' THEN 'NOTOK' ELSE 'LATESUB' END AS when_cond,
@@ -267,7 +267,7 @@ def q_alert_count(spark, sf):
 SELECT job_name, CAST(start_time AS DATE) AS d, avg(CAST(runtime_s AS DOUBLE)) AS x FROM fx_exec GROUP BY ALL""",
           views=("fx_exec",))
 def q_daily_mean(spark, sf):
-    return A.daily_mean(Estate(spark, sf).exec)
+    return A.daily_mean(Estate(spark, sf).runs)
 
 
 @register("a9_sample_variance", sql="""
@@ -279,7 +279,7 @@ def q_var(spark, sf):
 
 @register("a10_total_count", sql="SELECT count(*) AS n FROM fx_exec", views=("fx_exec",))
 def q_count(spark, sf):
-    return A.total_count(Estate(spark, sf).exec)
+    return A.total_count(Estate(spark, sf).runs)
 
 
 # --------------------------------------------------------------------------- windows / sorts
@@ -319,7 +319,7 @@ SELECT job_name, CASE WHEN vs / nullif(vx, 0) * 100 > 20 THEN 'Sazonal' ELSE 'Li
 
 @register("w3_seasonality", sql=W3_SQL, views=("fx_exec",))
 def q_seasonality(spark, sf):
-    return seasonality(Estate(spark, sf).exec)
+    return seasonality(Estate(spark, sf).runs)
 
 
 @register("o2_sorted_unique_stat_lines", sql="""
@@ -338,7 +338,7 @@ SELECT exec_id, data_center, job_name FROM fx_exec WHERE (starts_with(data_cente
   AND NOT starts_with(job_name, 'A') AND NOT starts_with(job_name, 'CM') AND completion_status IN ('Ended OK', 'Ended Not OK')
   AND data_center NOT IN ('DS-B')""", views=("fx_exec",))
 def q_prefix(spark, sf):
-    e = Estate(spark, sf).exec
+    e = Estate(spark, sf).runs
     return e.filter((F.col("data_center").startswith("DS") | F.col("data_center").startswith("WS"))
                     & ~F.col("job_name").startswith("A") & ~F.col("job_name").startswith("CM")
                     & F.col("completion_status").isin("Ended OK", "Ended Not OK")
@@ -375,7 +375,7 @@ def q_current_export(spark, sf):
 @register("p7_trailing_window", sql=f"""
 SELECT exec_id, start_time FROM fx_exec WHERE start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY""", views=("fx_exec",))
 def q_trailing(spark, sf):
-    return R.trailing_window(Estate(spark, sf).exec.select("exec_id", "start_time"), "start_time", 10, AS_OF)
+    return R.trailing_window(Estate(spark, sf).runs.select("exec_id", "start_time"), "start_time", 10, AS_OF)
 
 
 @register("p8_drop_header_lines", sql="""

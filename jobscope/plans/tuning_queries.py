@@ -76,7 +76,7 @@ SELECT * FROM x WHERE NOT coalesce(valor_correto = notification_time, false)""",
           views=("fx_shout_sum", "fx_stat", "fx_shout", "fx_def_job", "fx_def_table", "fx_exec"))
 def q_summary(spark, sf):
     E = Estate(spark, sf)
-    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.exec)
+    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.runs)
 
 
 @register("j4_model_executions", sql=f"""
@@ -86,14 +86,14 @@ WHERE e.completion_status = 'Ended OK' AND starts_with(e.data_center, 'DS') AND
           views=("fx_exec", "fx_shout_sum"))
 def q_model(spark, sf):
     E = Estate(spark, sf)
-    return TU.model_executions(E.exec, E.shout_sum, AS_OF, 60, "DS")
+    return TU.model_executions(E.runs, E.shout_sum, AS_OF, 60, "DS")
 
 
 @register("j4_f22_model_executions_jittered")
 def q_model_jitter(spark, sf):
     """Rows-only: run times of at most 24 minutes are replaced by random 50–58 s."""
     E = Estate(spark, sf)
-    return TU.model_executions(E.exec, E.shout_sum, AS_OF, 60, "DS", jitter=True)
+    return TU.model_executions(E.runs, E.shout_sum, AS_OF, 60, "DS", jitter=True)
 
 
 @register("e4_f8_j8_threshold_impact", sql="""
@@ -105,4 +105,4 @@ SELECT s.*, (SELECT count(*) FROM fx_exec e WHERE e.job_name = s.job_name AND e.
 FROM s""", views=("fx_shout_sum", "fx_exec"))
 def q_impact(spark, sf):
     E = Estate(spark, sf)
-    return TU.threshold_impact(E.shout_sum, E.exec)
+    return TU.threshold_impact(E.shout_sum, E.runs)

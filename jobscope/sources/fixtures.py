@@ -50,10 +50,16 @@ def _folder_no(key: Column) -> Column:
     return key % 4 + 4 * (key % 6)
 
 
-def fx_exec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One execution per event: centre, folder, job, order, attempt, status, times."""
+def fx_exec(spark: SparkSession, sf_dir: str, with_counter: bool = True) -> DataFrame:
+    """One execution per event: centre, folder, job, order, attempt, status, times.
+
+    The attempt number (``rerun_counter``) is an exact row number per
+    (job, day); it costs a range shuffle, so ``with_counter=False`` leaves the
+    column out for consumers that never read it.
+    """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    ev = sequence_within(ev, ["user_id", F.to_date("ts")], ["ts", "event_id"], name="rerun_counter")
+    if with_counter:
+        ev = sequence_within(ev, ["user_id", F.to_date("ts")], ["ts", "event_id"], name="rerun_counter")
     u = F.col("user_id")
     start = F.date_trunc("second", F.col("ts"))
     runtime = F.floor(F.col("value") * 60).cast("long")
@@ -63,7 +69,7 @@ def fx_exec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("FLD"), _folder_no(u).cast("string")).alias("sched_table"),
         _job_name(u).alias("job_name"),
         F.concat(F.lit("O"), u.cast("string"), F.lit("-"), F.dayofmonth("ts").cast("string")).alias("order_id"),
-        F.col("rerun_counter"),
+        *([F.col("rerun_counter")] if with_counter else []),
         F.when(F.col("event_type") == "error", "Ended Not OK").otherwise("Ended OK").alias("completion_status"),
         F.col("event_type"),
         start.alias("start_time"),
@@ -168,13 +174,13 @@ def fx_jobs_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_stat(spark: SparkSession, sf_dir: str, exec_df: DataFrame | None = None) -> DataFrame:
-    e = exec_df if exec_df is not None else fx_exec(spark, sf_dir)
+    e = exec_df if exec_df is not None else fx_exec(spark, sf_dir, with_counter=False)
     return e.groupBy(F.col("data_center").alias("datacenter"), F.col("job_name").alias("jobname")).agg(
         F.floor(F.avg(F.col("runtime_s").cast("double"))).cast("long").alias("media_s"))
 
 
 def fx_shout_sum(spark: SparkSession, sf_dir: str, exec_df: DataFrame | None = None) -> DataFrame:
-    e = exec_df if exec_df is not None else fx_exec(spark, sf_dir)
+    e = exec_df if exec_df is not None else fx_exec(spark, sf_dir, with_counter=False)
     jobs = e.select("data_center", "sched_table", "job_name").distinct()
     stat = fx_stat(spark, sf_dir, e)
     j = jobs.join(stat, (jobs.data_center == stat.datacenter) & (jobs.job_name == stat.jobname), "inner")
@@ -219,6 +225,11 @@ class Estate:
     def exec(self):
         return self._get("exec", lambda: fx_exec(self.spark, self.sf_dir))
 
+    @property
+    def runs(self):
+        """Executions without the attempt number (no numbering shuffle)."""
+        return self._get("runs", lambda: fx_exec(self.spark, self.sf_dir, with_counter=False))
+
     @property
     def def_table(self):
         return self._get("def_table", lambda: fx_def_table(self.spark, self.sf_dir))
@@ -257,11 +268,11 @@ class Estate:
 
     @property
     def stat(self):
-        return self._get("stat", lambda: fx_stat(self.spark, self.sf_dir, self.exec))
+        return self._get("stat", lambda: fx_stat(self.spark, self.sf_dir, self.runs))
 
     @property
     def shout_sum(self):
-        return self._get("shout_sum", lambda: fx_shout_sum(self.spark, self.sf_dir, self.exec))
+        return self._get("shout_sum", lambda: fx_shout_sum(self.spark, self.sf_dir, self.runs))
 
     @property
     def edge(self):
