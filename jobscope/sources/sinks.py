@@ -38,8 +38,8 @@ def export_delimited(df: DataFrame, sep: str = "#;", cols: Sequence[str] | None
 # --------------------------------------------------------------------------- S7/S8/S10/S11
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Truncate + insert."""
-    w = df.write.mode("overwrite")
+    """Truncate + insert (the whole folder, whatever the session's partition mode)."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -77,7 +77,8 @@ def write_per_key(df: DataFrame, path: str, key: str, min_rows: int | None = Non
     if min_rows is not None:
         keep = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_rows).select(key)
         df = df.join(keep, key, "left_semi")
-    df.repartition(key).write.mode("overwrite").partitionBy(key).format(fmt).option("header", True).save(path)
+    (df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key)
+     .format(fmt).option("header", True).save(path))
 
 
 # --------------------------------------------------------------------------- versioned tables
