@@ -164,3 +164,43 @@ def model_executions(exec_df: DataFrame, summary: DataFrame, as_of, days: int =
     j = e.join(s, (e.data_center == s.server_name) & (e.job_name == s.s_job) & (e.sched_table == s.folder_name), "inner")
     rt = jitter_small(F.col("runtime_s"), seed=seed) if jitter else F.col("runtime_s")
     return j.select("data_center", F.col("s_job").alias("job_name"), "start_time", "end_time", rt.alias("runtime_s"))
+
+
+def _sec_of_day(c: Column) -> Column:
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
+def overrun_rule(stat_times: DataFrame, last_runs: DataFrame, centre_prefix: str = "PRD") -> DataFrame:
+    """Rule 2d: seconds a job's last run exceeded its mean, for jobs whose run is
+    above the mean and at least ``mean*1.5 - 1800``, with a known last end.
+
+    ``stat_times``: datacenter, jobname, media_s, start_s, end_s (seconds of day).
+    ``last_runs``: server_name, job_name, end_time (one row per latest run; ties repeat).
+    The source's BETWEEN has a boolean upper bound: the lower bound is kept and
+    the upper bound read as ``end > start``.
+    """
+    run = F.col("end_s") - F.col("start_s")
+    m = F.col("media_s")
+    lr = last_runs.filter(F.col("end_time").isNotNull()).select(
+        F.col("server_name").alias("__srv"), F.col("job_name").alias("__job"))
+    j = stat_times.join(lr, (stat_times.datacenter == lr["__srv"]) & (stat_times.jobname == lr["__job"]), "inner")
+    return j.filter(m.isNotNull() & (m != 0) & (F.col("start_s") != 0) & (F.col("end_s") != 0)
+                    & F.col("datacenter").startswith(centre_prefix) & (run > m) & (run >= m * 1.5 - 1800)
+                    & (F.col("end_s") > F.col("start_s"))).select(
+        F.col("datacenter").alias("server_name"), F.col("jobname").alias("job_name"), (run - m).alias("quant_alert"))
+
+
+def planned_start_rule(today: DataFrame, yesterday: DataFrame, last_runs: DataFrame, listed: DataFrame,
+                       centre_prefix: str = "PRD") -> DataFrame:
+    """Rule 2e: ``((end - planned start) / 1.5 - 1800)`` seconds and minutes for jobs
+    present today and yesterday, with a known last end, not already listed.
+
+    ``today``: server_name, job_name, end_time, planned_start (times of day are used).
+    """
+    t = today.filter(F.col("server_name").startswith(centre_prefix))
+    key = ["server_name", "job_name"]
+    t = t.join(yesterday.select(*key).distinct(), key, "left_semi")
+    t = t.join(last_runs.filter(F.col("end_time").isNotNull()).select(*key), key, "inner")
+    t = t.join(listed.select(*key), key, "left_anti")
+    secs = (_sec_of_day(F.col("end_time")) - _sec_of_day(F.col("planned_start"))) / 1.5 - 1800
+    return t.select(*key, secs.alias("quant_alert"), (secs / 60).alias("total_minutes"))

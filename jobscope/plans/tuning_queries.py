@@ -106,3 +106,30 @@ FROM s""", views=("fx_shout_sum", "fx_exec"))
 def q_impact(spark, sf):
     E = Estate(spark, sf)
     return TU.threshold_impact(E.shout_sum, E.runs)
+
+
+STAT_TIMES_SQL = """st AS (SELECT s.datacenter, s.jobname, s.media_s,
+    hour(r.ms) * 3600 + minute(r.ms) * 60 + second(r.ms) AS start_s, hour(r.me) * 3600 + minute(r.me) * 60 + second(r.me) AS end_s
+  FROM fx_stat s JOIN (SELECT data_center, job_name, max(start_time) AS ms, max(end_time) AS me FROM fx_exec GROUP BY ALL) r
+  ON s.datacenter = r.data_center AND s.jobname = r.job_name),
+lr AS (SELECT data_center AS server_name, job_name, end_time FROM fx_exec e
+  WHERE end_time = (SELECT max(end_time) FROM fx_exec x WHERE x.job_name = e.job_name))"""
+
+
+@register("e5_overrun_rule", sql=f"""
+WITH {STAT_TIMES_SQL}
+SELECT st.datacenter AS server_name, st.jobname AS job_name, (end_s - start_s) - media_s AS quant_alert
+FROM st JOIN lr ON st.datacenter = lr.server_name AND st.jobname = lr.job_name
+WHERE lr.end_time IS NOT NULL AND media_s IS NOT NULL AND media_s <> 0 AND start_s <> 0 AND end_s <> 0 AND starts_with(datacenter, 'DS')
+  AND (end_s - start_s) > media_s AND (end_s - start_s) >= media_s * 1.5 - 1800 AND end_s > start_s""",
+          views=("fx_stat", "fx_exec"))
+def q_overrun(spark, sf):
+    from jobscope.operators.relational import latest_execution
+
+    E = Estate(spark, sf)
+    r = E.runs.groupBy("data_center", "job_name").agg(F.max("start_time").alias("ms"), F.max("end_time").alias("me"))
+    st = E.stat.join(r, (E.stat.datacenter == r.data_center) & (E.stat.jobname == r.job_name), "inner").select(
+        "datacenter", "jobname", "media_s", TU._sec_of_day(F.col("ms")).alias("start_s"),
+        TU._sec_of_day(F.col("me")).alias("end_s"))
+    lr = latest_execution(E.runs).withColumnRenamed("data_center", "server_name")
+    return TU.overrun_rule(st, lr, centre_prefix="DS")

@@ -56,3 +56,18 @@ def test_card_h_removal_by_name(spark):
         "sys_created_by string, u_source string, category string, u_datacenter string, u_orderid string, sys_created_on timestamp")
     left = sorted(r.run_id for r in drop_already_reported(jobs, events, inc).collect())
     assert left == ["O4"]  # both JA rows go with the single event hit; JB goes by incident
+
+
+def test_planned_start_rule(spark):
+    from jobscope.operators.tuning import planned_start_rule
+
+    sch = "server_name string, job_name string, end_time timestamp, planned_start timestamp"
+    today = spark.createDataFrame([("PRD1", "J1", dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 8, 0)),
+                                   ("PRD1", "J2", dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 8, 0)),
+                                   ("PRD1", "J3", dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 8, 0))], sch)
+    d1 = today.select("server_name", "job_name")
+    last = spark.createDataFrame([("PRD1", "J1", T0), ("PRD1", "J2", T0), ("PRD1", "J3", None)],
+                                 "server_name string, job_name string, end_time timestamp")
+    listed = spark.createDataFrame([("PRD1", "J2")], "server_name string, job_name string")
+    rows = planned_start_rule(today, d1, last, listed).collect()
+    assert [(r.job_name, r.quant_alert, r.total_minutes) for r in rows] == [("J1", 7200 / 1.5 - 1800, (7200 / 1.5 - 1800) / 60)]
