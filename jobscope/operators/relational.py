@@ -218,25 +218,53 @@ def assert_empty(df: DataFrame, message: str = "quality check failed") -> DataFr
 @dataclass(frozen=True)
 class Rule:
     """One ordered correction: ``UPDATE ... SET column = value WHERE predicate``
-    or, with ``delete=True``, ``DELETE ... WHERE predicate``."""
+    or, with ``delete=True``, ``DELETE ... WHERE predicate``.
+
+    ``predicate`` is SQL text (or a Column). ``value`` is a literal or a Column;
+    ``value_sql`` is SQL text that may read the column being set (e.g.
+    ``replace(sigla, 's', 'S')``).
+    """
     predicate: str | Column
     column: str | None = None
     value: object = None
     delete: bool = False
+    value_sql: str | None = None
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """M5: apply corrections in order; later rules see the results of earlier ones.
 
-    Each rule is a projection or a filter, so Catalyst collapses the whole
-    chain into one stage.
+    A rule whose predicate reads the column it sets would reference the
+    previous value twice (in the test and in the ELSE branch); when Catalyst
+    pushes a later filter through the chain it substitutes every reference, so
+    the expression would double per rule. SQL-text rules therefore bind the
+    column once per step with a one-element lambda
+    (``transform(array(c), c -> CASE WHEN pred THEN value ELSE c END)[0]``),
+    keeping the plan linear in the number of rules.
     """
     for r in rules:
-        pred = F.expr(r.predicate) if isinstance(r.predicate, str) else r.predicate
         if r.delete:
+            pred = F.expr(r.predicate) if isinstance(r.predicate, str) else r.predicate
             df = keep_unless(df, pred)
+        elif isinstance(r.predicate, str) and not isinstance(r.value, Column):
+            c = f"`{r.column}`"
+            val = r.value_sql if r.value_sql is not None else _sql_literal(r.value)
+            # a NULL predicate falls through to ELSE: the row keeps its value
+            df = df.withColumn(r.column, F.expr(
+                f"transform(array({c}), {c} -> CASE WHEN {r.predicate} THEN {val} ELSE {c} END)[0]"))
         else:
-            val = r.value if isinstance(r.value, Column) else F.lit(r.value)
-            # when() treats a NULL predicate as false: the row keeps its value
+            pred = F.expr(r.predicate) if isinstance(r.predicate, str) else r.predicate
+            val = r.value if isinstance(r.value, Column) else (
+                F.expr(r.value_sql) if r.value_sql is not None else F.lit(r.value))
             df = df.withColumn(r.column, F.when(pred, val).otherwise(F.col(r.column)))
     return df

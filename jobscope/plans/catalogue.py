@@ -29,8 +29,8 @@ CATALOGUE_RULES = [
     Rule("node_group LIKE 'xvcxp0801dsi%'", "node_group", "xvcxp0801cto"),
     Rule("node_group LIKE 'xvcxp0826dsi%'", "node_group", "xvcxp0826cto"),
     Rule("node_group LIKE 'xvcxp0234csm%'", "node_group", "xvcxp0234cto"),
-    Rule("sigla LIKE 'ws%'", "sigla", F.replace(F.col("sigla"), F.lit("s"), F.lit("S"))),
-    Rule("sigla LIKE 'Ws%'", "sigla", F.replace(F.col("sigla"), F.lit("w"), F.lit("W"))),
+    Rule("sigla LIKE 'ws%'", "sigla", value_sql="replace(sigla, 's', 'S')"),
+    Rule("sigla LIKE 'Ws%'", "sigla", value_sql="replace(sigla, 'w', 'W')"),
     Rule("sigla = 'P1' OR sigla LIKE 'X%'", delete=True),
 ]
 # The job names that are always "Very Urgent".

@@ -192,7 +192,7 @@ def q_rules(spark, sf):
     fixture_rules = [
         Rule("node_group = 'B'", "node_group", "Bx"),
         Rule("data_center = 'DS-A' AND job_name LIKE 'PX%'", "sigla", "PXA"),
-        Rule("sigla LIKE 'PXA%'", "sigla", F.replace(F.col("sigla"), F.lit("A"), F.lit("Z"))),
+        Rule("sigla LIKE 'PXA%'", "sigla", value_sql="replace(sigla, 'A', 'Z')"),
         Rule("sigla = 'JB0'", delete=True),
     ]
     out = R.apply_rules(cat, fixture_rules + CATALOGUE_RULES)

@@ -43,3 +43,14 @@ def test_keep_first_and_latest_ties(spark):
     assert last["j"] == (3, "z")
     ties = sorted((r.job, r.v) for r in keep_latest_ties(df, ["job"], "t").collect())
     assert ties == [("j", "x"), ("j", "z")]
+
+
+def test_apply_rules_plan_stays_linear(spark):
+    from jobscope.operators.relational import Rule, apply_rules
+
+    df = spark.createDataFrame([("ws1", "A"), ("X9", "B"), ("ab", "C")], "sigla string, dc string")
+    rules = [Rule(f"sigla LIKE 'ws%' OR (dc = 'A' AND sigla = 'z{i}')", "sigla", value_sql="replace(sigla, 's', 'S')")
+             for i in range(40)] + [Rule("sigla LIKE 'X%'", delete=True), Rule("dc = 'C'", "sigla", "it's")]
+    out = apply_rules(df, rules)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 60000
+    assert sorted(tuple(r) for r in out.collect()) == [("it's", "C"), ("wS1", "A")]
