@@ -8,6 +8,7 @@ def load_all():
     ``(queries, oracles)``."""
     from jobscope.plans import (  # noqa: F401
         expression_queries,
+        job_queries,
         reconcile_queries,
         source_queries,
         table_queries,

@@ -76,7 +76,9 @@ def build_catalogue(def_job: DataFrame, def_table: DataFrame, as_of_date, enviro
         cat = cat.filter(~F.coalesce(F.col("data_center").isin(*CARD_CENTRES), F.lit(False))).unionByName(fixed)
     cat = apply_rules(cat, list(extra_rules) + CATALOGUE_RULES)
     if fanout is not None:
-        cat = update_from(cat, fanout, {"job_name": "jobname"}, {"lob_bim": "qlobis"})
+        # largest count per job, as text (the column also receives service names)
+        fan = fanout.groupBy("jobname").agg(F.max("qlobis").cast("string").alias("qlobis"))
+        cat = update_from(cat, fan, {"job_name": "jobname"}, {"lob_bim": "qlobis"})
     if service_names is not None:
         cat = update_from(cat, service_names, {"job_name": "jobname"}, {"lob_bim": "service_name"})
     cat = cat.withColumn("criticality", T.normalise_criticality("criticality"))
