@@ -4,10 +4,9 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task. The
 estate has such keys (one data centre, one busy job, one order id), so the
 operators here avoid key-only windows over raw rows:
 
-* :func:`sequence_within` — exact ``ROW_NUMBER`` per group. Rows are range
-  partitioned on (group, order) so a hot group is split across tasks; each task
-  numbers its slice locally and a small per-(task, group) count table supplies
-  the offsets.
+* :func:`sequence_within` — exact ``ROW_NUMBER`` per group. A group is cut
+  into chunks of its leading order value (from exact per-group min/max/count),
+  rows are numbered inside (group, chunk) and per-chunk counts give the offsets.
 * :func:`keep_first` — one row per key (``ROW_NUMBER() = 1``) as an aggregate of
   ``min(struct(order, row))``, which combines map-side.
 * :func:`keep_latest_ties` — ``RANK() = 1`` (ties kept) as ``max`` per key joined
@@ -37,14 +36,38 @@ def _null_safe_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) ->
     return cond
 
 
+def _monotone_number(c: Column, dtype) -> Column | None:
+    """A numeric image of ``c`` that never decreases when ``c`` increases, or None."""
+    t = dtype.typeName()
+    if t in ("byte", "short", "integer", "long", "float", "double") or t.startswith("decimal"):
+        return c.cast("double")
+    if t in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if t == "date":
+        return F.unix_date(c).cast("double")
+    return None
+
+
 def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
-                    name: str = "seq", descending: bool = False) -> DataFrame:
+                    name: str = "seq", descending: bool = False,
+                    rows_per_chunk: int = 1_000_000) -> DataFrame:
     """Add an exact 1-based row number per group (``partition_by`` may be empty).
 
     ``order_by`` must be a total order inside each group (add a unique
-    tie-breaker column), which makes the numbering deterministic and therefore
-    safe to recompute after an executor loss.
-    Ascending order puts NULLs first, descending puts NULLs last (Spark default).
+    tie-breaker column). Ascending order puts NULLs first, descending puts NULLs
+    last (Spark's defaults).
+
+    A group is cut into value chunks of its leading order column: exact
+    ``min``/``max``/``count`` per group (map-side combined) give each row the chunk
+    ``floor((v - min) / (max - min + 1) * K)`` with ``K = ceil(count / rows_per_chunk)``,
+    a non-decreasing function of the order, so chunks follow the order. Rows are
+    numbered inside (group, chunk) by a window, and per-chunk counts summed over
+    the earlier chunks of the group give the offsets. Every value comes from the
+    data through deterministic aggregates, so all branches of the plan (and any
+    recomputation after an executor loss) agree; nothing depends on physical
+    partition ids. A hot group is spread over many window partitions as long as
+    its leading order values are spread; a non-numeric leading column gives one
+    chunk per group.
     """
     parts = [_col(c) for c in partition_by]
     orders = [_col(c) for c in order_by]
@@ -52,27 +75,41 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
     ok = [f"__o{i}" for i in range(len(orders))]
     keyed = df.select("*", *[c.alias(n) for c, n in zip(parts, pk)],
                       *[c.alias(n) for c, n in zip(orders, ok)])
-    sort_cols = [F.col(n) for n in pk] + [F.col(n).desc() if descending else F.col(n) for n in ok]
-    # Range partitioning samples the (group, order) tuples, so one large group
-    # spans several partitions; sorting inside a partition fixes each row's slot.
-    ranged = (keyed.repartitionByRange(*sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("__pos", F.monotonically_increasing_id())
-              .withColumn("__pid", F.shiftright("__pos", 33)))
-    counts = (ranged.groupBy("__pid", *pk)
-              .agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt")))
-    # At most one row per (partition, group): a hot group has <= #partitions rows here.
-    before = Window.partitionBy(*pk).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", *pk, "__first",
+    sort_cols = [F.col(n).desc() if descending else F.col(n) for n in ok]
+    v = _monotone_number(F.col(ok[0]), keyed.schema[ok[0]].dataType)
+    if v is not None and descending:
+        v = -v
+    if v is None:
+        chunked = keyed.withColumn("__chunk", F.lit(0).cast("long"))
+    else:
+        keyed = keyed.withColumn("__v", v)
+        stats = keyed.groupBy(*pk).agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+                                       F.count(F.lit(1)).alias("__n"))
+        chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_chunk))).cast("double")
+        pos = F.floor((F.col("__v") - F.col("__min")) / (F.col("__max") - F.col("__min") + 1.0) * chunks)
+        # NULL order values sort first ascending and last descending
+        null_chunk = F.lit(-1 if not descending else (1 << 62)).cast("long")
+        st = stats.alias("__st")
+        kd = keyed.alias("__kd")
+        cond = F.lit(True)
+        for n in pk:
+            cond = cond & F.col(f"__kd.{n}").eqNullSafe(F.col(f"__st.{n}"))
+        chunked = kd.join(st, cond, "inner").select(
+            "__kd.*", F.when(F.col("__v").isNull(), null_chunk).otherwise(pos.cast("long")).alias("__chunk")
+        ).drop("__v")
+    local = chunked.withColumn("__lrn", F.row_number().over(
+        Window.partitionBy(*pk, "__chunk").orderBy(*sort_cols)))
+    counts = chunked.groupBy(*pk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
+    # one row per (group, chunk): a hot group has at most K + 1 rows here
+    before = Window.partitionBy(*pk).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(n).alias(f"{n}_o") for n in pk], F.col("__chunk").alias("__chunk_o"),
                             F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__before"))
-    o = offsets.alias("__off")
-    r = ranged.alias("__rng")
-    cond = F.col("__rng.__pid") == F.col("__off.__pid")
+    cond = F.col("__chunk") == F.col("__chunk_o")
     for n in pk:
-        cond = cond & F.col(f"__rng.{n}").eqNullSafe(F.col(f"__off.{n}"))
-    joined = r.join(o, cond, "inner")
-    seq = (F.col("__off.__before") + F.col("__rng.__pos") - F.col("__off.__first") + 1).cast("long")
-    return joined.select(*[F.col(f"__rng.`{c}`") for c in df.columns], seq.alias(name))
+        cond = cond & F.col(n).eqNullSafe(F.col(f"{n}_o"))
+    joined = local.join(offsets, cond, "inner")
+    seq = (F.col("__before") + F.col("__lrn")).cast("long")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], seq.alias(name))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],

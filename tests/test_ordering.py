@@ -15,7 +15,7 @@ def _skewed(spark):
 
 def test_sequence_within_matches_row_number(spark):
     df = _skewed(spark)
-    got = sequence_within(df, ["k"], ["o", "tie"], name="rn")
+    got = sequence_within(df, ["k"], ["o", "tie"], name="rn", rows_per_chunk=500)
     w = Window.partitionBy("k").orderBy("o", "tie")
     exp = df.withColumn("rn", F.row_number().over(w).cast("long"))
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
@@ -23,11 +23,26 @@ def test_sequence_within_matches_row_number(spark):
 
 def test_sequence_within_global_and_descending(spark):
     df = _skewed(spark)
-    got = sequence_within(df, [], ["o", "tie"], name="rn", descending=True)
+    got = sequence_within(df, [], ["o", "tie"], name="rn", descending=True, rows_per_chunk=700)
     exp = df.withColumn("rn", F.row_number().over(Window.orderBy(F.col("o").desc(), F.col("tie").desc())).cast("long"))
     assert got.exceptAll(exp).count() == 0
 
 
+def test_sequence_within_nulls_and_timestamps(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [("a", base + dt.timedelta(seconds=i * 37 % 1000), i) for i in range(3000)]
+    rows += [("a", None, 5000 + i) for i in range(5)] + [("b", None, 9000)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, id long")
+    for desc in (False, True):
+        got = sequence_within(df, ["k"], ["t", "id"], name="rn", descending=desc, rows_per_chunk=100)
+        order = [F.col("t").desc(), F.col("id").desc()] if desc else ["t", "id"]
+        exp = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("long"))
+        assert got.count() == df.count()
+        assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
 def test_sequence_within_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "k string, o int")
     got = {(r.k, r.o): r.rn for r in sequence_within(df, ["k"], ["o"], name="rn").collect()}
