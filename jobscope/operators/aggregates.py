@@ -86,9 +86,32 @@ def daily_mean(exec_df: DataFrame, key: str = "job_name", ts_col: str = "start_t
         F.avg(F.col(value_col).cast("double")).alias("x"))
 
 
+def _exact_var_samp(c: str) -> Column:
+    """n-1 sample variance of an integer column from exact DECIMAL(38,0) sums.
+
+    ``(n*sum(x^2) - sum(x)^2) / (n*(n-1))``: the sums are exact, so the result
+    does not depend on how partial aggregates are merged (the same value on
+    every run and every cluster layout); only the final division rounds.
+    """
+    x = F.col(c).cast("decimal(38,0)")
+    n = F.count(F.col(c))
+    num = (n * F.sum(x * x) - F.sum(x) * F.sum(x)).cast("double")
+    return F.when(n > 1, num / (n * (n - 1)).cast("double"))
+
+
 def sample_variances(df: DataFrame, key: str, cols) -> DataFrame:
-    """Sample variance (n-1, NULLs skipped) of several columns per key."""
-    return df.groupBy(key).agg(*[F.var_samp(c).alias(f"var_{c}") for c in cols])
+    """Sample variance (n-1, NULLs skipped) of several columns per key.
+
+    Integer columns use exact sums (order-independent); others use ``var_samp``.
+    """
+    integral = {"byte", "short", "integer", "long"}
+    aggs = []
+    for c in cols:
+        if df.schema[c].dataType.typeName() in integral:
+            aggs.append(_exact_var_samp(c).alias(f"var_{c}"))
+        else:
+            aggs.append(F.var_samp(c).alias(f"var_{c}"))
+    return df.groupBy(key).agg(*aggs)
 
 
 def total_count(df: DataFrame, out: str = "n") -> DataFrame:

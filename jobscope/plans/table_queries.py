@@ -271,7 +271,12 @@ def q_daily_mean(spark, sf):
 
 
 @register("a9_sample_variance", sql="""
-SELECT job_name, var_samp(runtime_s) AS var_runtime_s, var_samp(rerun_counter) AS var_rerun_counter FROM fx_exec GROUP BY ALL""",
+SELECT job_name,
+  CASE WHEN count(runtime_s) > 1 THEN CAST(count(runtime_s) * sum(CAST(runtime_s AS HUGEINT) * runtime_s) - sum(runtime_s) * sum(runtime_s) AS DOUBLE)
+       / CAST(count(runtime_s) * (count(runtime_s) - 1) AS DOUBLE) END AS var_runtime_s,
+  CASE WHEN count(rerun_counter) > 1 THEN CAST(count(rerun_counter) * sum(CAST(rerun_counter AS HUGEINT) * rerun_counter) - sum(rerun_counter) * sum(rerun_counter) AS DOUBLE)
+       / CAST(count(rerun_counter) * (count(rerun_counter) - 1) AS DOUBLE) END AS var_rerun_counter
+FROM fx_exec GROUP BY ALL""",
           views=("fx_exec",))
 def q_var(spark, sf):
     return A.sample_variances(Estate(spark, sf).exec, "job_name", ["runtime_s", "rerun_counter"])
