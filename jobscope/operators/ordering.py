@@ -48,6 +48,19 @@ def _monotone_number(c: Column, dtype) -> Column | None:
     return None
 
 
+def _string_image(cols: Sequence[Column]) -> Column:
+    """Monotone numeric image of a run of string order columns.
+
+    The strings are joined with NUL (the smallest byte, so the tuple order is
+    kept) and the first 8 UTF-8 bytes are read as an unsigned number; strings
+    compare byte-wise, so a larger tuple never maps to a smaller number. Only
+    the prefix is seen, so rows sharing it land in one chunk (still exact).
+    """
+    joined = F.concat_ws("\u0000", *[F.coalesce(c, F.lit("")) for c in cols])
+    head = F.rpad(F.hex(F.substring(F.encode(joined, "UTF-8"), 1, 8)), 16, "0")
+    return F.when(cols[0].isNotNull(), F.conv(head, 16, 10).cast("double"))
+
+
 def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
                     name: str = "seq", descending: bool = False,
                     rows_per_chunk: int = 1_000_000) -> DataFrame:
@@ -66,8 +79,9 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
     data through deterministic aggregates, so all branches of the plan (and any
     recomputation after an executor loss) agree; nothing depends on physical
     partition ids. A hot group is spread over many window partitions as long as
-    its leading order values are spread; a non-numeric leading column gives one
-    chunk per group.
+    its leading order values are spread. Numeric, date and timestamp leading
+    columns map directly; a leading run of string columns maps through the
+    first bytes of its text; other types give one chunk per group.
     """
     parts = [_col(c) for c in partition_by]
     orders = [_col(c) for c in order_by]
@@ -77,26 +91,46 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
                       *[c.alias(n) for c, n in zip(orders, ok)])
     sort_cols = [F.col(n).desc() if descending else F.col(n) for n in ok]
     v = _monotone_number(F.col(ok[0]), keyed.schema[ok[0]].dataType)
+    if v is None:
+        lead_strings = []
+        for n in ok:
+            if keyed.schema[n].dataType.typeName() != "string":
+                break
+            lead_strings.append(F.col(n))
+        if lead_strings:
+            v = _string_image(lead_strings)
     if v is not None and descending:
         v = -v
     if v is None:
         chunked = keyed.withColumn("__chunk", F.lit(0).cast("long"))
     else:
         keyed = keyed.withColumn("__v", v)
-        stats = keyed.groupBy(*pk).agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-                                       F.count(F.lit(1)).alias("__n"))
-        chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_chunk))).cast("double")
-        pos = F.floor((F.col("__v") - F.col("__min")) / (F.col("__max") - F.col("__min") + 1.0) * chunks)
         # NULL order values sort first ascending and last descending
         null_chunk = F.lit(-1 if not descending else (1 << 62)).cast("long")
-        st = stats.alias("__st")
-        kd = keyed.alias("__kd")
-        cond = F.lit(True)
-        for n in pk:
-            cond = cond & F.col(f"__kd.{n}").eqNullSafe(F.col(f"__st.{n}"))
-        chunked = kd.join(st, cond, "inner").select(
-            "__kd.*", F.when(F.col("__v").isNull(), null_chunk).otherwise(pos.cast("long")).alias("__chunk")
-        ).drop("__v")
+
+        def chunk_of(lo, hi, n):
+            chunks = F.greatest(F.lit(1), F.ceil(n / F.lit(rows_per_chunk))).cast("double")
+            pos = F.floor((F.col("__v") - lo) / (hi - lo + 1.0) * chunks)
+            return F.when(F.col("__v").isNull(), null_chunk).otherwise(pos.cast("long"))
+
+        if not pk:
+            # one global group: its bounds are scalar subqueries (merged into one aggregate)
+            lo = keyed.select(F.min("__v")).scalar()
+            hi = keyed.select(F.max("__v")).scalar()
+            n = keyed.select(F.count(F.lit(1))).scalar()
+            chunked = keyed.withColumn("__chunk", chunk_of(lo, hi, n)).drop("__v")
+        else:
+            stats = keyed.groupBy(*pk).agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+                                           F.count(F.lit(1)).alias("__n"))
+            st = stats.alias("__st")
+            kd = keyed.alias("__kd")
+            cond = None
+            for n in pk:
+                term = F.col(f"__kd.{n}").eqNullSafe(F.col(f"__st.{n}"))
+                cond = term if cond is None else cond & term
+            chunked = kd.join(st, cond, "inner").select(
+                "__kd.*", chunk_of(F.col("__min"), F.col("__max"), F.col("__n")).alias("__chunk")
+            ).drop("__v")
     local = chunked.withColumn("__lrn", F.row_number().over(
         Window.partitionBy(*pk, "__chunk").orderBy(*sort_cols)))
     counts = chunked.groupBy(*pk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))

@@ -69,3 +69,17 @@ def test_apply_rules_plan_stays_linear(spark):
     out = apply_rules(df, rules)
     assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 60000
     assert sorted(tuple(r) for r in out.collect()) == [("it's", "C"), ("wS1", "A")]
+
+
+def test_sequence_within_string_order_global(spark):
+    names = [f"{p}{i:05d}" for p in ("DS-A", "DS-B", "WS-A", "MP-A") for i in range(700)]
+    df = spark.createDataFrame([(n, None if i % 97 == 0 else f"F{i % 13}", i % 3) for i, n in enumerate(names)],
+                               "name string, folder string, k int")
+    for desc in (False, True):
+        order = ["name", "folder", "k"]
+        got = sequence_within(df, [], order, name="rn", descending=desc, rows_per_chunk=150)
+        spec = [F.col(c).desc() for c in order] if desc else order
+        exp = df.withColumn("rn", F.row_number().over(Window.orderBy(*spec)).cast("long"))
+        assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
