@@ -70,15 +70,15 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
     tie-breaker column). Ascending order puts NULLs first, descending puts NULLs
     last (Spark's defaults).
 
-    A group is cut into value chunks of its leading order column: exact
-    ``min``/``max``/``count`` per group (map-side combined) give each row the chunk
+    Rows are cut into value chunks of the leading order column: exact global
+    ``min``/``max``/``count`` (scalar subqueries) give each row the chunk
     ``floor((v - min) / (max - min + 1) * K)`` with ``K = ceil(count / rows_per_chunk)``,
-    a non-decreasing function of the order, so chunks follow the order. Rows are
-    numbered inside (group, chunk) by a window, and per-chunk counts summed over
-    the earlier chunks of the group give the offsets. Every value comes from the
-    data through deterministic aggregates, so all branches of the plan (and any
-    recomputation after an executor loss) agree; nothing depends on physical
-    partition ids. A hot group is spread over many window partitions as long as
+    a non-decreasing function of the order, so chunks follow the order inside
+    every group. Rows are numbered inside (group, chunk) by a window, and
+    per-chunk counts summed over the earlier chunks of the group give the
+    offsets. Every value comes from the data through deterministic aggregates,
+    so all branches of the plan (and any recomputation after an executor loss)
+    agree; nothing depends on physical partition ids. A hot group is spread over many window partitions as long as
     its leading order values are spread. Numeric, date and timestamp leading
     columns map directly; a leading run of string columns maps through the
     first bytes of its text; other types give one chunk per group.
@@ -105,35 +105,23 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
         chunked = keyed.withColumn("__chunk", F.lit(0).cast("long"))
     else:
         keyed = keyed.withColumn("__v", v)
+        # Global bounds as scalar subqueries (Spark merges them into one aggregate):
+        # K = ceil(N / rows_per_chunk) equal-width chunks over [min, max], so one
+        # chunk holds about rows_per_chunk rows summed over all groups and any one
+        # (group, chunk) is bounded by that, with no per-group statistics join.
+        lo = keyed.select(F.min("__v")).scalar()
+        hi = keyed.select(F.max("__v")).scalar()
+        n = keyed.select(F.count(F.lit(1))).scalar()
+        chunks = F.greatest(F.lit(1), F.ceil(n / F.lit(rows_per_chunk))).cast("double")
+        pos = F.floor((F.col("__v") - lo) / (hi - lo + 1.0) * chunks).cast("long")
         # NULL order values sort first ascending and last descending
         null_chunk = F.lit(-1 if not descending else (1 << 62)).cast("long")
-
-        def chunk_of(lo, hi, n):
-            chunks = F.greatest(F.lit(1), F.ceil(n / F.lit(rows_per_chunk))).cast("double")
-            pos = F.floor((F.col("__v") - lo) / (hi - lo + 1.0) * chunks)
-            return F.when(F.col("__v").isNull(), null_chunk).otherwise(pos.cast("long"))
-
-        if not pk:
-            # one global group: its bounds are scalar subqueries (merged into one aggregate)
-            lo = keyed.select(F.min("__v")).scalar()
-            hi = keyed.select(F.max("__v")).scalar()
-            n = keyed.select(F.count(F.lit(1))).scalar()
-            chunked = keyed.withColumn("__chunk", chunk_of(lo, hi, n)).drop("__v")
-        else:
-            stats = keyed.groupBy(*pk).agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-                                           F.count(F.lit(1)).alias("__n"))
-            st = stats.alias("__st")
-            kd = keyed.alias("__kd")
-            cond = None
-            for n in pk:
-                term = F.col(f"__kd.{n}").eqNullSafe(F.col(f"__st.{n}"))
-                cond = term if cond is None else cond & term
-            chunked = kd.join(st, cond, "inner").select(
-                "__kd.*", chunk_of(F.col("__min"), F.col("__max"), F.col("__n")).alias("__chunk")
-            ).drop("__v")
+        chunked = keyed.withColumn("__chunk", F.when(F.col("__v").isNull(), null_chunk).otherwise(pos)).drop("__v")
     local = chunked.withColumn("__lrn", F.row_number().over(
         Window.partitionBy(*pk, "__chunk").orderBy(*sort_cols)))
-    counts = chunked.groupBy(*pk, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
+    # rows per (group, chunk) read off the numbered rows, which are already
+    # partitioned by (group, chunk): no second pass over the data
+    counts = local.groupBy(*pk, "__chunk").agg(F.max("__lrn").cast("long").alias("__cnt"))
     # one row per (group, chunk): a hot group has at most K + 1 rows here
     before = Window.partitionBy(*pk).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(n).alias(f"{n}_o") for n in pk], F.col("__chunk").alias("__chunk_o"),
