@@ -105,13 +105,13 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
         chunked = keyed.withColumn("__chunk", F.lit(0).cast("long"))
     else:
         keyed = keyed.withColumn("__v", v)
-        # Global bounds as scalar subqueries (Spark merges them into one aggregate):
+        # Global bounds from one scalar subquery (a single aggregate pass):
         # K = ceil(N / rows_per_chunk) equal-width chunks over [min, max], so one
         # chunk holds about rows_per_chunk rows summed over all groups and any one
         # (group, chunk) is bounded by that, with no per-group statistics join.
-        lo = keyed.select(F.min("__v")).scalar()
-        hi = keyed.select(F.max("__v")).scalar()
-        n = keyed.select(F.count(F.lit(1))).scalar()
+        bounds = keyed.select(F.struct(F.min("__v").alias("lo"), F.max("__v").alias("hi"),
+                                       F.count(F.lit(1)).alias("n"))).scalar()
+        lo, hi, n = bounds.getField("lo"), bounds.getField("hi"), bounds.getField("n")
         chunks = F.greatest(F.lit(1), F.ceil(n / F.lit(rows_per_chunk))).cast("double")
         pos = F.floor((F.col("__v") - lo) / (hi - lo + 1.0) * chunks).cast("long")
         # NULL order values sort first ascending and last descending
