@@ -14,3 +14,14 @@ def test_view_matches_sql(spark, sf_dir, con, view):
     df = getattr(fx, view)(spark, sf_dir)
     ok, msg = compare(df, con, fx.with_views(f"SELECT * FROM {view}", view))
     assert ok, msg
+
+
+@pytest.mark.parametrize("view", ["fx_exec", "fx_shout_sum"])
+def test_numbered_views_at_larger_scale(spark, view):
+    """The exact row numbering must hold where data spans many partitions."""
+    from oracle_compare import duck
+
+    sf = "/root/testdata/sf0.1"
+    df = getattr(fx, view)(spark, sf)
+    ok, msg = compare(df, duck(sf), fx.with_views(f"SELECT * FROM {view}", view))
+    assert ok, msg
