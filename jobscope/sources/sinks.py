@@ -71,13 +71,14 @@ def write_per_key(df: DataFrame, path: str, key: str, min_rows: int | None = Non
                   fmt: str = "csv") -> None:
     """One folder per key (optionally only keys with more than ``min_rows`` rows).
 
-    ``repartition(key)`` puts each key's rows in one task so each folder gets a
-    single file; for a hot key use ``partitionBy`` alone (several files per key).
+    A REBALANCE hint on the key keeps a key's rows together (normally one file
+    per folder) while AQE splits an oversized partition, so a hot key is
+    written by several tasks (several files in its folder) instead of one.
     """
     if min_rows is not None:
         keep = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_rows).select(key)
         df = df.join(keep, key, "left_semi")
-    (df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key)
+    (df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key)
      .format(fmt).option("header", True).save(path))
 
 
