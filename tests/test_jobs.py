@@ -44,3 +44,32 @@ def test_threshold_tuning_runs(spark, sf_dir):
     s = out["summary"]
     assert s.count() == s.select("id").distinct().count()
     assert out["impact"].count() == s.count()
+
+
+def test_change_file_append_and_purge(spark):
+    """PL7: appended history (S8) keeps two years (M1); NULL dates are kept."""
+    import os
+
+    from jobscope.sources import sinks as S
+
+    d = tempfile.mkdtemp(prefix="jobscope-test-")
+    with open(f"{d}/c1.csv", "w") as f:
+        f.write("data_operacao;item\n2024-01-10;a\n2020-01-01;old\nbad;x\n")
+    hist_path = os.path.join(d, "hist")
+    first = J.change_file_load(spark, f"{d}/c1.csv", None, "2024-02-01 00:00:00")
+    S.append(first, hist_path)
+    with open(f"{d}/c2.csv", "w") as f:
+        f.write("data_operacao;item\n2024-01-20;b\n")
+    S.append(J.change_file_load(spark, f"{d}/c2.csv", None, "2024-02-01 00:00:00"), hist_path)
+    got = sorted((r.item, r.data_operacao) for r in spark.read.parquet(hist_path).collect())
+    assert got == [("a", dt.date(2024, 1, 10)), ("b", dt.date(2024, 1, 20)), ("x", None)]
+
+
+def test_service_lob_load(spark):
+    """PL8: header-like lines dropped, quotes removed, lob = field2 || field3, app code = last 3."""
+    d = tempfile.mkdtemp(prefix="jobscope-test-")
+    with open(f"{d}/s.csv", "w") as f:
+        f.write('"SERVICE","LOB","X"\n"Pagamentos ABC","L1","2"\n"Cartoes XYZ","L9","9"\n')
+    look = spark.createDataFrame([("L12", "JOB_A")], "lob string, jobname string")
+    got = sorted(tuple(r) for r in J.service_lob_load(spark, f"{d}/s.csv", look).collect())
+    assert got == [("Cartoes XYZ", "L99", "XYZ", None), ("Pagamentos ABC", "L12", "ABC", "JOB_A")]
