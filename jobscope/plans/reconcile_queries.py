@@ -235,3 +235,30 @@ def q_audit_empty(spark, sf):
                                                              - F.make_dt_interval(F.lit(400))))
     o = old.select(F.col("number").alias("alert_id"), F.lit("OK").alias("status"), F.lit(None).cast("string").alias("old_value"))
     return S.audit_log(o, 4, AS_OF, status_col="status", id_col="alert_id", old_col="old_value")
+
+
+def _families_by_order(E):
+    """Incidents where the first incident (by number) of each centre/order is the
+    parent of the others: a family structure derived from the incident table."""
+    inc = E.incident
+    first = inc.groupBy("u_datacenter", "u_orderid").agg(F.min("number").alias("__first"))
+    j = inc.join(first, ["u_datacenter", "u_orderid"], "left")
+    return j.withColumn("parent_incident", F.when(F.col("number") != F.col("__first"), F.col("__first"))) \
+        .drop("__first").select(*inc.columns)
+
+
+@register("j15_incident_families_by_order", sql=f"""
+WITH f AS (SELECT u_datacenter, u_orderid, min(number) AS first_no FROM fx_incident GROUP BY 1, 2),
+inc AS (SELECT i.* REPLACE (CASE WHEN i.number <> f.first_no THEN f.first_no END AS parent_incident)
+        FROM fx_incident i LEFT JOIN f ON i.u_datacenter = f.u_datacenter AND i.u_orderid = f.u_orderid),
+si AS (SELECT * FROM inc i WHERE {SYS}),
+k AS (SELECT parent_incident AS p, count(*) AS child_incidents FROM si WHERE parent_incident IS NOT NULL GROUP BY 1),
+par AS (SELECT si.number AS parent_number, si.u_datacenter AS parent_datacenter, k.child_incidents FROM si JOIN k ON si.number = k.p
+  WHERE NOT si.state IN (6, 7, 8) AND starts_with(si.u_datacenter, 'DS') AND si.u_orderid IS NOT NULL AND si.u_orderid <> ''
+    AND si.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(si.u_additional_info LIKE '%evczx02cto', false))
+SELECT par.*, c.number AS child_number, c.u_datacenter AS child_datacenter, c.u_orderid AS child_orderid, c.u_run_number AS child_run_number,
+  json_extract_string(c.u_additional_info, '$.JOBNAME_ADDINFO') AS child_job_name
+FROM par JOIN inc c ON c.parent_incident = par.parent_number WHERE c.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY""",
+          views=("fx_incident",))
+def q_families_by_order(spark, sf):
+    return RC.incident_families(_families_by_order(Estate(spark, sf)), AS_OF, "DS", description_prefix=None)
