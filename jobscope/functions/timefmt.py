@@ -36,6 +36,21 @@ def parse_date(c, fmt: str) -> Column:
     return F.to_date(F.try_to_timestamp(_c(c), F.lit(fmt)))
 
 
+# Formats tried, in order, when a report's time format is not declared.
+INFERRED_FORMATS = (ISO_TS, "yyyy-MM-dd'T'HH:mm:ss", LONG_TS, "MMM d, yyyy h:mm:ss a", REPORT_TS,
+                    ALERT_TS, DISPLAY_TS, COMPACT_TS, "yyyy-MM-dd")
+
+
+def parse_inferred_ts(c, formats=INFERRED_FORMATS) -> Column:
+    """F5 (inferred): the first of ``formats`` that parses; NULL when none does.
+
+    Stands in for a parser that guesses the layout per value; a fixed, ordered
+    list keeps the result deterministic.
+    """
+    v = _c(c)
+    return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in formats])
+
+
 def parse_report_ts(c) -> Column:
     """execution-report time, with or without the comma after the day."""
     v = F.regexp_replace(_c(c), ",", "")

@@ -35,8 +35,14 @@ def daily_volume(exec_df: DataFrame, day: str | None = None, letter: str = "M",
 
 
 def platform_volume(exec_df: DataFrame, as_of, days: int = 2) -> DataFrame:
-    """A2: executions per platform x start day over the last ``days`` days."""
-    df = trailing_window(exec_df, "start_time", days, as_of)
+    """A2: executions per platform x start day, start between midnight ``days``
+    days before ``as_of`` and midnight of ``as_of`` (both inclusive, as the
+    source's ``BETWEEN CURRENT_DATE() - INTERVAL n DAY AND CURRENT_DATE()``).
+    Order the output by ``data`` descending for the newest-first report (O1).
+    """
+    today = F.to_date(F.lit(as_of).cast("timestamp"))
+    lo = F.date_sub(today, days).cast("timestamp")
+    df = exec_df.filter(F.col("start_time").between(lo, today.cast("timestamp")))
     return (df.groupBy(platform_prefix("data_center").alias("platform"), F.to_date("start_time").alias("data"))
             .agg(F.count(F.lit(1)).alias("n")))
 

@@ -47,7 +47,8 @@ def q_status_volume(spark, sf):
 
 @register("pl10_platform_volume_history", sql=f"""
 SELECT * FROM (SELECT substring(data_center, 1, 2) AS platform, CAST(start_time AS DATE) AS data, count(*) AS n FROM fx_exec
-  WHERE start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 2 DAY GROUP BY ALL) v
+  WHERE start_time BETWEEN CAST(CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL 2 DAY AS TIMESTAMP) AND CAST(CAST(TIMESTAMP '{AS_OF}' AS DATE) AS TIMESTAMP)
+  GROUP BY ALL) v
 WHERE data IS NULL OR data >= TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY""", views=("fx_exec",))
 def q_platform_history(spark, sf):
     return J.platform_volume_job(Estate(spark, sf).runs, None, AS_OF)

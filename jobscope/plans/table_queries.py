@@ -223,9 +223,10 @@ def q_daily_volume_mp(spark, sf):
 
 @register("a2_o1_platform_volume", sql=f"""
 SELECT substring(data_center, 1, 2) AS platform, CAST(start_time AS DATE) AS data, count(*) AS n FROM fx_exec
-WHERE start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 2 DAY GROUP BY ALL ORDER BY n DESC""", views=("fx_exec",))
+WHERE start_time BETWEEN CAST(CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL 2 DAY AS TIMESTAMP) AND CAST(CAST(TIMESTAMP '{AS_OF}' AS DATE) AS TIMESTAMP)
+GROUP BY ALL ORDER BY data DESC""", views=("fx_exec",))
 def q_platform_volume(spark, sf):
-    return A.platform_volume(Estate(spark, sf).runs, AS_OF, 2).orderBy(F.col("n").desc())
+    return A.platform_volume(Estate(spark, sf).runs, AS_OF, 2).orderBy(F.col("data").desc())
 
 
 @register("a4_service_fanout", sql="""

@@ -69,3 +69,10 @@ def test_time_round_trip(spark):
     assert [r.b for r in rows] == [0, 3661, 90061]
     z = spark.createDataFrame([("0000-00-00 00:00:00",)], "t string")
     assert z.select(TF.parse_ts("t", TF.ISO_TS)).collect()[0][0] is None
+
+
+def test_inferred_times(spark):
+    df = spark.createDataFrame([("May 20, 2025 3:04:05 PM",), ("2025-05-20 15:04:05",), ("20250520150405",),
+                                ("20/05/2025 15:04:05",), ("garbage",)], "t string")
+    got = [r[0] for r in df.select(TF.parse_inferred_ts("t")).collect()]
+    assert got[:4] == [dt.datetime(2025, 5, 20, 15, 4, 5)] * 4 and got[4] is None
