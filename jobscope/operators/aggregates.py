@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobscope.functions.text import app_code, platform_prefix
-from jobscope.operators.relational import trailing_window
 
 
 def daily_volume(exec_df: DataFrame, day: str | None = None, letter: str = "M",
@@ -79,9 +78,16 @@ def keys_with_more_than(df: DataFrame, keys, n: int, out: str = "runs") -> DataF
 
 
 def alert_count(alarms: DataFrame, as_of, days: int = 30, cond_col: str = "when_cond",
-                cond: str = "NOTOK", ts_col: str = "host_time") -> DataFrame:
-    """Alerts of one condition per (centre, job) over the last ``days`` days."""
-    df = trailing_window(alarms.filter(F.col(cond_col) == cond), ts_col, days, as_of)
+                cond: str = "NOTOK", ts_col: str = "host_time", centre_prefix: str | None = None) -> DataFrame:
+    """Alerts of one condition per (centre, job) whose day is within ``days``
+    days of ``as_of`` (``DATE(ts) >= CURDATE() - n``, written as a raw timestamp
+    bound so it reaches the scan). The reference keeps ``PRD%`` centres only:
+    pass ``centre_prefix``.
+    """
+    since = F.date_sub(F.to_date(F.lit(as_of).cast("timestamp")), days).cast("timestamp")
+    df = alarms.filter((F.col(cond_col) == cond) & (F.col(ts_col) >= since))
+    if centre_prefix is not None:
+        df = df.filter(F.col("data_center").startswith(centre_prefix))
     return df.groupBy("data_center", "job_name").agg(F.count(F.lit(1)).alias("quant_alert"))
 
 

@@ -125,9 +125,12 @@ def definition_rules(shout: DataFrame, def_job: DataFrame, def_table: DataFrame,
     return r1.unionByName(r2).unionByName(r3)
 
 
-def finalize_summary(candidates: DataFrame, exec_df: DataFrame | None = None) -> DataFrame:
-    """Fill last end (J3), keep the first row per (server, folder, job, notification)
-    by insertion order (W1), cap large numbers (F21), drop rows already right (P9)."""
+def finalize_summary(candidates: DataFrame, exec_df: DataFrame | None = None,
+                     alert_counts: DataFrame | None = None) -> DataFrame:
+    """Fill last end (J3) and, where the last end is unknown, the recent alert
+    count (A7 output: data_center, job_name, quant_alert); keep the first row per
+    (server, folder, job, notification) by insertion order (W1), cap large
+    numbers (F21), drop rows already right (P9)."""
     df = candidates.withColumn("end_time", F.lit(None).cast("timestamp"))
     if exec_df is not None:
         last = exec_df.select(F.col("data_center").alias("server_name"), F.col("sched_table").alias("folder_name"),
@@ -135,6 +138,13 @@ def finalize_summary(candidates: DataFrame, exec_df: DataFrame | None = None) ->
         filled = update_from(df.filter(F.col("valor_correto") != OK),
                              last, ["server_name", "folder_name", "job_name"], {"end_time": "end_time"})
         df = filled.unionByName(df.filter(~(F.col("valor_correto") != OK)))
+    df = df.withColumn("quant_alert", F.lit(0).cast("long"))
+    if alert_counts is not None:
+        cnt = alert_counts.filter(F.col("quant_alert") >= 1).select(
+            F.col("data_center").alias("__srv"), F.col("job_name").alias("__job"), F.col("quant_alert").alias("__qa"))
+        j = df.join(cnt, (df.server_name == cnt["__srv"]) & (df.job_name == cnt["__job"]), "left")
+        fill = F.col("end_time").isNull() & (F.col("job_name") != "") & F.col("__qa").isNotNull()
+        df = j.withColumn("quant_alert", F.when(fill, F.col("__qa")).otherwise(F.col("quant_alert"))).select(*df.columns)
     order_cols = ["rule_no", "media_s", "urgency", "message", "valor_correto", "end_time"]
     df = keep_first(df, ["server_name", "folder_name", "job_name", "notification_time"],
                     [c for c in order_cols if c in df.columns])

@@ -124,12 +124,14 @@ def definitions_mirror(sources: dict, columns=None) -> DataFrame:
 
 
 def threshold_tuning(report, definitions, def_job, def_table, stat, executions, as_of,
-                     centre_prefix: str = "PRD", report_cond: str | None = "EXECTIME") -> dict[str, DataFrame]:
+                     centre_prefix: str = "PRD", report_cond: str | None = "EXECTIME",
+                     alarms: DataFrame | None = None) -> dict[str, DataFrame]:
     """PL4: rule sets (card E) -> final summary -> impact (F8, J8) ->
     model sample (J4, F22) -> seasonality (W3)."""
     cands = TU.report_rules(report, stat, cond=report_cond).unionByName(
         TU.definition_rules(definitions, def_job, def_table, stat, centre_prefix=centre_prefix))
-    summary = TU.finalize_summary(cands, executions)
+    counts = A.alert_count(alarms, as_of, 30, centre_prefix=centre_prefix) if alarms is not None else None
+    summary = TU.finalize_summary(cands, executions, counts)
     from jobscope.operators.ordering import sequence_within
 
     summary = sequence_within(summary, [], ["rule_no", "server_name", "folder_name", "job_name",

@@ -253,15 +253,19 @@ ALARM_SQL = """SELECT server_name AS data_center, job_name, CASE WHEN message =
   alert_time AS host_time FROM fx_alert"""
 
 
+def alarms_of(alert_df):
+    """Alarm table shape (centre, job, condition, time) derived from the alert view."""
+    return alert_df.select(F.col("server_name").alias("data_center"), "job_name",
+                           F.when(F.col("message") == "Ended not OK", "NOTOK").otherwise("LATESUB").alias("when_cond"),
+                           F.col("alert_time").alias("host_time"))
+
+
 @register("a7_alert_count_30_days", sql=f"""
 WITH al AS ({ALARM_SQL}) SELECT data_center, job_name, count(*) AS quant_alert FROM al
-WHERE when_cond = 'NOTOK' AND host_time >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY GROUP BY ALL""", views=("fx_alert",))
+WHERE when_cond = 'NOTOK' AND CAST(host_time AS DATE) >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL 30 DAY
+  AND starts_with(data_center, 'DS') GROUP BY ALL""", views=("fx_alert",))
 def q_alert_count(spark, sf):
-    a = Estate(spark, sf).alert
-    alarms = a.select(F.col("server_name").alias("data_center"), "job_name",
-                      F.when(F.col("message") == "Ended not OK", "NOTOK").otherwise("LATESUB").alias("when_cond"),
-                      F.col("alert_time").alias("host_time"))
-    return A.alert_count(alarms, AS_OF, 30)
+    return A.alert_count(alarms_of(Estate(spark, sf).alert), AS_OF, 30, centre_prefix="DS")
 
 
 @register("a8_daily_mean", sql="""

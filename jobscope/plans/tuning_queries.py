@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from jobscope.operators import tuning as TU
 from jobscope.plans.registry import register
+from jobscope.plans.table_queries import ALARM_SQL
 from jobscope.sources.fixtures import AS_OF_EVENTS, Estate
 
 AS_OF = AS_OF_EVENTS
@@ -66,17 +67,27 @@ def q_rules2(spark, sf):
 @register("e3_threshold_summary_final", sql=f"""
 WITH {RULES1_SQL}, {RULES2_SQL},
 c AS (SELECT * FROM rules1 UNION ALL SELECT * FROM rules2),
-f AS (SELECT c.*, CASE WHEN c.valor_correto <> 'OK' THEN (SELECT max(e.end_time) FROM fx_exec e WHERE e.data_center = c.server_name
+f0 AS (SELECT c.*, CASE WHEN c.valor_correto <> 'OK' THEN (SELECT max(e.end_time) FROM fx_exec e WHERE e.data_center = c.server_name
         AND e.sched_table = c.folder_name AND e.job_name = c.job_name) END AS end_time FROM c),
+al AS ({ALARM_SQL}),
+ac AS (SELECT data_center, job_name, count(*) AS quant_alert FROM al WHERE when_cond = 'NOTOK'
+        AND CAST(host_time AS DATE) >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL 30 DAY AND starts_with(data_center, 'DS') GROUP BY ALL),
+f AS (SELECT f0.*, CAST(CASE WHEN f0.end_time IS NULL AND f0.job_name <> '' AND ac.quant_alert >= 1 THEN ac.quant_alert ELSE 0 END AS BIGINT) AS quant_alert
+        FROM f0 LEFT JOIN ac ON f0.server_name = ac.data_center AND f0.job_name = ac.job_name),
 k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY server_name, folder_name, job_name, notification_time
-        ORDER BY rule_no NULLS FIRST, media_s NULLS FIRST, urgency NULLS FIRST, message NULLS FIRST, valor_correto NULLS FIRST, end_time NULLS FIRST) AS rn FROM f) t WHERE rn = 1),
-x AS (SELECT rule_no, server_name, folder_name, job_name, media_s, notification_time, urgency, message, end_time,
+        ORDER BY rule_no NULLS FIRST, media_s NULLS FIRST, urgency NULLS FIRST, message NULLS FIRST, valor_correto NULLS FIRST, end_time NULLS FIRST,
+        quant_alert NULLS FIRST) AS rn FROM f) t WHERE rn = 1),
+x AS (SELECT rule_no, server_name, folder_name, job_name, media_s, notification_time, urgency, message, end_time, quant_alert,
         CASE WHEN TRY_CAST(replace(valor_correto, '%', '') AS BIGINT) > 999 THEN '+30%' ELSE valor_correto END AS valor_correto FROM k)
 SELECT * FROM x WHERE NOT coalesce(valor_correto = notification_time, false)""",
-          views=("fx_shout_sum", "fx_stat", "fx_shout", "fx_def_job", "fx_def_table", "fx_exec"))
+          views=("fx_shout_sum", "fx_stat", "fx_shout", "fx_def_job", "fx_def_table", "fx_exec", "fx_alert"))
 def q_summary(spark, sf):
+    from jobscope.operators.aggregates import alert_count
+    from jobscope.plans.table_queries import alarms_of
+
     E = Estate(spark, sf)
-    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.runs)
+    counts = alert_count(alarms_of(E.alert), AS_OF, 30, centre_prefix="DS")
+    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.runs, counts)
 
 
 @register("j4_model_executions", sql=f"""

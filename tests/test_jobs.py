@@ -4,6 +4,7 @@ import datetime as dt
 import tempfile
 
 from jobscope.plans import jobs as J
+from jobscope.plans.table_queries import alarms_of
 from jobscope.sources.fixtures import AS_OF_EVENTS, Estate
 
 HEADER = "DATA_CENTER,SCHED_TABLE,APPLICATION,GROUP_NAME,NODE_ID,JOB_NAME,ODATE,START,END,RERUN,STATUS,CPU,ORDER\n"
@@ -40,7 +41,8 @@ def test_alert_load(spark):
 def test_threshold_tuning_runs(spark, sf_dir):
     E = Estate(spark, sf_dir)
     out = J.threshold_tuning(E.shout_sum.drop("media_s"), E.shout, E.def_job, E.def_table, E.stat, E.runs,
-                             AS_OF_EVENTS, centre_prefix="DS", report_cond=None)
+                             AS_OF_EVENTS, centre_prefix="DS", report_cond=None,
+                             alarms=alarms_of(E.alert))
     s = out["summary"]
     assert s.count() == s.select("id").distinct().count()
     assert out["impact"].count() == s.count()
