@@ -82,6 +82,10 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
     its leading order values are spread. Numeric, date and timestamp leading
     columns map directly; a leading run of string columns maps through the
     first bytes of its text; other types give one chunk per group.
+
+    The input is read by three branches (window, counts, bounds), so stacking
+    numberings multiplies the plan; between two of them, write the first result
+    as a table or ``checkpoint()`` it into the shared checkpoint folder.
     """
     parts = [_col(c) for c in partition_by]
     orders = [_col(c) for c in order_by]
@@ -111,12 +115,16 @@ def sequence_within(df: DataFrame, partition_by: Sequence, order_by: Sequence,
         # (group, chunk) is bounded by that, with no per-group statistics join.
         bounds = keyed.select(F.struct(F.min("__v").alias("lo"), F.max("__v").alias("hi"),
                                        F.count(F.lit(1)).alias("n"))).scalar()
-        lo, hi, n = bounds.getField("lo"), bounds.getField("hi"), bounds.getField("n")
+        # the subquery is placed once in a column and read from there: every
+        # textual reference to it would otherwise copy its whole plan
+        keyed = keyed.withColumn("__b", bounds)
+        lo, hi, n = F.col("__b.lo"), F.col("__b.hi"), F.col("__b.n")
         chunks = F.greatest(F.lit(1), F.ceil(n / F.lit(rows_per_chunk))).cast("double")
         pos = F.floor((F.col("__v") - lo) / (hi - lo + 1.0) * chunks).cast("long")
         # NULL order values sort first ascending and last descending
         null_chunk = F.lit(-1 if not descending else (1 << 62)).cast("long")
-        chunked = keyed.withColumn("__chunk", F.when(F.col("__v").isNull(), null_chunk).otherwise(pos)).drop("__v")
+        chunked = (keyed.withColumn("__chunk", F.when(F.col("__v").isNull(), null_chunk).otherwise(pos))
+                   .drop("__v", "__b"))
     local = chunked.withColumn("__lrn", F.row_number().over(
         Window.partitionBy(*pk, "__chunk").orderBy(*sort_cols)))
     # rows per (group, chunk) read off the numbered rows, which are already

@@ -132,10 +132,9 @@ def threshold_tuning(report, definitions, def_job, def_table, stat, executions,
         TU.definition_rules(definitions, def_job, def_table, stat, centre_prefix=centre_prefix))
     counts = A.alert_count(alarms, as_of, 30, centre_prefix=centre_prefix) if alarms is not None else None
     summary = TU.finalize_summary(cands, executions, counts)
-    from jobscope.operators.ordering import sequence_within
-
-    summary = sequence_within(summary, [], ["rule_no", "server_name", "folder_name", "job_name",
-                                            "notification_time"], name="id")
+    # After keep_first the (server, folder, job, notification) key is unique: it
+    # is the row id the impact count groups by (no global numbering needed).
+    summary = summary.withColumn("id", F.struct("server_name", "folder_name", "job_name", "notification_time"))
     return {"summary": summary, "impact": TU.threshold_impact(summary, executions),
             "model": TU.model_executions(executions, summary, as_of, jitter=True),
             "seasonality": seasonality(executions)}

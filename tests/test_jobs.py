@@ -44,8 +44,9 @@ def test_threshold_tuning_runs(spark, sf_dir):
                              AS_OF_EVENTS, centre_prefix="DS", report_cond=None,
                              alarms=alarms_of(E.alert))
     s = out["summary"]
-    assert s.count() == s.select("id").distinct().count()
-    assert out["impact"].count() == s.count()
+    n = s.count()
+    assert n == s.select("id").distinct().count()
+    assert out["impact"].count() == n
 
 
 def test_change_file_append_and_purge(spark):
