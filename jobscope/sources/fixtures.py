@@ -207,12 +207,22 @@ def fx_edge(spark: SparkSession, sf_dir: str, active_df: DataFrame | None = None
 
 
 class Estate:
-    """Lazily built fixture views for one scale directory, sharing common parents."""
+    """Lazily built fixture views for one scale directory, sharing common parents.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``materialize=True`` writes the numbered executions once with a reliable
+    ``checkpoint()`` into the session's shared checkpoint folder, the way the
+    derived table would exist once in production: every view built on it
+    (alerts, active jobs, incidents) then reads that copy instead of repeating
+    the numbering in each plan branch, and the lineage is cut.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
         self.spark, self.sf_dir = spark, sf_dir
+        self.materialize = Estate.MATERIALIZE if materialize is None else materialize
         self._cache: dict[str, DataFrame] = {}
 
+    MATERIALIZE = False
+
     def _get(self, name, build):
         if name not in self._cache:
             self._cache[name] = build()
@@ -223,7 +233,15 @@ class Estate:
 
     @property
     def exec(self):
-        return self._get("exec", lambda: fx_exec(self.spark, self.sf_dir))
+        def build():
+            df = fx_exec(self.spark, self.sf_dir)
+            if self.materialize:
+                from jobscope.session import checkpoint_dir
+
+                checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            return df
+        return self._get("exec", build)
 
     @property
     def runs(self):
