@@ -21,21 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ColLike = "str | Column"
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _null_safe_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column | None:
-    cond = None
-    for n in names:
-        term = left[n].eqNullSafe(right[n])
-        cond = term if cond is None else cond & term
-    return cond
-
-
 def _monotone_number(c: Column, dtype) -> Column | None:
     """A numeric image of ``c`` that never decreases when ``c`` increases, or None."""
     t = dtype.typeName()

@@ -45,8 +45,6 @@ from jobscope.operators.relational import alerts_if_threshold, trailing_window,
 # ---------------------------------------------------------------------------
 MIN_30, MIN_50, MIN_60, MIN_90 = 30 * 60, 50 * 60, 60 * 60, 90 * 60
 PCT_3, PCT_70, OK = "+03%", "+070%", "OK"
-SUMMARY_COLS = ["rule_no", "server_name", "folder_name", "job_name", "media_s", "notification_time",
-                "urgency", "message", "valor_correto"]
 
 
 def _lit_or_col(df: DataFrame, name: str, default=None) -> Column:

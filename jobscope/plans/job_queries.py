@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobscope.operators import reconcile as RC
 from jobscope.operators.aggregates import service_fanout
 from jobscope.plans import jobs as J
 from jobscope.plans.catalogue import VERY_URGENT_JOBS, build_catalogue

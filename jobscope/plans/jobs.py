@@ -26,8 +26,6 @@ ALERT_FIELDS = ["serial", "alert_key", "node", "node_alias", "agent", "alert_gro
                 "server", "severity", "summary", "first_occurrence", "last_occurrence", "internal_last", "poll",
                 "tally", "expire_time", "owner_uid"]
 ALERT_TIME_FIELDS = ("first_occurrence", "last_occurrence", "internal_last")
-EXEC_COLUMNS = ["data_center", "sched_table", "application", "group_name", "node_id", "job_name", "odate",
-                "start_time", "end_time", "rerun_counter", "completion_status", "average_cpu_time", "order_id"]
 
 
 def alert_load(spark: SparkSession, path, current: DataFrame | None = None) -> DataFrame:
