@@ -117,8 +117,8 @@ def alerts_without_incident(alerts: DataFrame, incidents: DataFrame, as_of, look
     with* the alert's id, created at or after ``alert_time - lookback_hours``,
     and whose number equals the ``INC...`` text of the notes when present.
 
-    The starts-with test is made an equality: every prefix of an incident's
-    alert id is emitted once (a few per incident), so the join key becomes
+    The starts-with test is made an equality: each prefix of an incident's alert
+    id whose length occurs among the alert ids is emitted once, so the join key becomes
     (centre, order, prefix[, number]) and the time test becomes ``max(created_on)``
     per key >= alert time. No alert is compared with a list of incidents.
     """
@@ -126,10 +126,16 @@ def alerts_without_incident(alerts: DataFrame, incidents: DataFrame, as_of, look
     recent = alerts.filter(F.to_date("alert_time") >= F.date_sub(F.to_date(as_of_ts), max_age_days))
     a = recent.withColumn("__inc", incident_in_notes("notes")).withColumn(
         "__since", _hours_before(F.col("alert_time"), lookback_hours))
-    inc = _system_incidents(incidents).select(
+    # A prefix can only equal an alert id of the same length: emit only the
+    # lengths that occur among the alert ids (one scalar subquery, placed once).
+    lens = recent.select(F.struct(F.min(F.length(F.col("alert_id").cast("string"))).alias("lo"),
+                                  F.max(F.length(F.col("alert_id").cast("string"))).alias("hi"))).scalar()
+    inc = _system_incidents(incidents).withColumn("__len", lens).select(
         "u_datacenter", "u_orderid", "number", "sys_created_on",
-        F.explode(F.expr("transform(sequence(1, length(u_alert_id)), i -> substring(u_alert_id, 1, i))"))
-        .alias("prefix"))
+        # (sequence() counts down when start > stop: guard so short ids emit nothing)
+        F.explode(F.expr("CASE WHEN __len.lo <= least(length(u_alert_id), __len.hi) THEN "
+                         "transform(sequence(__len.lo, least(length(u_alert_id), __len.hi)), "
+                         "i -> substring(u_alert_id, 1, i)) END")).alias("prefix"))
     by_key = inc.groupBy("u_datacenter", "u_orderid", "prefix").agg(F.max("sys_created_on").alias("__last_any"))
     by_num = inc.groupBy("u_datacenter", "u_orderid", "prefix", "number").agg(
         F.max("sys_created_on").alias("__last_num"))
