@@ -12,7 +12,7 @@ from jobscope.operators.reconcile import (  # noqa: F401
 )
 from jobscope.operators.relational import (  # noqa: F401
     Rule, alerts_if_threshold, anti_join, apply_rules, assert_empty, keep_unless, latest_execution, mttr, purge,
-    require_volume, singletons, snapshot_diff, trailing_window, update_from, upsert, volume_guard,
+    recode_by_table, require_volume, singletons, snapshot_diff, trailing_window, update_from, upsert, volume_guard,
 )
 from jobscope.operators.seasonality import decompose, seasonality  # noqa: F401
 from jobscope.operators.tuning import (  # noqa: F401

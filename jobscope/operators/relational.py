@@ -268,3 +268,18 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 F.expr(r.value_sql) if r.value_sql is not None else F.lit(r.value))
             df = df.withColumn(r.column, F.when(pred, val).otherwise(F.col(r.column)))
     return df
+
+
+def recode_by_table(df: DataFrame, col: str, mapping: DataFrame, key: str = "key", value: str = "value",
+                    keep_unmapped: bool = True) -> DataFrame:
+    """F15 for large maps: replace ``col`` through a mapping table by a left join.
+
+    A ``CASE`` chain (``functions.text.recode``) suits a handful of fixed values;
+    a long map is a table, joined on the key (AQE broadcasts it when its measured
+    size is small). The map must have one row per key; unmapped values stay
+    unchanged unless ``keep_unmapped=False`` (then NULL).
+    """
+    m = mapping.select(F.col(key).alias("__mk"), F.col(value).alias("__mv"))
+    j = df.join(m, df[col] == m["__mk"], "left")
+    new = F.coalesce(F.col("__mv"), df[col]) if keep_unmapped else F.col("__mv")
+    return j.select(*[new.alias(c) if c == col else df[c] for c in df.columns])

@@ -76,3 +76,14 @@ def test_inferred_times(spark):
                                 ("20/05/2025 15:04:05",), ("garbage",)], "t string")
     got = [r[0] for r in df.select(TF.parse_inferred_ts("t")).collect()]
     assert got[:4] == [dt.datetime(2025, 5, 20, 15, 4, 5)] * 4 and got[4] is None
+
+
+def test_recode_by_table(spark):
+    from jobscope.operators.relational import recode_by_table
+
+    df = spark.createDataFrame([(1, "Job execution time"), (2, "other"), (3, None)], "id int, w string")
+    m = spark.createDataFrame([("Job execution time", "EXECTIME")], "key string, value string")
+    got = sorted((r.id, r.w) for r in recode_by_table(df, "w", m).collect())
+    assert got == [(1, "EXECTIME"), (2, "other"), (3, None)]
+    strict = sorted((r.id, r.w) for r in recode_by_table(df, "w", m, keep_unmapped=False).collect())
+    assert strict == [(1, "EXECTIME"), (2, None), (3, None)]
