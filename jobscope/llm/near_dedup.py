@@ -27,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobscope.llm.common import discard, ship, written
+from jobscope.llm.common import discard, fresh, ship, written
 from jobscope.llm.graph import components
 from jobscope.llm.hashing import mix64, shingle_hashes
 
@@ -236,3 +236,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
     out = out.unionAll(sig.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, **settings) -> DataFrame:
+    """One row of each near-duplicate group, all columns kept; rows that share an id count as one document."""
+    found = written(near_duplicates(docs, **settings), "groups")
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = written(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                    "repeated")
+    if again.isEmpty():
+        return left
+    turn = fresh(docs, "turn")
+    one = left.join(again, "doc_id", "left_semi").withColumn(turn, F.row_number().over(
+        Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where(F.col(turn) == 1)
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionAll(one.select(*docs.columns))

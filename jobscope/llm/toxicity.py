@@ -124,8 +124,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_r
                depth: int = 3) -> DataFrame:
     """The documents that score below ``threshold``, all columns kept.
 
-    Texts are not shuffled: features are made beside them, and only those of
-    labelled rows are made a second time for the fit.
+    Texts are not shuffled: the fit reads a written table of features, and the
+    scores are made beside the texts.
     """
     x, out = fresh(docs, "tox_x"), fresh(docs, "tox_score")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("y"))
