@@ -11,9 +11,9 @@
    others are paired with it: pairs grow with rows, not with their square.
 4. Pairs that size and signature do not rule out are confirmed on the full
    sets, and links are closed to components.
-5. Buckets that still hold several components get further centres, then every
-   remaining pair across components whose signatures allow the threshold is
-   confirmed as well, so no link between different texts is lost.
+5. Members of buckets that still hold several components are compared in full with all
+   members of other components that size and signature do not rule out, in blocks; only links that join
+   components come out, so no connection between different texts is lost and output stays linear.
 
 Defined results: a null or empty text, or one without words, has the empty set
 and is linked with nothing; a null id links nothing, is kept and has a null
@@ -35,7 +35,6 @@ from jobscope.llm.graph import components
 from jobscope.llm.hashing import mix64, shingle_hashes
 
 BANDS, ROWS = 40, 5
-STARS = 2
 #: A pair whose signatures agree on this much less than the threshold is ruled out (five standard errors at 200 slots).
 MARGIN = 0.15
 
@@ -122,14 +121,6 @@ def _plausible(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs whose full sets satisfy 100 * |A & B| >= percent * |A | B|."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                s = b.slice(lo, 500)
-                yield pa.RecordBatch.from_arrays(
-                    [s.column(0), pa.array([shingle_hashes(t, words).tobytes() for t in s.column(1).to_pylist()],
-                                           pa.binary())], names=["id", "shingles"])
-
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             good = []
@@ -140,8 +131,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    full = written(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-                   .mapInArrow(sets, "id long, shingles binary"), "sets")
+    full = written(_set_rows(docs, ids, words), "sets")
     x, y = (full.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     out = written(pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long"),
                   "links")
@@ -149,38 +139,78 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return out
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Every pair of one bucket's members from different components that signatures allow.
+def _set_rows(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the documents in ``ids``."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 500):
+                s = b.slice(lo, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [s.column(0), pa.array([shingle_hashes(t, words).tobytes() for t in s.column(1).to_pylist()],
+                                           pa.binary())], names=["id", "shingles"])
+
+    return docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(
+        sets, "id long, shingles binary")
+
+
+def spanning_links(rep: np.ndarray, comp: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], left: np.ndarray,
+                   right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of ``left`` and ``right`` that join different components, each of them confirmed.
 
-    Only buckets left over by the centre rounds come here. A bucket is compared
-    in blocks of ``block`` rows: block i meets block j in the task (key, i, j).
+    Every pair across components is ruled out by size or signature or compared in full;
+    components that a link has joined are one from then on, so no more links than components come out.
     """
-    block = 2000
+    label = np.unique(comp, return_inverse=True)[1]
+    n = np.array([len(s) for s in sets], np.int64)
+    flat, start = np.concatenate(sets), np.concatenate(([0], np.cumsum(n)))
+    out = []
+    for x in left:
+        y = right[label[right] != label[x]]
+        y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
+        if len(y):
+            same = (bits[y] == bits[x]).mean(axis=1)
+            y = y[(same - 1 / 256) * 256 / 255 >= percent / 100 - MARGIN]
+        if not len(y):
+            continue
+        ends = np.cumsum(n[y])
+        values = flat[np.repeat(start[y] - (ends - n[y]), n[y]) + np.arange(ends[-1])]
+        at = np.minimum(np.searchsorted(sets[x], values), n[x] - 1)
+        both = np.add.reduceat((sets[x][at] == values).astype(np.int64), ends - n[y])
+        for k in y[100 * both >= percent * (n[x] + n[y] - both)]:
+            if label[k] != label[x]:
+                out.append((int(min(rep[x], rep[k])), int(max(rep[x], rep[k]))))
+                label[label == label[k]] = label[x]
+    return out
+
+
+def _across(left: DataFrame, heads: DataFrame, docs: DataFrame, words: int, percent: int, block: int = 3000) -> DataFrame:
+    """Links (a, b) between components that still share buckets.
 
+    Buckets that share a member form a cluster; each member comes once, with its set, and a
+    cluster is compared in blocks: block i meets block j in the task (cluster, i, j).
+    """
     def compare(t: pa.Table) -> pa.Table:
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        rep, comp, n, blk = (t.column(c).to_numpy() for c in ("rep", "comp", "n", "blk"))
+        t = t.sort_by("rep")
+        rep, comp, blk = (t.column(c).to_numpy() for c in ("rep", "comp", "blk"))
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-        out = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) if i == j else True)]
-            y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
-            if len(y):
-                same = (bits[y] == bits[x]).mean(axis=1)
-                y = y[(same - 1 / 256) * 256 / 255 >= percent / 100 - MARGIN]
-                out += [(min(rep[x], rep[k]), max(rep[x], rep[k])) for k in y]
-        a, b = zip(*out) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    size = members.groupBy("key").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    cut = members.join(size, "key").withColumn("blocks", blocks).withColumn(
-        "blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
-        "i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
-    return dealt.select("key", "i", "j", "blk", "rep", "comp", "n", "bits").groupBy("key", "i", "j").applyInArrow(
-        compare, "a long, b long").distinct()
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        links = spanning_links(rep, comp, bits, sets, np.flatnonzero(blk == i), np.flatnonzero(blk == j), percent)
+        return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate("ab")})
+
+    low = left.groupBy("key").agg(F.min("rep").alias("low"))
+    cluster = components(left.join(low, "key").select(F.col("rep").alias("a"), F.col("low").alias("b")))
+    cluster = cluster.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    rows = written(left.select("rep", "comp").distinct().join(cluster, "rep"), "clusters")
+    sets = _set_rows(docs, rows.select(F.col("rep").alias("id")), words)
+    size = rows.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = (rows.join(size, "cluster").join(heads.select(F.col("doc_id").alias("rep"), "bits"), "rep")
+            .join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
+            .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
+    return written(rows.select("cluster", "i", "j", "blk", "rep", "comp", "bits", "shingles").groupBy("cluster", "i", "j")
+                   .applyInArrow(compare, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = BANDS, rows: int = ROWS,
@@ -200,36 +230,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     degree = members.groupBy("rep").agg(F.sum("size").alias("degree"))
     members = written(members.select("key", "rep").join(degree, "rep"), "members")
 
-    links, comps, done = None, None, None
-    for turn in range(STARS + 1):
-        left = members
-        if comps is not None:
-            left = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-                "comp", F.coalesce("component", "rep")).drop("component")
-            mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-            left = written(left.join(mixed.select("key"), "key", "left_semi"), "open")
-            if left.isEmpty():
-                break
-        if turn < STARS:
-            if comps is None:
-                best = left.groupBy("key").agg(F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("centre"))
-                pairs = left.join(best, "key").where("rep <> centre")
-            else:  # the best member outside the component of the bucket's first centre
-                first = left.groupBy("key").agg(F.max_by("comp", F.struct("degree", -F.col("rep"))).alias("main"))
-                rest = left.join(first, "key")
-                best = rest.where("comp <> main").groupBy("key").agg(
-                    F.max_by(F.struct(F.col("rep").alias("centre"), F.col("comp").alias("own")),
-                             F.struct("degree", -F.col("rep"))).alias("c")).select("key", "c.*")
-                pairs = left.join(best, "key").where("comp <> own")
-            pairs = pairs.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-            pairs = _plausible(pairs, heads, percent)
-        else:
-            pairs = _across(left.join(heads.select(F.col("doc_id").alias("rep"), "n", "bits"), "rep"), percent)
-        pairs = written(pairs.join(done, ["a", "b"], "left_anti") if done is not None else pairs, "pairs")
-        done = pairs if done is None else done.unionAll(pairs)
-        found = _confirmed(pairs, docs, words, percent)
-        links = found if links is None else links.unionAll(found)
-        comps = written(components(links), "components")
+    best = members.groupBy("key").agg(F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("centre"))
+    pairs = members.join(best, "key").where("rep <> centre").select(
+        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+    links = _confirmed(written(_plausible(pairs, heads, percent), "pairs"), docs, words, percent)
+    comps = written(components(links), "components")
+    left = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("comp"))
+    mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    left = written(left.join(mixed.select("key"), "key", "left_semi"), "open")
+    more = _across(left, heads, docs, words, percent)
+    if not more.isEmpty():
+        comps = written(components(links.unionAll(more)), "components")
     member = sig.where("n > 0").select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
     out = member.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
