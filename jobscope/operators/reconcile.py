@@ -20,19 +20,19 @@ from jobscope.operators.ordering import keep_first
 
 # ---------------------------------------------------------------------------
 # Fixed values of the reconciliation rules.
-# incident origin: created_by 'system', source 'ControlM', category 'monitoring'
-# audit event: metric 'Auditoria - Cancelamento de Rotina', source 'EventHub-AWS'
+# incident origin: created_by 'system', source 'scheduler', category 'monitoring'
+# audit event: metric 'Auditoria - Cancelamento de Rotina', source 'event-hub'
 # job states: 'Executing', 'Ended Not OK'; cyclic flag 'Yes'
 # open incident states 1, 2, 3; closed states 6, 7, 8
-# excluded host in additional info: '%evczx02cto'
+# excluded host anywhere in additional info: '%host-x%'
 # family parent description prefix: 'Cancelamento'
 # ---------------------------------------------------------------------------
-INC_CREATED_BY, INC_SOURCE, INC_CATEGORY = "system", "ControlM", "monitoring"
-AUDIT_METRIC, AUDIT_SOURCE = "Auditoria - Cancelamento de Rotina", "EventHub-AWS"
+INC_CREATED_BY, INC_SOURCE, INC_CATEGORY = "system", "scheduler", "monitoring"
+AUDIT_METRIC, AUDIT_SOURCE = "Auditoria - Cancelamento de Rotina", "event-hub"
 EXECUTING, ENDED_NOT_OK = "Executing", "Ended Not OK"
 OPEN_STATES = (1, 2, 3)
 CLOSED_STATES = (6, 7, 8)
-EXCLUDED_HOST_LIKE = "%evczx02cto"
+EXCLUDED_HOST_LIKE = "%host-x%"
 FAMILY_PREFIX = "Cancelamento"
 
 
@@ -109,13 +109,14 @@ def jobs_without_alert(jobs: DataFrame, alerts: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- card B, J12
 
 def alerts_without_incident(alerts: DataFrame, incidents: DataFrame, as_of, lookback_hours: int = 2,
-                            max_age_days: int = 2) -> DataFrame:
+                            max_age_days: int = 2, match_number: bool = True) -> DataFrame:
     """J12 (card B): recent alerts with no matching incident, ``error = 'Not Found'``.
 
     Alerts older than ``max_age_days`` (by calendar day) are skipped. A match is
     a system incident on the same centre and order, whose alert id *starts
     with* the alert's id, created at or after ``alert_time - lookback_hours``,
-    and whose number equals the ``INC...`` text of the notes when present.
+    and whose number equals the ``INC...`` text of the notes when present
+    (``match_number=False``: the later searches, which do not test the number).
 
     The starts-with test is made an equality: each prefix of an incident's alert
     id whose length occurs among the alert ids is emitted once, so the join key becomes
@@ -146,11 +147,19 @@ def alerts_without_incident(alerts: DataFrame, incidents: DataFrame, as_of, look
     j = (j.join(by_num, (F.col("server_name") == by_num.u_datacenter) & (F.col("run_id") == by_num.u_orderid)
                 & (aid == by_num.prefix) & (F.col("__inc") == by_num.number), "left")
          .drop("u_datacenter", "u_orderid", "prefix", "number"))
-    last = F.when(F.col("__inc").isNull(), F.col("__last_any")).otherwise(F.col("__last_num"))
+    last = F.when(F.lit(not match_number) | F.col("__inc").isNull(), F.col("__last_any")).otherwise(F.col("__last_num"))
     found = F.coalesce(last >= F.col("__since"), F.lit(False))
     return j.filter(~found).select(*alerts.columns, F.lit("Not Found").alias("error"))
 
 
+def alerts_never_matched(alerts: DataFrame, incidents: DataFrame, as_of, lookback_hours: int = 2,
+                         max_age_days: int = 2) -> DataFrame:
+    """J12, all searches: what the first one misses is searched again among incidents
+    created at or after the alert, whatever their number; only alerts that both miss stay."""
+    first = alerts_without_incident(alerts, incidents, as_of, lookback_hours, max_age_days).drop("error")
+    return alerts_without_incident(first, incidents, as_of, 0, max_age_days, match_number=False)
+
+
 # --------------------------------------------------------------------------- card H, J13
 
 def drop_already_reported(jobs: DataFrame, events: DataFrame | None, incidents: DataFrame | None,
@@ -223,21 +232,23 @@ def incident_families(incidents: DataFrame, as_of, server: str = "DS", days: int
     """Parent incidents (children > 0, still open, older than the cut-off)
     paired with their children that are older than ``child_days``.
 
-    The cut-off is 10 days for ``DS`` centres and 15 otherwise unless ``days`` is given.
+    The cut-off is 10 days for ``DS`` centres and 15 otherwise unless ``days`` is given;
+    children must be older than both cut-offs. Who created the incidents is not tested.
     ``description_prefix=None`` skips the description test (tables without one).
     """
     days = days if days is not None else (10 if server == "DS" else 15)
     as_of_ts = F.lit(as_of).cast("timestamp")
-    inc = with_child_counts(_system_incidents(incidents)) if "child_incidents" not in incidents.columns \
-        else _system_incidents(incidents)
-    parents = inc.filter((F.col("child_incidents") > 0) & ~F.col("state").isin(*CLOSED_STATES)
+    inc = with_child_counts(incidents) if "child_incidents" not in incidents.columns else incidents
+    older = as_of_ts - F.make_dt_interval(F.lit(max(days, child_days)))
+    parents = inc.filter((F.col("u_source") == INC_SOURCE) & (F.col("category") == INC_CATEGORY)
+                         & (F.col("child_incidents") > 0) & ~F.col("state").isin(*CLOSED_STATES)
                          & F.col("u_datacenter").startswith(server) & F.col("u_orderid").isNotNull()
                          & (F.col("u_orderid") != "")
-                         & (F.col("sys_created_on") < as_of_ts - F.make_dt_interval(F.lit(days)))
+                         & (F.col("sys_created_on") < older)
                          & ~F.coalesce(F.col("u_additional_info").like(EXCLUDED_HOST_LIKE), F.lit(False)))
     if description_prefix is not None and "description" in inc.columns:
         parents = parents.filter(F.col("description").startswith(description_prefix))
-    children = incidents.filter(F.col("sys_created_on") < as_of_ts - F.make_dt_interval(F.lit(child_days)))
+    children = incidents.filter(F.col("sys_created_on") < older)
     p = parents.select(F.col("number").alias("parent_number"), F.col("u_datacenter").alias("parent_datacenter"),
                        F.col("child_incidents"))
     c = children.select(F.col("number").alias("child_number"), F.col("parent_incident"),
@@ -265,6 +276,14 @@ def cleanup_candidates(incidents: DataFrame, as_of, server: str = "DS", days: in
             .withColumn("job_name", json_field("u_additional_info", "$.JOBNAME_ADDINFO")))
 
 
+def family_members(incidents: DataFrame, as_of, server: str = "DS", **cutoffs) -> DataFrame:
+    """Incidents of J15's families that get a card C decision: each old child, then the parent."""
+    pairs = incident_families(incidents, as_of, server, **cutoffs)
+    ids = pairs.select(F.col("child_number").alias("__n")).union(pairs.select(F.col("parent_number").alias("__n"))).distinct()
+    return (incidents.join(ids, incidents.number == ids["__n"], "left_semi")
+            .withColumn("job_name", json_field("u_additional_info", "$.JOBNAME_ADDINFO")))
+
+
 def cleanup_decision(candidates: DataFrame, job_status: DataFrame) -> DataFrame:
     """J16 (card C): decision per candidate incident from the job's current state.
 

@@ -88,17 +88,17 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mapp
     return joined.select(*out)
 
 
-def mttr(exec_df: DataFrame, as_of, days: int = 10) -> DataFrame:
+def mttr(exec_df: DataFrame, as_of, days: int = 10, date_col: str = "odate") -> DataFrame:
     """Repair time of a failed attempt r = end(r) - start(r-1), both failed.
 
     INTENT of a statement that does not parse as written: pair each failed
     attempt with the previous failed attempt (counter - 1) of the same order and
-    job, within the last ``days`` days. Written as an equi-join on
+    job, whose order date is within the last ``days`` days. Written as an equi-join on
     (order, job, counter) = (order, job, counter + 1): the join key is unique
     per attempt, so a busy order or job cannot concentrate in one task.
     """
     since = _ts(as_of) - F.make_dt_interval(F.lit(days))
-    failed = exec_df.filter((F.col("completion_status") == "Ended Not OK") & (F.col("start_time") >= since))
+    failed = exec_df.filter((F.col("completion_status") == "Ended Not OK") & (F.col(date_col) >= since))
     cur = failed.select("data_center", "order_id", "job_name", "rerun_counter", "start_time", "end_time")
     prev = failed.select(F.col("order_id").alias("p_order_id"), F.col("job_name").alias("p_job_name"),
                          (F.col("rerun_counter") + 1).alias("p_next"), F.col("start_time").alias("prev_start_time"))
@@ -173,17 +173,16 @@ def snapshot_diff(cur: DataFrame, prev: DataFrame, key: str = "job_name", flag:
 
 # --------------------------------------------------------------------------- upsert
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           order_col: str | None = None) -> DataFrame:
+def upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """``REPLACE INTO`` — an update replaces the target row with the same key;
-    inside the batch the last row (by ``order_col``) wins.
+    inside the batch the last row by ``order_col`` wins (ties: the largest row). Without a target
+    the batch is still reduced to one row per key.
     """
-    if order_col is not None:
-        updates = keep_first(updates, list(keys), [order_col], descending=True)
-    else:
-        updates = updates.dropDuplicates(list(keys))
+    updates = keep_first(updates, list(keys), [order_col], descending=True)
+    if target is None:
+        return updates
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
 
 # --------------------------------------------------------------------------- guards

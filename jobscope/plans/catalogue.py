@@ -69,7 +69,7 @@ def build_catalogue(def_job: DataFrame, def_table: DataFrame, as_of_date, enviro
                               F.lit(None).cast("string").alias("criticality"), F.lit(MAINFRAME_NODE_GROUP).alias("node_group"),
                               d.alias("date_load"), F.lit(MAINFRAME_ENV).alias("ambiente"),
                               F.lit(None).cast("string").alias("lob_bim"))
-        cat = upsert(cat, mf, ["data_center", "sched_table", "job_name"])
+        cat = upsert(cat, mf, ["data_center", "sched_table", "job_name"], "memname")
     if code_lookup is not None:
         cards = cat.filter(F.col("data_center").isin(*CARD_CENTRES))
         fixed = update_from(cards, code_lookup, {"sigla": "siglaSH"}, {"sigla": "siglaFULL"})

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from jobscope.operators.aggregates import service_fanout
 from jobscope.plans import jobs as J
 from jobscope.plans.catalogue import VERY_URGENT_JOBS, build_catalogue
-from jobscope.plans.reconcile_queries import (AUDIT_EVENTS_SQL, FAILED_MSG_SQL, SYS, _audit_events,
-                                              _failed_jobs, _failed_messages, _j12_sql, _lists)
+from jobscope.plans.reconcile_queries import (AUDIT_EVENTS_SQL, FAILED_MSG_SQL, ORIGIN, SYS, _audit_events,
+                                              _failed_jobs, _failed_messages, _j12_both_sql, _lists)
 from jobscope.plans.registry import register
 from jobscope.plans.services import service_map_load
 from jobscope.plans.table_queries import CATALOG_SQL, DIFF_SQL
@@ -24,7 +24,7 @@ END_DAY = "substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10)"
 
 
 @register("pl2_snapshot_job_summary", sql=f"""
-WITH d AS ({DIFF_SQL}), g AS (SELECT * FROM d WHERE (SELECT count(*) FROM d) <= 5000),
+WITH d AS ({DIFF_SQL}), g AS (SELECT * FROM d),
 c AS (SELECT t.data_center, {APP_M.replace('job_name', 'g.job_name')} AS sigla FROM g JOIN fx_def_table t ON g.table_id = t.table_id)
 SELECT substring(data_center, 1, 2) AS platform, sigla, count(*) AS n, DATE '{AS_OF_DATES}' AS data FROM c GROUP BY ALL""",
           views=("fx_jobs_cur", "fx_jobs_prev", "fx_def_table"))
@@ -35,13 +35,13 @@ def q_snapshot_job(spark, sf):
 
 @register("pl9_status_volume_day", sql=f"""
 SELECT {END_DAY} AS data, substring(data_center, 1, 2) AS ambiente, data_center, {APP_M} AS sigla, completion_status AS status, count(*) AS volume
-FROM fx_exec WHERE data_center NOT IN ('M-REDE-R', 'M-CARTAO-R') AND {END_DAY} = '{DAY}' GROUP BY ALL
+FROM fx_exec WHERE starts_with(data_center, 'DS') AND {END_DAY} = '{DAY}' GROUP BY ALL
 UNION ALL
-SELECT {END_DAY} AS data, substring(data_center, 1, 2) AS ambiente, data_center, {APP_P} AS sigla, completion_status AS status, count(*) AS volume
-FROM fx_exec WHERE starts_with(data_center, 'MP') AND data_center NOT IN ('MP-CARTAO-R', 'MP-REDE-R') AND {END_DAY} = '{DAY}' GROUP BY ALL""",
+SELECT {END_DAY} AS data, CASE WHEN data_center = 'MP' THEN '1' ELSE '2' END AS ambiente, data_center, {APP_P} AS sigla, completion_status AS status, count(*) AS volume
+FROM fx_exec WHERE starts_with(data_center, 'MP') AND {END_DAY} = '{DAY}' GROUP BY ALL""",
           views=("fx_exec",))
 def q_status_volume(spark, sf):
-    return J.status_volume(Estate(spark, sf).runs, DAY)
+    return J.status_volume(Estate(spark, sf).runs, DAY, open_prefix="DS")
 
 
 @register("pl10_platform_volume_history", sql=f"""
@@ -54,11 +54,9 @@ def q_platform_history(spark, sf):
 
 
 @register("pl11_service_map_distinct", sql=f"""
-WITH c AS (SELECT replace(data_center, '"', '') AS data_center, replace(jobname, '"', '') AS jobname, replace(memname, '"', '') AS memname,
-             replace(service_name, '"', '') AS service_name, data_car FROM fx_bim),
-u AS (SELECT * FROM c GROUP BY ALL HAVING count(*) = 1),
+WITH u AS (SELECT * FROM fx_bim GROUP BY ALL HAVING count(*) = 1),
 h AS (SELECT * FROM u WHERE data_car IS NULL OR data_car >= TIMESTAMP '{AS_OF_DATES} 00:00:00' - INTERVAL 39 DAY)
-SELECT DISTINCT data_center, jobname, memname, service_name FROM h""", views=("fx_bim",))
+SELECT DISTINCT replace(service_name, '"', '') AS service_name, replace(jobname, '"', '') AS jobname FROM h""", views=("fx_bim",))
 def q_service_map(spark, sf):
     _, dmap = service_map_load(Estate(spark, sf).bim, None, f"{AS_OF_DATES} 00:00:00", 39)
     return dmap
@@ -113,20 +111,20 @@ r1 AS (SELECT * FROM jobs WHERE job_name NOT IN (SELECT job_name FROM h1)),
 h2 AS (SELECT DISTINCT r1.job_name FROM r1 JOIN fx_incident i ON {SYS} AND i.u_datacenter = r1.server_name AND i.u_orderid = r1.run_id
        AND i.sys_created_on >= r1.end_time - INTERVAL 2 HOUR),
 jg AS (SELECT * FROM r1 WHERE job_name NOT IN (SELECT job_name FROM h2)),
-ag AS ({_j12_sql(2, 2)}),
+ag AS ({_j12_both_sql(2, 2)}),
 fj AS (SELECT job_name, start_time, end_time FROM (SELECT *, row_number() OVER (PARTITION BY job_name ORDER BY start_time, end_time) AS rn FROM fx_active) t WHERE rn = 1),
 gaps0 AS (
   SELECT job_name, server_name, run_id, start_time AS run_time, start_time, end_time, number_of_runs AS rerun_counter FROM jg
   UNION ALL
   SELECT ag.job_name, ag.server_name, ag.run_id, ag.alert_time, CASE WHEN fj.job_name IS NOT NULL THEN fj.start_time ELSE ag.alert_time END,
     CASE WHEN fj.job_name IS NOT NULL THEN fj.end_time ELSE ag.alert_time END, ag.run_counter FROM ag LEFT JOIN fj ON ag.job_name = fj.job_name),
-gaps AS (SELECT * FROM gaps0 WHERE (SELECT count(*) FROM gaps0) <= 100000)
+gaps AS (SELECT * FROM gaps0)
 SELECT job_name, run_id, concat_ws('-', server_name, CAST(rerun_counter AS VARCHAR), run_id) AS resource,
   strftime(start_time, '%d/%m/%Y %H:%M:%S') AS datetime_start FROM gaps""",
           views=("fx_alert", "fx_active", "fx_incident"))
 def q_gap_events(spark, sf):
     E = Estate(spark, sf)
-    out = J.gaps_to_events(_failed_jobs(E), E.alert, E.incident, _audit_events(E), E.active, AS_OF, limit=100000)
+    out = J.gaps_to_events(_failed_jobs(E), E.alert, E.incident, _audit_events(E), E.active, AS_OF)
     ev = out["events"]
     return ev.select("job_name", "run_id", F.get_json_object("payload", "$.resource").alias("resource"),
                      F.get_json_object("payload", "$.additional_info.DATETIME_START").alias("datetime_start"))
@@ -135,19 +133,38 @@ def q_gap_events(spark, sf):
 @register("pl16_stale_cleanup_decisions_ws", sql=f"""
 WITH k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
 c AS (SELECT i.*, json_extract_string(i.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name FROM fx_incident i LEFT JOIN k ON i.number = k.p
-  WHERE i.u_source = 'ControlM' AND i.category = 'monitoring' AND i.parent_incident IS NULL AND coalesce(k.n, 0) = 0
+  WHERE i.u_source = 'scheduler' AND i.category = 'monitoring' AND i.parent_incident IS NULL AND coalesce(k.n, 0) = 0
     AND starts_with(i.u_datacenter, 'WS') AND i.u_orderid IS NOT NULL AND i.u_orderid <> '' AND i.state IN (1, 2, 3)
-    AND i.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 15 DAY AND NOT coalesce(i.u_additional_info LIKE '%evczx02cto', false))
+    AND i.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 15 DAY AND NOT coalesce(i.u_additional_info LIKE '%host-x%', false))
 SELECT c.number, c.u_datacenter, c.u_orderid, c.job_name, CAST(coalesce(c.u_run_number, 0) AS BIGINT) AS run_number,
   CASE WHEN s.server_name IS NULL THEN 'GONE' WHEN NOT coalesce(s.job_status = 'Ended Not OK', false) THEN 'NOT_FAILED'
        WHEN NOT coalesce(CAST(s.number_of_runs AS BIGINT) = CAST(coalesce(c.u_run_number, 0) AS BIGINT), false) THEN 'COUNTER_DIFFERS'
-       ELSE 'HOLD_THEN_DELETE' END AS decision
+       WHEN s.held THEN 'DELETE' ELSE 'HOLD_THEN_DELETE' END AS decision
 FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id""", views=("fx_incident", "fx_active"))
 def q_stale_ws(spark, sf):
     E = Estate(spark, sf)
     return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF, server="WS")["decisions"]
 
 
+@register("pl16_family_decisions", sql=f"""
+WITH k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
+old AS (SELECT * FROM fx_incident WHERE sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY),
+par AS (SELECT i.number FROM old i JOIN k ON i.number = k.p WHERE {ORIGIN} AND i.state NOT IN (6, 7, 8) AND starts_with(i.u_datacenter, 'DS')
+  AND i.u_orderid <> '' AND starts_with(i.description, 'Cancelamento') AND NOT contains(i.u_additional_info, 'host-x')),
+kids AS (SELECT c.number, c.parent_incident FROM old c JOIN par ON c.parent_incident = par.number),
+ids AS (SELECT number FROM kids UNION SELECT parent_incident FROM kids),
+c AS (SELECT i.* FROM fx_incident i JOIN ids USING (number))
+SELECT c.number, c.u_datacenter, c.u_orderid, json_extract_string(c.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name,
+  CAST(coalesce(c.u_run_number, 0) AS BIGINT) AS run_number,
+  CASE WHEN s.server_name IS NULL THEN 'GONE' WHEN s.job_status <> 'Ended Not OK' THEN 'NOT_FAILED'
+       WHEN s.number_of_runs <> coalesce(c.u_run_number, 0) THEN 'COUNTER_DIFFERS'
+       WHEN s.held THEN 'DELETE' ELSE 'HOLD_THEN_DELETE' END AS decision
+FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id""", views=("fx_incident", "fx_active"))
+def q_family_decisions(spark, sf):
+    E = Estate(spark, sf)
+    return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF)["family_decisions"]
+
+
 CAT_SQL = f"""
 cat0 AS ({CATALOG_SQL}),
 mf AS (SELECT trim(substring(trim(j.job_name), 1, 3)) AS sigla, trim(t.data_center) AS data_center, trim(t.sched_table) AS sched_table,

@@ -30,19 +30,23 @@ ALERT_TIME_FIELDS = ("first_occurrence", "last_occurrence", "internal_last")
 
 def alert_load(spark: SparkSession, path, current: DataFrame | None = None) -> DataFrame:
     """PL1: quoted 19-field alert report -> blanks to NULL (F4), times parsed (F5),
-    upserted on the serial (S9)."""
+    upserted on the serial, the last occurrence winning (S9)."""
     raw = spark.read.schema(", ".join(f"{c} STRING" for c in ALERT_FIELDS)).option("quote", '"').csv(path)
     typed = raw.select(*[
         (TF.parse_ts(T.blank_to_null(T.strip_quotes(c)), TF.ALERT_TS) if c in ALERT_TIME_FIELDS
          else T.blank_to_null(T.strip_quotes(c))).alias(c) for c in ALERT_FIELDS])
-    return typed if current is None else R.upsert(current, typed, ["serial"])
+    return R.upsert(current, typed, ["serial"], "last_occurrence")
 
 
 def execution_load(spark: SparkSession, paths, as_of, current: DataFrame | None = None,
                    purge_days: int = 30) -> dict[str, DataFrame]:
     """PL3: execution reports (S3, header per file) -> F2 + quoted CSV -> typed rows
-    (F3, F5, F7) -> upsert on (centre, order, job, attempt) (S9) -> drop ``MP%`` and
-    ``CREATED`` (P9) -> 30-day purge (M1); then MTTR (J5) and latest run per job (J6)."""
+    (F3, F5, F7) -> upsert on (centre, order, job, attempt), the last end winning (S9).
+
+    ``executions`` is the full table with the repair time written back (J5) and
+    ``latest`` its latest run per job (J6), end date and time apart; ``open`` is the recent
+    table without ``MP%`` and ``CREATED`` rows (P9), purged after ``purge_days`` (M1).
+    """
     lines = spark.read.text(paths).filter(~F.col("value").startswith("DATA_CENTER"))
     rec = lines.select(F.from_csv(T.drop_comma_in_date("value"), EXEC_REPORT_SCHEMA, {"quote": '"'}).alias("r"))
     start, end = TF.parse_report_ts(F.trim("r.c8")), TF.parse_report_ts(F.trim("r.c9"))
@@ -54,10 +58,14 @@ def execution_load(spark: SparkSession, paths, as_of, current: DataFrame | None
         F.trim("r.c11").alias("completion_status"), F.trim("r.c12").alias("average_cpu_time"),
         F.trim("r.c13").alias("order_id"), TF.duration_s(end, start).alias("runtime_s"))
     keys = ["data_center", "order_id", "job_name", "rerun_counter"]
-    table = typed if current is None else R.upsert(current, typed, keys)
-    table = R.keep_unless(table, F.col("data_center").startswith("MP") | (F.col("sched_table") == "CREATED"))
-    table = R.purge(table, "end_time", purge_days, as_of)
-    return {"executions": table, "mttr": R.mttr(table, as_of, 10), "latest": R.latest_execution(table)}
+    table = R.upsert(current.drop("mttr_s") if current is not None else None, typed, keys, "end_time")
+    recent = R.keep_unless(table, F.col("data_center").startswith("MP") | (F.col("sched_table") == "CREATED"))
+    mttr = R.mttr(table, as_of, 10)
+    latest = R.latest_execution(table).select("data_center", "job_name", "end_time",
+                                              F.to_date("end_time").alias("end_date"),
+                                              F.date_format("end_time", "HH:mm:ss").alias("end_clock"))
+    return {"executions": table.join(mttr.select(*keys, "mttr_s"), keys, "left"),
+            "open": R.purge(recent, "end_time", purge_days, as_of), "mttr": mttr, "latest": latest}
 
 
 def notification_load(spark: SparkSession, path) -> DataFrame:
@@ -69,17 +77,18 @@ def notification_load(spark: SparkSession, path) -> DataFrame:
 
 def snapshot_job(cur: DataFrame, prev: DataFrame, catalogue_centres: DataFrame, as_of_date,
                  limit: int = 5000) -> dict[str, DataFrame]:
-    """PL2: diff (U4) -> guarded change list (M3) -> app summary (A3). The caller
-    appends the list (S8) and rotates today's snapshot into D1 (M2)."""
+    """PL2: diff (U4) -> history rows and app summary (A3) over all of it; only the change list
+    that is handed on is emptied above ``limit`` (M3). The caller appends the
+    history (S8) and rotates today's snapshot into D1 (M2)."""
     diff = R.snapshot_diff(cur, prev, "job_name")
-    guarded = R.volume_guard(diff, limit)
-    sig = guarded.join(catalogue_centres, "table_id").select("data_center", T.app_code("job_name", "M").alias("sigla"))
-    return {"changes": guarded, "summary": A.app_delta_summary(sig, as_of_date)}
+    sig = diff.join(catalogue_centres, "table_id").select("data_center", T.app_code("job_name", "M").alias("sigla"))
+    return {"changes": R.volume_guard(diff, limit), "history": diff, "summary": A.app_delta_summary(sig, as_of_date)}
 
 
-def change_file_load(spark: SparkSession, path, history: DataFrame | None, as_of, days: int = 730) -> DataFrame:
+def change_file_load(spark: SparkSession, path, history: DataFrame | None, as_of, days: int = 730,
+                     schema: str = "data_operacao string, item string") -> DataFrame:
     """PL7: ``;`` change file with header appended (S8) and purged to two years (M1)."""
-    df = spark.read.option("header", True).option("sep", ";").csv(path)
+    df = spark.read.schema(schema).option("header", True).option("sep", ";").csv(path)
     df = df.withColumn("data_operacao", F.to_date(F.try_to_timestamp("data_operacao", F.lit("yyyy-MM-dd"))))
     hist = df if history is None else history.unionByName(df, allowMissingColumns=True)
     return R.purge(hist, "data_operacao", days, as_of)
@@ -97,11 +106,15 @@ def service_lob_load(spark: SparkSession, path, lob_lookup: DataFrame) -> DataFr
     return df.join(look, df.service_lob == look["__lob"], "left").drop("__lob")
 
 
-def status_volume(executions: DataFrame, day: str) -> DataFrame:
-    """PL9: daily status volume for open (letter M) and mainframe (letter P, ``MP``) centres."""
-    open_ = A.daily_volume(executions, day, "M", exclude_centres=("M-REDE-R", "M-CARTAO-R"))
-    mp = A.daily_volume(executions, day, "P", centre_prefix="MP", exclude_centres=("MP-CARTAO-R", "MP-REDE-R"))
-    return open_.unionByName(mp)
+def status_volume(executions: DataFrame, day: str, open_prefix: str = "M", open_excluded=(),
+                  mainframe_excluded=()) -> DataFrame:
+    """PL9: daily status volume of the open centres (prefix ``open_prefix``) and the mainframe ones
+    (``MP``), each row once: the second statement replaces rows of the first with the
+    same key. The mainframe platform is a number there: 1 for the centre ``MP`` itself, else 2."""
+    open_ = A.daily_volume(executions, day, "M", centre_prefix=open_prefix, exclude_centres=open_excluded)
+    mp = A.daily_volume(executions, day, "P", centre_prefix="MP", exclude_centres=mainframe_excluded)
+    mp = mp.withColumn("ambiente", F.when(F.col("data_center") == "MP", "1").otherwise("2"))
+    return R.upsert(open_, mp, ["data", "ambiente", "data_center", "sigla", "status"], "volume")
 
 
 def platform_volume_job(executions: DataFrame, history: DataFrame | None, as_of) -> DataFrame:
@@ -149,12 +162,16 @@ def close_reopen(alerts, late, active, failed, messages, as_of) -> dict[str, Dat
     return {"decisions": decisions, "reopen": RC.alerts_to_reopen(alerts, failed), "log": log}
 
 
-def gaps_to_events(failed_jobs, alerts, incidents, audit_events, all_jobs, as_of, limit: int) -> dict[str, DataFrame]:
+def gaps_to_events(failed_jobs, alerts, incidents, audit_events, all_jobs, as_of,
+                   limit: int | None = None) -> dict[str, DataFrame]:
     """PL15: jobs without alert (J11) minus already reported (J13) + alerts without
-    incident (J12) -> merged (J14) -> guarded (M3) -> event payloads (S12)."""
+    incident in any search (J12) -> merged (J14) -> event payloads (S12).
+    With ``limit`` the job fails above it (M3); it never returns part of the gaps."""
     jg = RC.drop_already_reported(RC.jobs_without_alert(failed_jobs, alerts), audit_events, incidents)
-    ag = RC.alerts_without_incident(alerts, incidents, as_of)
-    gaps = R.volume_guard(RC.merge_gaps(jg, ag, all_jobs), limit)
+    ag = RC.alerts_never_matched(alerts, incidents, as_of)
+    gaps = RC.merge_gaps(jg, ag, all_jobs)
+    if limit is not None:
+        gaps = R.require_volume(gaps, limit)
     return {"gaps": gaps, "events": S.event_payload(gaps)}
 
 
@@ -162,4 +179,5 @@ def stale_cleanup(incidents, job_status, held, edges, as_of, server: str = "DS")
     """PL16: single-incident decisions (J16), families (J15), isolated held jobs."""
     return {"decisions": RC.cleanup_decision(RC.cleanup_candidates(incidents, as_of, server), job_status),
             "families": RC.incident_families(incidents, as_of, server),
+            "family_decisions": RC.cleanup_decision(RC.family_members(incidents, as_of, server), job_status),
             "isolated_held": RC.isolated_jobs(held, edges)}

@@ -10,7 +10,8 @@ from jobscope.sources import sinks as S
 from jobscope.sources.fixtures import AS_OF_EVENTS, Estate
 
 AS_OF = AS_OF_EVENTS
-SYS = "i.sys_created_by = 'system' AND i.u_source = 'ControlM' AND i.category = 'monitoring'"
+SYS = "i.sys_created_by = 'system' AND i.u_source = 'scheduler' AND i.category = 'monitoring'"
+ORIGIN = "i.u_source = 'scheduler' AND i.category = 'monitoring'"
 INC_OF_NOTES = "CASE WHEN upper(a.notes) LIKE '%INC%' AND strpos(a.notes, 'INC') > 0 THEN substring(a.notes, strpos(a.notes, 'INC')) END"
 
 
@@ -72,6 +73,18 @@ WHERE CAST(a.alert_time AS DATE) >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL
       AND ({INC_OF_NOTES} IS NULL OR i.number = {INC_OF_NOTES}))"""
 
 
+def _j12_both_sql(lookback_h: int, max_age_days: int) -> str:
+    return _j12_sql(lookback_h, max_age_days) + f"""
+  AND NOT EXISTS (SELECT 1 FROM fx_incident i WHERE {SYS} AND i.u_datacenter = a.server_name AND i.u_orderid = a.run_id
+      AND starts_with(i.u_alert_id, CAST(a.alert_id AS VARCHAR)) AND i.sys_created_on >= a.alert_time)"""
+
+
+@register("j12_second_pass", sql=_j12_both_sql(0, 60), views=("fx_alert", "fx_incident"))
+def q_never_matched(spark, sf):
+    E = Estate(spark, sf)
+    return RC.alerts_never_matched(E.alert, E.incident, AS_OF, lookback_hours=0, max_age_days=60)
+
+
 @register("j12_alerts_without_incident", sql=_j12_sql(2, 2), views=("fx_alert", "fx_incident"))
 def q_without_incident(spark, sf):
     E = Estate(spark, sf)
@@ -84,7 +97,7 @@ def q_without_incident_all(spark, sf):
     return RC.alerts_without_incident(E.alert, E.incident, AS_OF, lookback_hours=0, max_age_days=60)
 
 
-AUDIT_EVENTS_SQL = """SELECT 'Auditoria - Cancelamento de Rotina' AS metric_name, 'EventHub-AWS' AS u_source,
+AUDIT_EVENTS_SQL = """SELECT 'Auditoria - Cancelamento de Rotina' AS metric_name, 'event-hub' AS u_source,
   concat(server_name, '-', CAST(run_counter AS VARCHAR)) AS resource, run_id AS message_key, job_name AS node
   FROM fx_alert WHERE message = 'Late submission'"""
 
@@ -137,43 +150,41 @@ SELECT job_name, run_id, CAST(json_object('node', job_name, 'resource', concat_w
   'metric_name', 'Auditoria - Cancelamento de Rotina', 'severity', 3,
   'description', concat('Cancelamento da rotina ', job_name, ' referente ao ', strftime(run_time, '%d/%m/%Y %H:%M:%S')),
   'messageKey', run_id,
-  'additional_info', json_object('monitoring_tool', 'ControlM', 'kb', 'KB0951709', 'group', '', 'kb01', '', 'kb02', '', 'kb03', '',
-     'alert_group', 'I', 'assignment_group_incident', 'CHAPOLIN (S002112)', 'fechamento_automatico', 'False',
+  'additional_info', json_object('monitoring_tool', 'scheduler', 'kb', 'KB-0001', 'group', '', 'kb01', '', 'kb02', '', 'kb03', '',
+     'alert_group', 'I', 'assignment_group_incident', 'batch support', 'fechamento_automatico', 'False',
      'CONTROLMSERVER_ADDINFO', server_name, 'ORDERDATE_ADDINFO', strftime(run_time, '%d/%m/%Y %H:%M:%S'), 'ORDERID_ADDINFO', run_id,
      'RUN_NUMBER', CAST(rerun_counter AS VARCHAR), 'JOBNAME_ADDINFO', job_name,
      'DATETIME_START', strftime(start_time, '%d/%m/%Y %H:%M:%S'), 'DATETIME_END', strftime(end_time, '%d/%m/%Y %H:%M:%S'),
      'DATETIME_RUN', strftime(run_time, '%d/%m/%Y %H:%M:%S'))) AS VARCHAR) AS payload
-FROM gaps WHERE (SELECT count(*) FROM gaps) <= 100000""", views=("fx_alert", "fx_active", "fx_incident"))
+FROM gaps""", views=("fx_alert", "fx_active", "fx_incident"))
 def q_payloads(spark, sf):
-    from jobscope.operators.relational import volume_guard
-
-    return S.event_payload(volume_guard(_gaps(Estate(spark, sf)), 100000))
+    return S.event_payload(_gaps(Estate(spark, sf)))
 
 
 @register("j15_incident_families", sql=f"""
-WITH si AS (SELECT * FROM fx_incident i WHERE {SYS}),
-k AS (SELECT parent_incident AS p, count(*) AS child_incidents FROM si WHERE parent_incident IS NOT NULL GROUP BY 1),
+WITH si AS (SELECT * FROM fx_incident i WHERE {ORIGIN}),
+k AS (SELECT parent_incident AS p, count(*) AS child_incidents FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
 par AS (SELECT si.number AS parent_number, si.u_datacenter AS parent_datacenter, k.child_incidents FROM si JOIN k ON si.number = k.p
   WHERE NOT si.state IN (6, 7, 8) AND starts_with(si.u_datacenter, 'DS') AND si.u_orderid IS NOT NULL AND si.u_orderid <> ''
-    AND si.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(si.u_additional_info LIKE '%evczx02cto', false))
+    AND starts_with(si.description, 'Cancelamento') AND si.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(si.u_additional_info LIKE '%host-x%', false))
 SELECT par.*, c.number AS child_number, c.u_datacenter AS child_datacenter, c.u_orderid AS child_orderid, c.u_run_number AS child_run_number,
   json_extract_string(c.u_additional_info, '$.JOBNAME_ADDINFO') AS child_job_name
 FROM par JOIN fx_incident c ON c.parent_incident = par.parent_number WHERE c.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY""",
           views=("fx_incident",))
 def q_families(spark, sf):
-    return RC.incident_families(Estate(spark, sf).incident, AS_OF, "DS", description_prefix=None)
+    return RC.incident_families(Estate(spark, sf).incident, AS_OF, "DS")
 
 
 @register("j16_cleanup_decision", sql=f"""
 WITH k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
 c AS (SELECT i.*, json_extract_string(i.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name FROM fx_incident i LEFT JOIN k ON i.number = k.p
-  WHERE i.u_source = 'ControlM' AND i.category = 'monitoring' AND i.parent_incident IS NULL AND coalesce(k.n, 0) = 0
+  WHERE i.u_source = 'scheduler' AND i.category = 'monitoring' AND i.parent_incident IS NULL AND coalesce(k.n, 0) = 0
     AND starts_with(i.u_datacenter, 'DS') AND i.u_orderid IS NOT NULL AND i.u_orderid <> '' AND i.state IN (1, 2, 3)
-    AND i.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(i.u_additional_info LIKE '%evczx02cto', false))
+    AND i.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(i.u_additional_info LIKE '%host-x%', false))
 SELECT c.number, c.u_datacenter, c.u_orderid, c.job_name, CAST(coalesce(c.u_run_number, 0) AS BIGINT) AS run_number,
   CASE WHEN s.server_name IS NULL THEN 'GONE' WHEN NOT coalesce(s.job_status = 'Ended Not OK', false) THEN 'NOT_FAILED'
        WHEN NOT coalesce(CAST(s.number_of_runs AS BIGINT) = CAST(coalesce(c.u_run_number, 0) AS BIGINT), false) THEN 'COUNTER_DIFFERS'
-       ELSE 'HOLD_THEN_DELETE' END AS decision
+       WHEN s.held THEN 'DELETE' ELSE 'HOLD_THEN_DELETE' END AS decision
 FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id""", views=("fx_incident", "fx_active"))
 def q_cleanup(spark, sf):
     E = Estate(spark, sf)
@@ -251,14 +262,14 @@ def _families_by_order(E):
 WITH f AS (SELECT u_datacenter, u_orderid, min(number) AS first_no FROM fx_incident GROUP BY 1, 2),
 inc AS (SELECT i.* REPLACE (CASE WHEN i.number <> f.first_no THEN f.first_no END AS parent_incident)
         FROM fx_incident i LEFT JOIN f ON i.u_datacenter = f.u_datacenter AND i.u_orderid = f.u_orderid),
-si AS (SELECT * FROM inc i WHERE {SYS}),
-k AS (SELECT parent_incident AS p, count(*) AS child_incidents FROM si WHERE parent_incident IS NOT NULL GROUP BY 1),
+si AS (SELECT * FROM inc i WHERE {ORIGIN}),
+k AS (SELECT parent_incident AS p, count(*) AS child_incidents FROM inc WHERE parent_incident IS NOT NULL GROUP BY 1),
 par AS (SELECT si.number AS parent_number, si.u_datacenter AS parent_datacenter, k.child_incidents FROM si JOIN k ON si.number = k.p
   WHERE NOT si.state IN (6, 7, 8) AND starts_with(si.u_datacenter, 'DS') AND si.u_orderid IS NOT NULL AND si.u_orderid <> ''
-    AND si.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(si.u_additional_info LIKE '%evczx02cto', false))
+    AND starts_with(si.description, 'Cancelamento') AND si.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(si.u_additional_info LIKE '%host-x%', false))
 SELECT par.*, c.number AS child_number, c.u_datacenter AS child_datacenter, c.u_orderid AS child_orderid, c.u_run_number AS child_run_number,
   json_extract_string(c.u_additional_info, '$.JOBNAME_ADDINFO') AS child_job_name
 FROM par JOIN inc c ON c.parent_incident = par.parent_number WHERE c.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY""",
           views=("fx_incident",))
 def q_families_by_order(spark, sf):
-    return RC.incident_families(_families_by_order(Estate(spark, sf)), AS_OF, "DS", description_prefix=None)
+    return RC.incident_families(_families_by_order(Estate(spark, sf)), AS_OF, "DS")

@@ -1,7 +1,7 @@
 """Service summary and service-map load (PL11).
 
 A4 fan-out for ``DS`` (per job) and ``WS`` (per member) centres -> latest end
-per job from executions (``DS`` rows only) -> cyclic flag from definitions.
+per job from all executions, set on ``DS`` summary rows only, -> cyclic flag from definitions.
 Joins are on the job name only, as in the reference.
 """
 
@@ -17,25 +17,25 @@ from jobscope.operators.relational import purge, singletons
 
 def service_summary(bim: DataFrame, exec_df: DataFrame, def_job: DataFrame) -> DataFrame:
     fan = service_fanout(bim)
-    last = (exec_df.filter(F.col("data_center").startswith("DS")).groupBy("job_name")
-            .agg(F.max("end_time").alias("last_end")))
+    last = exec_df.groupBy("job_name").agg(F.max("end_time").alias("last_end"))
     cyc = def_job.groupBy(F.trim("job_name").alias("cy_job")).agg(F.max("cyclic").alias("cyclic"))
     j = fan.join(last, fan.jobname == last.job_name, "left").drop("job_name")
     j = j.join(cyc, j.jobname == cyc.cy_job, "left").drop("cy_job")
-    return j.select("data_center", "jobname", "qlobis", "last_end", "cyclic")
+    end = F.when(F.col("data_center").startswith("DS"), F.col("last_end")).alias("last_end")
+    return j.select("data_center", "jobname", "qlobis", end, "cyclic")
 
 
 def service_map_load(files: DataFrame, history: DataFrame | None, as_of, days: int = 39,
                      mode: str = "unique") -> tuple[DataFrame, DataFrame]:
-    """PL11: landed map rows (S4) -> quotes removed (F1) -> lines seen once (U3) ->
-    appended to history (S8) -> 39-day purge (M1) -> distinct map (U2).
+    """PL11: landed map rows (S4) -> lines seen once (U3) -> quotes removed (F1) ->
+    appended to history (S8) -> 39-day purge (M1) -> distinct service and job (U2).
 
     Returns (new history, distinct map).
     """
     text_cols = [c for c, t in files.dtypes if t == "string"]
-    clean = files.select(*[strip_quotes(c).alias(c) if c in text_cols else F.col(c) for c in files.columns])
-    fresh = singletons(clean, mode)
+    once = singletons(files, mode)
+    fresh = once.select(*[strip_quotes(c).alias(c) if c in text_cols else F.col(c) for c in files.columns])
     hist = fresh if history is None else history.unionByName(fresh)
     hist = purge(hist, "data_car", days, as_of)
-    distinct_map = hist.drop("data_car").distinct()
+    distinct_map = hist.select("service_name", "jobname").distinct()
     return hist, distinct_map

@@ -27,9 +27,9 @@ def q_extract(spark, sf):
 @register("pl6_service_summary", sql="""
 WITH fan AS (SELECT data_center, jobname, count(DISTINCT service_name) AS qlobis FROM fx_bim WHERE starts_with(data_center, 'DS') GROUP BY ALL
   UNION ALL SELECT data_center, memname AS jobname, count(DISTINCT service_name) AS qlobis FROM fx_bim WHERE starts_with(data_center, 'WS') GROUP BY ALL),
-le AS (SELECT job_name, max(end_time) AS last_end FROM fx_exec WHERE starts_with(data_center, 'DS') GROUP BY job_name),
+le AS (SELECT job_name, max(end_time) AS last_end FROM fx_exec GROUP BY job_name),
 cy AS (SELECT trim(job_name) AS job_name, max(cyclic) AS cyclic FROM fx_def_job GROUP BY 1)
-SELECT f.data_center, f.jobname, f.qlobis, le.last_end, cy.cyclic FROM fan f LEFT JOIN le ON f.jobname = le.job_name
+SELECT f.data_center, f.jobname, f.qlobis, CASE WHEN starts_with(f.data_center, 'DS') THEN le.last_end END AS last_end, cy.cyclic FROM fan f LEFT JOIN le ON f.jobname = le.job_name
 LEFT JOIN cy ON f.jobname = cy.job_name""", views=("fx_bim", "fx_exec", "fx_def_job"))
 def q_service_summary(spark, sf):
     from jobscope.plans.services import service_summary

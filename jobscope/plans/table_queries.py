@@ -25,13 +25,13 @@ def q_latest(spark, sf):
 
 
 @register("j5_mttr", sql=f"""
-WITH f AS (SELECT * FROM fx_exec WHERE completion_status = 'Ended Not OK' AND start_time >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY)
+WITH f AS (SELECT * FROM fx_exec WHERE completion_status = 'Ended Not OK' AND CAST(start_time AS DATE) >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY)
 SELECT c.data_center, c.order_id, c.job_name, c.rerun_counter, p.start_time AS prev_start_time, c.end_time,
        date_diff('second', p.start_time, c.end_time) AS mttr_s
 FROM f c JOIN f p ON c.order_id = p.order_id AND c.job_name = p.job_name AND c.rerun_counter = p.rerun_counter + 1""",
           views=("fx_exec",))
 def q_mttr(spark, sf):
-    return R.mttr(Estate(spark, sf).exec, AS_OF, 10)
+    return R.mttr(Estate(spark, sf).exec.withColumn("odate", F.to_date("start_time")), AS_OF, 10)
 
 
 @register("j3_update_from_last_end", sql="""
@@ -418,4 +418,4 @@ def q_upsert(spark, sf):
     target = E.jobs_prev.select("job_id", "job_name", "memname")
     updates = E.jobs_cur.select(
         "job_id", "job_name", F.concat("memname", F.lit("-new")).alias("memname"))
-    return R.upsert(target, updates, ["job_id"])
+    return R.upsert(target, updates, ["job_id"], "memname")

@@ -131,7 +131,8 @@ def fx_alert(spark: SparkSession, sf_dir: str, exec_df: DataFrame | None = None)
         i.alias("alert_id"), F.col("order_id").alias("run_id"), F.col("data_center").alias("server_name"),
         "job_name", F.col("rerun_counter").alias("run_counter"), F.col("start_time").alias("alert_time"),
         F.when(i % 5 == 0, "Late submission").otherwise("Ended not OK").alias("message"),
-        F.when(i % 4 == 0, F.concat(F.lit("ver INC"), i.cast("string"))).alias("notes"),
+        F.when(i % 8 == 0, F.concat(F.lit("ver INC"), (i + 1).cast("string")))
+         .when(i % 4 == 0, F.concat(F.lit("ver INC"), i.cast("string"))).alias("notes"),
     )
 
 
@@ -145,6 +146,7 @@ def fx_active(spark: SparkSession, sf_dir: str, exec_df: DataFrame | None = None
          .when(F.col("event_type") == "view", "Executing").otherwise("Ended OK").alias("job_status"),
         F.when(F.col("exec_id") % 2 == 0, "Yes").otherwise("No").alias("cyclic"),
         F.col("rerun_counter").alias("number_of_runs"), "start_time", "end_time",
+        (F.col("exec_id") % 3 == 0).alias("held"),
     )
     last = keep_first(rows, ["run_id"], ["number_of_runs"], descending=True)
     return last.filter(F.col("number_of_runs") > 1)
@@ -156,12 +158,14 @@ def fx_incident(spark: SparkSession, sf_dir: str, alert_df: DataFrame | None = N
     return a.filter(i % 3 != 0).select(
         F.concat(F.lit("INC"), i.cast("string")).alias("number"),
         F.timestamp_seconds(F.unix_seconds("alert_time") + 3600 * (i % 7 - 4)).alias("sys_created_on"),
-        F.lit("system").alias("sys_created_by"), F.lit("ControlM").alias("u_source"),
+        F.lit("system").alias("sys_created_by"), F.lit("scheduler").alias("u_source"),
         F.lit("monitoring").alias("category"), F.col("server_name").alias("u_datacenter"),
         F.col("run_id").alias("u_orderid"), F.concat(i.cast("string"), F.lit("-X")).alias("u_alert_id"),
         F.col("run_counter").alias("u_run_number"), (i % 8).alias("state"),
-        F.concat(F.lit('{"JOBNAME_ADDINFO": "'), F.col("job_name"), F.lit('"}')).alias("u_additional_info"),
-        F.when(i % 6 == 0, F.concat(F.lit("INC"), (i - 1).cast("string"))).alias("parent_incident"),
+        F.concat(F.lit('{"JOBNAME_ADDINFO": "'), F.col("job_name"),
+                 F.when(i % 10 == 1, '", "HOST": "host-x').otherwise(""), F.lit('"}')).alias("u_additional_info"),
+        F.when(i % 5 < 4, F.concat(F.lit("Cancelamento da rotina "), F.col("job_name"))).otherwise("Outro").alias("description"),
+        F.when(i % 6 == 2, F.concat(F.lit("INC"), (i - 1).cast("string"))).alias("parent_incident"),
     )
 
 
@@ -316,15 +320,16 @@ FIXTURE_SQL: dict[str, str] = {
     "fx_bim": """SELECT CASE l_partkey % 4 WHEN 0 THEN 'DS-A' WHEN 1 THEN 'DS-B' WHEN 2 THEN 'WS-A' ELSE 'MP-A' END AS data_center, concat(CASE l_partkey % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'CM' WHEN 2 THEN 'M' WHEN 3 THEN 'PX' ELSE 'JB' END, lpad(CAST(l_partkey AS STRING), 6, '0')) AS jobname, concat('MEM', CAST(l_partkey % 50 AS STRING)) AS memname,
  concat('SVC', CAST(l_suppkey AS STRING)) AS service_name, CAST(l_shipdate AS DATE) AS data_car FROM lineitem""",
     "fx_alert": """SELECT exec_id AS alert_id, order_id AS run_id, data_center AS server_name, job_name, rerun_counter AS run_counter, start_time AS alert_time,
- CASE WHEN exec_id % 5 = 0 THEN 'Late submission' ELSE 'Ended not OK' END AS message, CASE WHEN exec_id % 4 = 0 THEN concat('ver INC', CAST(exec_id AS STRING)) ELSE NULL END AS notes FROM fx_exec WHERE completion_status = 'Ended Not OK'""",
-    "fx_active": """SELECT run_id, server_name, job_name, job_status, cyclic, number_of_runs, start_time, end_time FROM (
+ CASE WHEN exec_id % 5 = 0 THEN 'Late submission' ELSE 'Ended not OK' END AS message, CASE WHEN exec_id % 8 = 0 THEN concat('ver INC', CAST(exec_id + 1 AS STRING)) WHEN exec_id % 4 = 0 THEN concat('ver INC', CAST(exec_id AS STRING)) ELSE NULL END AS notes FROM fx_exec WHERE completion_status = 'Ended Not OK'""",
+    "fx_active": """SELECT run_id, server_name, job_name, job_status, cyclic, number_of_runs, start_time, end_time, held FROM (
  SELECT order_id AS run_id, CASE WHEN exec_id % 9 = 0 THEN 'OTHER' ELSE data_center END AS server_name, job_name,
  CASE event_type WHEN 'error' THEN 'Ended Not OK' WHEN 'view' THEN 'Executing' ELSE 'Ended OK' END AS job_status,
- CASE WHEN exec_id % 2 = 0 THEN 'Yes' ELSE 'No' END AS cyclic, rerun_counter AS number_of_runs, start_time, end_time,
+ CASE WHEN exec_id % 2 = 0 THEN 'Yes' ELSE 'No' END AS cyclic, rerun_counter AS number_of_runs, start_time, end_time, exec_id % 3 = 0 AS held,
  row_number() OVER (PARTITION BY order_id ORDER BY rerun_counter DESC) AS rn FROM fx_exec) t WHERE rn = 1 AND number_of_runs > 1""",
-    "fx_incident": """SELECT concat('INC', CAST(alert_id AS STRING)) AS number, alert_time + INTERVAL '1' HOUR * CAST(alert_id % 7 - 4 AS INT) AS sys_created_on, 'system' AS sys_created_by, 'ControlM' AS u_source,
+    "fx_incident": """SELECT concat('INC', CAST(alert_id AS STRING)) AS number, alert_time + INTERVAL '1' HOUR * CAST(alert_id % 7 - 4 AS INT) AS sys_created_on, 'system' AS sys_created_by, 'scheduler' AS u_source,
  'monitoring' AS category, server_name AS u_datacenter, run_id AS u_orderid, concat(CAST(alert_id AS STRING), '-X') AS u_alert_id, run_counter AS u_run_number, alert_id % 8 AS state,
- concat('{"JOBNAME_ADDINFO": "', job_name, '"}') AS u_additional_info, CASE WHEN alert_id % 6 = 0 THEN concat('INC', CAST(alert_id - 1 AS STRING)) ELSE NULL END AS parent_incident FROM fx_alert WHERE alert_id % 3 <> 0""",
+ concat('{"JOBNAME_ADDINFO": "', job_name, CASE WHEN alert_id % 10 = 1 THEN '", "HOST": "host-x' ELSE '' END, '"}') AS u_additional_info,
+ CASE WHEN alert_id % 5 < 4 THEN concat('Cancelamento da rotina ', job_name) ELSE 'Outro' END AS description, CASE WHEN alert_id % 6 = 2 THEN concat('INC', CAST(alert_id - 1 AS STRING)) ELSE NULL END AS parent_incident FROM fx_alert WHERE alert_id % 3 <> 0""",
     "fx_jobs_cur": "SELECT * FROM fx_def_job WHERE job_id % 13 <> 0",
     "fx_jobs_prev": "SELECT * FROM fx_def_job WHERE job_id % 11 <> 0",
     "fx_stat": """SELECT data_center AS datacenter, job_name AS jobname, CAST(floor(avg(CAST(runtime_s AS DOUBLE))) AS BIGINT) AS media_s FROM fx_exec GROUP BY data_center, job_name""",

@@ -21,8 +21,8 @@ from jobscope.operators import relational as R
 STATUS_IDS = {"NOF": -1, "Error": 0, "OK": 1, "NOK": 2}
 EVENT_METRIC = "Auditoria - Cancelamento de Rotina"
 EVENT_SEVERITY = 3
-EVENT_INFO = {"monitoring_tool": "ControlM", "kb": "KB0951709", "group": "", "kb01": "", "kb02": "", "kb03": "",
-              "alert_group": "I", "assignment_group_incident": "CHAPOLIN (S002112)",
+EVENT_INFO = {"monitoring_tool": "scheduler", "kb": "KB-0001", "group": "", "kb01": "", "kb02": "", "kb03": "",
+              "alert_group": "I", "assignment_group_incident": "batch support",
               "fechamento_automatico": "False"}
 
 
@@ -58,13 +58,7 @@ def replace_partition(df: DataFrame, path: str, part_col: str) -> None:
 
     Dynamic partition overwrite: the other centres' folders are untouched.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(part_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
 
 
 def write_per_key(df: DataFrame, path: str, key: str, min_rows: int | None = None,
@@ -129,7 +123,7 @@ class VersionedTable:
         overwrite(df, path, partition_by)
         return path
 
-    def upsert(self, updates: DataFrame, keys: Sequence[str], order_col: str | None = None) -> str:
+    def upsert(self, updates: DataFrame, keys: Sequence[str], order_col: str) -> str:
         """``REPLACE INTO`` as a new version."""
         cur = self.read() if self.versions() else updates.limit(0)
         return self.replace(R.upsert(cur, updates, keys, order_col))
@@ -146,11 +140,11 @@ def rotate_snapshot(today: VersionedTable, yesterday: VersionedTable) -> str:
 
 # --------------------------------------------------------------------------- S12
 
-def event_payload(gaps: DataFrame) -> DataFrame:
-    """One nested JSON event per gap row (job, server, run id, times)."""
+def event_payload(gaps: DataFrame, event_info: dict = EVENT_INFO) -> DataFrame:
+    """One nested JSON event per gap row (job, server, run id, times); ``event_info`` is the caller's site data."""
     disp = "dd/MM/yyyy HH:mm:ss"
     run_disp = F.date_format("run_time", disp)
-    info = F.struct(*[F.lit(v).alias(k) for k, v in EVENT_INFO.items()],
+    info = F.struct(*[F.lit(v).alias(k) for k, v in event_info.items()],
                     F.col("server_name").alias("CONTROLMSERVER_ADDINFO"), run_disp.alias("ORDERDATE_ADDINFO"),
                     F.col("run_id").alias("ORDERID_ADDINFO"), F.col("rerun_counter").cast("string").alias("RUN_NUMBER"),
                     F.col("job_name").alias("JOBNAME_ADDINFO"),

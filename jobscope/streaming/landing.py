@@ -13,28 +13,23 @@ watermark passes ``alert_time + grace`` with no incident.
 
 from __future__ import annotations
 
-import posixpath
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from jobscope.session import checkpoint_dir
+from jobscope.operators.reconcile import _system_incidents
 from jobscope.sources.sinks import VersionedTable
 
 
-def _ckpt(spark: SparkSession, name: str) -> str:
-    base = checkpoint_dir(spark)
-    return posixpath.join(base.rstrip("/"), "streams", name)
-
-
 def ingest_landing(spark: SparkSession, landing_dir: str, schema: StructType, target_root: str,
-                   keys: Sequence[str], order_col: str | None = None, sep: str = ",", header: bool = True,
+                   keys: Sequence[str], order_col: str, checkpoint: str, sep: str = ",", header: bool = True,
                    query_name: str = "ingest_landing", transform=None):
     """Read each landed CSV file once and upsert it into ``target_root``.
 
-    Runs with ``trigger(availableNow=True)``: everything landed so far is
+    ``checkpoint`` is this ingest's own folder in shared storage; it remembers the files already read, so a
+    rerun (of this or a later application) with the same folder reads new files only. Runs with ``trigger(availableNow=True)``: everything landed so far is
     processed and the query stops; rerunning later picks up only new files.
     Returns the finished ``StreamingQuery``.
     """
@@ -48,14 +43,14 @@ def ingest_landing(spark: SparkSession, landing_dir: str, schema: StructType, ta
         table.upsert(batch, keys, order_col)
 
     q = (stream.writeStream.foreachBatch(upsert_batch).queryName(query_name)
-         .option("checkpointLocation", _ckpt(spark, query_name)).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
 def alerts_unmatched_after_grace(alerts: DataFrame, incidents: DataFrame, grace: str = "5 minutes",
                                  watermark: str = "1 minute") -> DataFrame:
-    """Alerts with no incident on the same centre and order, whose alert id
+    """Alerts with no system incident on the same centre and order, whose alert id
     starts with the alert's id, created within ``grace`` after the alert.
 
     Both inputs are streams with event times ``alert_time`` / ``sys_created_on``.
@@ -63,7 +58,7 @@ def alerts_unmatched_after_grace(alerts: DataFrame, incidents: DataFrame, grace:
     alert's grace window.
     """
     a = alerts.withWatermark("alert_time", watermark).alias("a")
-    i = (incidents.select("number", "u_datacenter", "u_orderid", "u_alert_id", "sys_created_on")
+    i = (_system_incidents(incidents).select("number", "u_datacenter", "u_orderid", "u_alert_id", "sys_created_on")
          .withWatermark("sys_created_on", watermark).alias("i"))
     cond = ((F.col("a.server_name") == F.col("i.u_datacenter")) & (F.col("a.run_id") == F.col("i.u_orderid"))
             & (F.col("i.sys_created_on") >= F.col("a.alert_time"))
@@ -74,13 +69,13 @@ def alerts_unmatched_after_grace(alerts: DataFrame, incidents: DataFrame, grace:
 
 
 def run_grace_check(spark: SparkSession, alerts_dir: str, incidents_dir: str, alert_schema: StructType,
-                    incident_schema: StructType, grace: str = "5 minutes", watermark: str = "1 minute",
+                    incident_schema: StructType, target: str, checkpoint: str, grace: str = "5 minutes", watermark: str = "1 minute",
                     query_name: str = "alerts_unmatched"):
-    """Drive T2 over Parquet landing folders once (``availableNow``) into a memory table."""
+    """Drive T2 over Parquet landing folders once (``availableNow``) and append the unmatched to ``target``."""
     alerts = spark.readStream.schema(alert_schema).parquet(alerts_dir)
     incidents = spark.readStream.schema(incident_schema).parquet(incidents_dir)
     out = alerts_unmatched_after_grace(alerts, incidents, grace, watermark)
-    q = (out.writeStream.format("memory").queryName(query_name).outputMode("append")
-         .option("checkpointLocation", _ckpt(spark, query_name)).trigger(availableNow=True).start())
+    q = (out.writeStream.format("parquet").option("path", target).queryName(query_name).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(query_name)
+    return spark.read.schema(out.schema).parquet(target)

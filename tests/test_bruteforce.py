@@ -38,7 +38,7 @@ def test_alerts_without_incident_bruteforce(spark):
         run = "HOT" if rnd.random() < 0.4 else f"R{rnd.randint(0, 40)}"
         u = rnd.choice([f"{rnd.randint(1, 9999)}-X", f"{rnd.randint(1, 99)}", None, ""])
         created = T0 + dt.timedelta(minutes=rnd.randint(-3000, 900))
-        incidents.append((f"INC{rnd.randint(0, 50)}", "DS-A", run, u, created, "system", "ControlM", "monitoring"))
+        incidents.append((f"INC{rnd.randint(0, 50)}", "DS-A", run, u, created, "system", "scheduler", "monitoring"))
     a = spark.createDataFrame(alerts, "alert_id long, run_id string, server_name string, alert_time timestamp, notes string")
     i = spark.createDataFrame(incidents, "number string, u_datacenter string, u_orderid string, u_alert_id string, "
                                          "sys_created_on timestamp, sys_created_by string, u_source string, category string")

@@ -100,12 +100,16 @@ def test_ingest_landing_stream(spark):
     target = os.path.join(_scratch(), "t")
     schema = StructType([StructField("k", StringType()), StructField("v", StringType())])
     _write(f"{landing}/f1.csv", "k,v\na,1\nb,1\n")
-    ingest_landing(spark, landing, schema, target, ["k"], query_name=f"t1_{uuid.uuid4().hex}")
-    _write(f"{landing}/f2.csv", "k,v\nb,2\nc,2\n")
-    name = f"t1_{uuid.uuid4().hex}"
-    ingest_landing(spark, landing, schema, target, ["k"], query_name=name)
+    ckpt = os.path.join(_scratch(), "ckpt")
+    ingest_landing(spark, landing, schema, target, ["k"], "v", ckpt)
+    _write(f"{landing}/f2.csv", "k,v\nb,0\nc,2\n")
+    ingest_landing(spark, landing, schema, target, ["k"], "v", ckpt)
+    # the second run reads f2 only, and its b replaces the earlier one
     got = sorted(tuple(r) for r in S.VersionedTable(spark, target).read().collect())
-    assert got[0] == ("a", "1") and ("c", "2") in got and len(got) == 3
+    assert got == [("a", "1"), ("b", "0"), ("c", "2")]
+    before = S.VersionedTable(spark, target).versions()
+    ingest_landing(spark, landing, schema, target, ["k"], "v", ckpt)
+    assert S.VersionedTable(spark, target).versions() == before
 
 
 def test_grace_join_matches_batch(spark):
@@ -113,26 +117,27 @@ def test_grace_join_matches_batch(spark):
     t0 = dt.datetime(2024, 1, 30, 10, 0, 0)
     alerts = [(11, "R1", "DS-A", t0), (12, "R2", "DS-A", t0), (13, "R3", "DS-B", t0 + dt.timedelta(minutes=1)),
               (99, "RF", "DS-A", t0 + dt.timedelta(hours=1))]  # later row moves the watermark
-    incidents = [("INC1", "DS-A", "R1", "11-X", t0 + dt.timedelta(minutes=3)),
-                 ("INC2", "DS-A", "R2", "12-X", t0 + dt.timedelta(minutes=30)),  # too late
-                 ("INCF", "DS-A", "RF", "99-X", t0 + dt.timedelta(hours=1, minutes=1))]
+    origin = ("system", "scheduler", "monitoring")
+    incidents = [("INC1", "DS-A", "R1", "11-X", t0 + dt.timedelta(minutes=3), *origin),
+                 ("INC0", "DS-B", "R3", "13-X", t0 + dt.timedelta(minutes=2), "someone", *origin[1:]),  # not the system's
+                 ("INC2", "DS-A", "R2", "12-X", t0 + dt.timedelta(minutes=30), *origin),  # too late
+                 ("INCF", "DS-A", "RF", "99-X", t0 + dt.timedelta(hours=1, minutes=1), *origin)]
     a_schema = StructType([StructField("alert_id", LongType()), StructField("run_id", StringType()),
                            StructField("server_name", StringType()), StructField("alert_time", TimestampType())])
     i_schema = StructType([StructField("number", StringType()), StructField("u_datacenter", StringType()),
                            StructField("u_orderid", StringType()), StructField("u_alert_id", StringType()),
-                           StructField("sys_created_on", TimestampType())])
+                           StructField("sys_created_on", TimestampType())]
+                          + [StructField(c, StringType()) for c in ("sys_created_by", "u_source", "category")])
     spark.createDataFrame(alerts, a_schema).write.mode("overwrite").parquet(a_dir + "/p")
     spark.createDataFrame(incidents, i_schema).write.mode("overwrite").parquet(i_dir + "/p")
     out = run_grace_check(spark, a_dir + "/p", i_dir + "/p", a_schema, i_schema,
-                          query_name=f"t2_{uuid.uuid4().hex}")
+                          target=os.path.join(_scratch(), "out"), checkpoint=os.path.join(_scratch(), "ckpt"))
     assert sorted(r.alert_id for r in out.collect()) == [12, 13]
     # batch twin: same alerts, a 0-hour look-back, incidents within the 5-minute grace count as found
     batch = alerts_unmatched_after_grace(spark.createDataFrame(alerts, a_schema),
                                          spark.createDataFrame(incidents, i_schema))
     assert sorted(r.alert_id for r in batch.collect()) == [12, 13]
-    inc = spark.createDataFrame(incidents, i_schema).select(
-        "*", F.lit("system").alias("sys_created_by"), F.lit("ControlM").alias("u_source"),
-        F.lit("monitoring").alias("category"))
+    inc = spark.createDataFrame(incidents, i_schema)
     al = spark.createDataFrame(alerts, a_schema).withColumn("notes", F.lit(None).cast("string"))
     j12 = alerts_without_incident(al, inc, "2024-01-31 00:00:00", lookback_hours=0, max_age_days=2)
     assert sorted(r.alert_id for r in j12.collect()) == [13]  # no upper time bound in the batch rule

@@ -23,10 +23,33 @@ def test_execution_load(spark):
         f.write(HEADER + "\n".join(LINES[1:]) + "\n")
     out = J.execution_load(spark, [f"{d}/r1.csv", f"{d}/r2.csv"], "2025-05-25 00:00:00")
     ex = out["executions"].collect()
-    assert len(ex) == 2 and {r.data_center for r in ex} == {"DS-A"}  # MP dropped, headers not loaded
+    assert len(ex) == 3 and {r.data_center for r in ex} == {"DS-A", "MP-A"}  # headers not loaded
+    assert {r.data_center for r in out["open"].collect()} == {"DS-A"}
+    assert {r.mttr_s for r in ex} == {None, 1555}
     m = out["mttr"].collect()
     assert len(m) == 1 and m[0].mttr_s == (dt.datetime(2025, 5, 20, 15, 30) - dt.datetime(2025, 5, 20, 15, 4, 5)).seconds
-    assert [r.end_time for r in out["latest"].collect()] == [dt.datetime(2025, 5, 20, 15, 30)]
+    assert sorted((r.end_date, r.end_clock) for r in out["latest"].collect()) == [
+        (dt.date(2025, 5, 20), "01:00:10"), (dt.date(2025, 5, 20), "15:30:00")]
+
+
+def test_summary_is_not_guarded_and_the_limit_raises(spark, sf_dir):
+    import pytest
+
+    E = Estate(spark, sf_dir)
+    out = J.snapshot_job(E.jobs_cur, E.jobs_prev, E.def_table.select("table_id", "data_center"), "2024-01-31", limit=1)
+    assert out["changes"].count() == 0 and out["history"].count() > 1 and out["summary"].count() > 0
+    from jobscope.operators.relational import assert_empty, require_volume
+    with pytest.raises(RuntimeError):
+        require_volume(out["history"], 1)
+    with pytest.raises(AssertionError):
+        assert_empty(out["history"])
+
+
+def test_upsert_keeps_the_last_row_without_a_target(spark):
+    from jobscope.operators.relational import upsert
+
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, t int")
+    assert sorted((r.k, r.v) for r in upsert(None, rows, ["k"], "t").collect()) == [(1, "b"), (2, "c")]
 
 
 def test_alert_load(spark):

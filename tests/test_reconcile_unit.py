@@ -48,11 +48,11 @@ def test_card_h_removal_by_name(spark):
     jobs = spark.createDataFrame([
         ("O1", "DS-A", "JA", 2, T0), ("O2", "DS-A", "JA", 1, T0), ("O3", "DS-B", "JB", 1, T0), ("O4", "DS-B", "JC", 1, T0)],
         "run_id string, server_name string, job_name string, number_of_runs int, end_time timestamp")
-    events = spark.createDataFrame([("Auditoria - Cancelamento de Rotina", "EventHub-AWS", "DS-A-2", "O1", "JA")],
+    events = spark.createDataFrame([("Auditoria - Cancelamento de Rotina", "event-hub", "DS-A-2", "O1", "JA")],
                                    "metric_name string, u_source string, resource string, message_key string, node string")
     inc = spark.createDataFrame([
-        ("system", "ControlM", "monitoring", "DS-B", "O3", T0 - dt.timedelta(hours=1)),   # within 2 h before end
-        ("system", "ControlM", "monitoring", "DS-B", "O4", T0 - dt.timedelta(hours=3))],  # too early
+        ("system", "scheduler", "monitoring", "DS-B", "O3", T0 - dt.timedelta(hours=1)),   # within 2 h before end
+        ("system", "scheduler", "monitoring", "DS-B", "O4", T0 - dt.timedelta(hours=3))],  # too early
         "sys_created_by string, u_source string, category string, u_datacenter string, u_orderid string, sys_created_on timestamp")
     left = sorted(r.run_id for r in drop_already_reported(jobs, events, inc).collect())
     assert left == ["O4"]  # both JA rows go with the single event hit; JB goes by incident
