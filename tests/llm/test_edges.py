@@ -21,7 +21,8 @@ def test_odd_rows(spark, odd, labels):
     n = odd.count()
     for k in ("tox", "keep", "dec", "line", "near", "lang", "suffix", "pii", "quality"):
         assert len(out[k]) == n, k
-    assert sum(r.doc_id == 4 for r in out["one"]) == 1 and len(out["one"]) == n - 1
+    # one of the two equal rows stays, and 6 shares 15 of 17 shingles with 5
+    assert sum(r.doc_id == 4 for r in out["one"]) == 1 and len(out["one"]) == n - 2 and 6 not in {r.doc_id for r in out["one"]}
     text = {r.doc_id: r for r in out["line"]}
     assert text[6].text == "tail six" and text[6].n_removed == 2 and text[5].n_removed == 0 and text[1].text is None
     near = {r.doc_id: r for r in out["near"]}
