@@ -13,10 +13,10 @@ summary table), then: last end time filled from executions (J3), one row per
 (server, folder, job, notification) kept by insertion order (W1), numbers above
 999 capped to ``+30%`` (F21), rows already at the right value dropped (P9).
 
-Join key of set 2: the reference joins definitions to jobs on the folder id
-only, which pairs every rule of a folder with every job of that folder (a
-quadratic blow-up inside a folder). Here the default key is (folder id, job id);
-``job_key=("table_id",)`` reproduces the literal folder-only pairing.
+Join key of set 2: the folder id. Definitions are reduced first to one row per
+(folder, condition, time), the smallest urgency and message winning as they do
+in W1, so a folder's jobs meet its few distinct notification texts and not
+every definition row of the folder.
 """
 
 from __future__ import annotations
@@ -82,13 +82,16 @@ def report_rules(report: DataFrame, stat: DataFrame, centre_prefix: str = "DS",
 
 
 def definition_rules(shout: DataFrame, def_job: DataFrame, def_table: DataFrame, stat: DataFrame,
-                     centre_prefix: str = "PRD", job_key: Sequence[str] = ("table_id", "job_id"),
+                     centre_prefix: str = "PRD", job_key: Sequence[str] = ("table_id",),
                      current_only: bool = False) -> DataFrame:
     """Rules 2a–2c over notification definitions x jobs x folders (x statistics).
 
     Texts are compared as text (``'=90' >= '+03%'`` is true, as in the reference).
     """
-    s = shout.alias("s")
+    s = keep_first(shout, [*job_key, "when_cond", "shout_time"], ["urgency", "message"])
+    if "table_id" not in job_key:
+        raise ValueError("job_key must hold table_id")
+    s = s.alias("s")
     jb = def_job.alias("j")
     tb = def_table.alias("t")
     if current_only and "is_current_version" in def_job.columns:

@@ -17,33 +17,15 @@ from jobscope.functions import text as T
 from jobscope.operators.relational import Rule, apply_rules, update_from, upsert
 
 # ---------------------------------------------------------------------------
-# Ordered catalogue corrections of the reference (centre, code, node group).
+# Ordered corrections that hold at every site. Corrections by
+# centre, job or host name, and the list of urgent jobs, are the caller's.
 # ---------------------------------------------------------------------------
 CATALOGUE_RULES = [
-    Rule("data_center = 'MP-CARTAO-R' AND sigla = 'R12'", "sigla", "MN1"),
-    Rule("data_center = 'MP-CARTAO-R' AND sigla = 'M10'", "sigla", "MN2"),
-    Rule("data_center = 'MP-CARTAO-R' AND sigla = 'M20'", "sigla", "MN3"),
-    Rule("data_center = 'DS-REDE-U' AND job_name LIKE 'NSHOW%'", "sigla", "DS3"),
-    Rule("data_center = 'DS-CARTAO-B' AND job_name LIKE 'ECP%'", "sigla", "EE1"),
-    Rule("data_center = 'DS-CARTAO-B' AND job_name LIKE 'CCO%'", "sigla", "EE1"),
-    Rule("node_group LIKE 'xvcxp0801dsi%'", "node_group", "xvcxp0801cto"),
-    Rule("node_group LIKE 'xvcxp0826dsi%'", "node_group", "xvcxp0826cto"),
-    Rule("node_group LIKE 'xvcxp0234csm%'", "node_group", "xvcxp0234cto"),
     Rule("sigla LIKE 'ws%'", "sigla", value_sql="replace(sigla, 's', 'S')"),
     Rule("sigla LIKE 'Ws%'", "sigla", value_sql="replace(sigla, 'w', 'W')"),
     Rule("sigla = 'P1' OR sigla LIKE 'X%'", delete=True),
 ]
-# The job names that are always "Very Urgent".
-VERY_URGENT_JOBS = [
-    "SLR_Lancamentos Pro Fixados | X0",
-    "SLR_BA_Geracao do 2 LVR Compensacao final dos lancamentos e saldo do dia | X0",
-    "SLR_Geracao do Arquivo da Virada | X0",
-    "SLR_Inicio do AtuaLmenteem sistema Diario | X0",
-    "SLR_BA_Manutencao Base Clientes | X0",
-    "SLR_BA_Ativacao Rede best BANCOs Eletronico Extrato | X0",
-]
 MAINFRAME_ENV, MAINFRAME_NODE_GROUP = "Producao", "Z"
-CARD_CENTRES = ("MP-CARTAO-R", "MP-REDE-R")
 
 
 def job_catalogue(def_job: DataFrame, def_table: DataFrame, letter: str = "M") -> DataFrame:
@@ -59,8 +41,12 @@ def job_catalogue(def_job: DataFrame, def_table: DataFrame, letter: str = "M") -
 def build_catalogue(def_job: DataFrame, def_table: DataFrame, as_of_date, environment: str,
                     mainframe: DataFrame | None = None, code_lookup: DataFrame | None = None,
                     fanout: DataFrame | None = None, service_names: DataFrame | None = None,
-                    very_urgent: DataFrame | None = None, extra_rules=()) -> DataFrame:
-    """PL5: the whole catalogue job as one lazy plan."""
+                    very_urgent: DataFrame | None = None, site_rules=(), code_centres=()) -> DataFrame:
+    """PL5: the whole catalogue job as one lazy plan.
+
+    ``site_rules`` run before ``CATALOGUE_RULES``; ``code_lookup`` (siglaSH -> siglaFULL)
+    is applied in the centres ``code_centres``; ``very_urgent`` lists job names.
+    """
     d = F.lit(as_of_date).cast("date")
     cat = job_catalogue(def_job, def_table).withColumn("date_load", d).withColumn("ambiente", F.lit(environment)) \
         .withColumn("lob_bim", F.lit(None).cast("string"))
@@ -70,11 +56,11 @@ def build_catalogue(def_job: DataFrame, def_table: DataFrame, as_of_date, enviro
                               d.alias("date_load"), F.lit(MAINFRAME_ENV).alias("ambiente"),
                               F.lit(None).cast("string").alias("lob_bim"))
         cat = upsert(cat, mf, ["data_center", "sched_table", "job_name"], "memname")
-    if code_lookup is not None:
-        cards = cat.filter(F.col("data_center").isin(*CARD_CENTRES))
-        fixed = update_from(cards, code_lookup, {"sigla": "siglaSH"}, {"sigla": "siglaFULL"})
-        cat = cat.filter(~F.coalesce(F.col("data_center").isin(*CARD_CENTRES), F.lit(False))).unionByName(fixed)
-    cat = apply_rules(cat, list(extra_rules) + CATALOGUE_RULES)
+    if code_lookup is not None and code_centres:
+        in_centre = F.coalesce(F.col("data_center").isin(*code_centres), F.lit(False))
+        fixed = update_from(cat.filter(in_centre), code_lookup, {"sigla": "siglaSH"}, {"sigla": "siglaFULL"})
+        cat = cat.filter(~in_centre).unionByName(fixed)
+    cat = apply_rules(cat, list(site_rules) + CATALOGUE_RULES)
     if fanout is not None:
         # largest count per job, as text (the column also receives service names)
         fan = fanout.groupBy("jobname").agg(F.max("qlobis").cast("string").alias("qlobis"))
@@ -82,9 +68,8 @@ def build_catalogue(def_job: DataFrame, def_table: DataFrame, as_of_date, enviro
     if service_names is not None:
         cat = update_from(cat, service_names, {"job_name": "jobname"}, {"lob_bim": "service_name"})
     cat = cat.withColumn("criticality", T.normalise_criticality("criticality"))
-    names = very_urgent if very_urgent is not None else None
-    if names is not None:
-        hit = names.select(F.col("jobname").alias("__vu")).distinct().withColumn("__hit", F.lit(True))
+    if very_urgent is not None:
+        hit = very_urgent.select(F.col("jobname").alias("__vu")).distinct().withColumn("__hit", F.lit(True))
         cat = cat.join(hit, cat.job_name == hit["__vu"], "left").withColumn(
             "criticality", F.when(F.col("__hit"), F.lit("Very Urgent")).otherwise(F.col("criticality"))
         ).drop("__vu", "__hit")

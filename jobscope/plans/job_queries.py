@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobscope.operators.aggregates import service_fanout
+from jobscope.operators.relational import Rule
 from jobscope.plans import jobs as J
-from jobscope.plans.catalogue import VERY_URGENT_JOBS, build_catalogue
+from jobscope.plans.catalogue import build_catalogue
 from jobscope.plans.reconcile_queries import (AUDIT_EVENTS_SQL, FAILED_MSG_SQL, ORIGIN, SYS, _audit_events,
                                               _failed_jobs, _failed_messages, _j12_both_sql, _lists)
 from jobscope.plans.registry import register
@@ -33,6 +34,42 @@ def q_snapshot_job(spark, sf):
     return J.snapshot_job(E.jobs_cur, E.jobs_prev, E.def_table.select("table_id", "data_center"), AS_OF_DATES)["summary"]
 
 
+@register("pl1_alert_load", sql="""
+SELECT CAST(alert_id AS VARCHAR) AS serial, NULL::VARCHAR AS alert_key, server_name AS node, NULL::VARCHAR AS node_alias, 'agent' AS agent,
+  NULL::VARCHAR AS alert_group, NULL::VARCHAR AS x7, job_name AS application, 'mgr' AS manager, run_id AS server, '3' AS severity, notes AS summary,
+  alert_time AS first_occurrence, alert_time AS last_occurrence, NULL::TIMESTAMP AS internal_last, NULL::VARCHAR AS poll,
+  CAST(run_counter AS VARCHAR) AS tally, NULL::VARCHAR AS expire_time, NULL::VARCHAR AS owner_uid FROM fx_alert""", views=("fx_alert",))
+def q_alert_load(spark, sf):
+    from jobscope.plans.expression_queries import alert_report_lines
+
+    return J.load_alerts(alert_report_lines(Estate(spark, sf).alert).select(F.col("line").alias("value")))
+
+
+def _loaded(spark, sf):
+    from jobscope.plans.expression_queries import exec_report_lines
+
+    return J.load_executions(exec_report_lines(Estate(spark, sf).exec).select(F.col("line").alias("value")), AS_OF)
+
+
+@register("pl3_execution_load", sql=f"""
+WITH f AS (SELECT * FROM fx_exec WHERE completion_status = 'Ended Not OK' AND CAST(start_time AS DATE) >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY)
+SELECT e.data_center, e.sched_table, 'APP' AS application, 'GRP' AS group_name, 'N1' AS node_id, e.job_name, CAST(e.start_time AS DATE) AS odate,
+  e.start_time, e.end_time, CAST(e.rerun_counter AS INTEGER) AS rerun_counter, e.completion_status, '0' AS average_cpu_time, e.order_id, e.runtime_s,
+  date_diff('second', p.start_time, c.end_time) AS mttr_s
+FROM fx_exec e LEFT JOIN f c ON c.exec_id = e.exec_id
+LEFT JOIN f p ON p.order_id = c.order_id AND p.job_name = c.job_name AND p.rerun_counter + 1 = c.rerun_counter""", views=("fx_exec",))
+def q_execution_load(spark, sf):
+    """All rows, those of ``MP`` centres and old ones too, with the repair time written back."""
+    return _loaded(spark, sf)["executions"]
+
+
+@register("pl3_latest_run", sql="""
+SELECT data_center, job_name, end_time, CAST(end_time AS DATE) AS end_date, strftime(end_time, '%H:%M:%S') AS end_clock
+FROM (SELECT *, max(end_time) OVER (PARTITION BY job_name) AS last_end FROM fx_exec) t WHERE end_time = last_end""", views=("fx_exec",))
+def q_latest_run(spark, sf):
+    return _loaded(spark, sf)["latest"]
+
+
 @register("pl9_status_volume_day", sql=f"""
 SELECT {END_DAY} AS data, substring(data_center, 1, 2) AS ambiente, data_center, {APP_M} AS sigla, completion_status AS status, count(*) AS volume
 FROM fx_exec WHERE starts_with(data_center, 'DS') AND {END_DAY} = '{DAY}' GROUP BY ALL
@@ -165,6 +202,14 @@ def q_family_decisions(spark, sf):
     return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF)["family_decisions"]
 
 
+# Site corrections of the fixture estate (a code later deleted, one later upper-cased, a node group).
+SITE_RULES = [
+    Rule("data_center = 'DS-A' AND job_name LIKE 'PX%'", "sigla", "X-PX"),
+    Rule("data_center = 'DS-B' AND job_name LIKE 'JB%'", "sigla", "wsj"),
+    Rule("data_center = 'DS-A' AND job_name LIKE 'JB%'", "sigla", "Wsk"),
+    Rule("node_group LIKE 'B%'", "node_group", "Brand"),
+]
+
 CAT_SQL = f"""
 cat0 AS ({CATALOG_SQL}),
 mf AS (SELECT trim(substring(trim(j.job_name), 1, 3)) AS sigla, trim(t.data_center) AS data_center, trim(t.sched_table) AS sched_table,
@@ -173,7 +218,17 @@ mf AS (SELECT trim(substring(trim(j.job_name), 1, 3)) AS sigla, trim(t.data_cent
 cat1 AS (SELECT sigla, data_center, sched_table, job_name, memname, criticality, node_group, 'Producao-open' AS ambiente FROM cat0 c
          WHERE NOT EXISTS (SELECT 1 FROM mf WHERE mf.data_center = c.data_center AND mf.sched_table = c.sched_table AND mf.job_name = c.job_name)
          UNION ALL SELECT sigla, data_center, sched_table, job_name, memname, NULL, 'Z', 'Producao' FROM mf),
-cat2 AS (SELECT * FROM cat1 WHERE NOT coalesce(sigla = 'P1' OR sigla LIKE 'X%', false)),
+look AS (SELECT substring(concat(trim(job_name), ''), 1, 3) AS sh, max(concat('F-', substring(trim(job_name), 1, 3))) AS full_code FROM fx_def_job
+  WHERE job_id % 2 = 0 GROUP BY 1),
+cat1b AS (SELECT c.* REPLACE (CASE WHEN c.data_center = 'MP-A' AND l.sh IS NOT NULL THEN l.full_code ELSE c.sigla END AS sigla)
+          FROM cat1 c LEFT JOIN look l ON c.sigla = l.sh),
+cat1c AS (SELECT * REPLACE (CASE WHEN data_center = 'DS-A' AND job_name LIKE 'PX%' THEN 'X-PX' WHEN data_center = 'DS-B' AND job_name LIKE 'JB%' THEN 'wsj'
+            WHEN data_center = 'DS-A' AND job_name LIKE 'JB%' THEN 'Wsk'
+            ELSE sigla END AS sigla, CASE WHEN node_group LIKE 'B%' THEN 'Brand' ELSE node_group END AS node_group) FROM cat1b),
+cat1d AS (SELECT * REPLACE (CASE WHEN sigla LIKE 'ws%' THEN replace(sigla, 's', 'S') ELSE sigla END AS sigla) FROM cat1c),
+cat2 AS (SELECT * REPLACE (CASE WHEN sigla LIKE 'Ws%' THEN replace(sigla, 'w', 'W') ELSE sigla END AS sigla) FROM cat1d
+         WHERE NOT coalesce(sigla = 'P1' OR sigla LIKE 'X%', false)),
+vu AS (SELECT DISTINCT trim(job_name) AS jobname FROM fx_def_job WHERE job_id % 10 = 3),
 fan AS (SELECT data_center, jobname, count(DISTINCT service_name) AS qlobis FROM fx_bim WHERE starts_with(data_center, 'DS') GROUP BY ALL
   UNION ALL SELECT data_center, memname AS jobname, count(DISTINCT service_name) AS qlobis FROM fx_bim WHERE starts_with(data_center, 'WS') GROUP BY ALL),
 fq AS (SELECT jobname, CAST(max(qlobis) AS VARCHAR) AS q FROM fan GROUP BY 1),
@@ -183,16 +238,18 @@ sv AS (SELECT jobname, max(service_name) AS s FROM fx_bim GROUP BY 1)"""
 @register("pl5_catalogue_build", sql=f"""
 WITH {CAT_SQL}
 SELECT c.sigla, c.data_center, c.sched_table, c.job_name, c.memname,
-  CASE WHEN c.criticality = 'A' THEN 'High' WHEN c.criticality = 'M' THEN 'Moderate' WHEN c.criticality = 'B' THEN 'Low'
+  CASE WHEN vu.jobname IS NOT NULL THEN 'Very Urgent' WHEN c.criticality = 'A' THEN 'High' WHEN c.criticality = 'M' THEN 'Moderate' WHEN c.criticality = 'B' THEN 'Low'
        WHEN c.criticality NOT IN ('High', 'Moderate', 'Low', 'Urgent') THEN 'R' ELSE c.criticality END AS criticality,
   c.node_group, DATE '{AS_OF_DATES}' AS date_load, c.ambiente, coalesce(sv.s, fq.q) AS lob_bim
-FROM cat2 c LEFT JOIN fq ON c.job_name = fq.jobname LEFT JOIN sv ON c.job_name = sv.jobname""",
+FROM cat2 c LEFT JOIN fq ON c.job_name = fq.jobname LEFT JOIN sv ON c.job_name = sv.jobname LEFT JOIN vu ON c.job_name = vu.jobname""",
           views=("fx_def_table", "fx_def_job", "fx_bim"))
 def q_catalogue(spark, sf):
     E = Estate(spark, sf)
     mf = (E.def_job.join(E.def_table.filter(F.col("data_center").startswith("MP")), "table_id")
           .select(F.substring(F.trim("job_name"), 1, 3).alias("sigla"), "data_center", "sched_table", "job_name", "memname"))
-    urgent = spark.createDataFrame([(n,) for n in VERY_URGENT_JOBS], "jobname string")
-    return build_catalogue(E.def_job, E.def_table, AS_OF_DATES, "Producao-open", mainframe=mf,
-                           fanout=service_fanout(E.bim),
-                           service_names=E.bim.select("jobname", "service_name"), very_urgent=urgent)
+    urgent = E.def_job.filter(F.col("job_id") % 10 == 3).select(F.trim("job_name").alias("jobname"))
+    code = F.substring(F.trim("job_name"), 1, 3)
+    lookup = E.def_job.filter(F.col("job_id") % 2 == 0).select(code.alias("siglaSH"), F.concat(F.lit("F-"), code).alias("siglaFULL"))
+    return build_catalogue(E.def_job, E.def_table, AS_OF_DATES, "Producao-open", mainframe=mf, code_lookup=lookup,
+                           fanout=service_fanout(E.bim), service_names=E.bim.select("jobname", "service_name"),
+                           very_urgent=urgent, site_rules=SITE_RULES, code_centres=("MP-A",))

@@ -29,10 +29,16 @@ ALERT_TIME_FIELDS = ("first_occurrence", "last_occurrence", "internal_last")
 
 
 def alert_load(spark: SparkSession, path, current: DataFrame | None = None) -> DataFrame:
-    """PL1: quoted 19-field alert report -> blanks to NULL (F4), times parsed (F5),
-    upserted on the serial, the last occurrence winning (S9)."""
-    raw = spark.read.schema(", ".join(f"{c} STRING" for c in ALERT_FIELDS)).option("quote", '"').csv(path)
-    typed = raw.select(*[
+    """PL1 on landed alert report files; see ``load_alerts``."""
+    return load_alerts(spark.read.text(path), current)
+
+
+def load_alerts(lines: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """PL1: quoted 19-field alert lines (column ``value``) -> blanks to NULL (F4), times parsed
+    (F5), upserted on the serial, the last occurrence winning (S9)."""
+    schema = ", ".join(f"{c} STRING" for c in ALERT_FIELDS)
+    raw = lines.where(F.trim("value") != "").select(F.from_csv("value", schema, {"quote": '"'}).alias("r"))
+    typed = raw.select("r.*").select(*[
         (TF.parse_ts(T.blank_to_null(T.strip_quotes(c)), TF.ALERT_TS) if c in ALERT_TIME_FIELDS
          else T.blank_to_null(T.strip_quotes(c))).alias(c) for c in ALERT_FIELDS])
     return R.upsert(current, typed, ["serial"], "last_occurrence")
@@ -40,14 +46,19 @@ def alert_load(spark: SparkSession, path, current: DataFrame | None = None) -> D
 
 def execution_load(spark: SparkSession, paths, as_of, current: DataFrame | None = None,
                    purge_days: int = 30) -> dict[str, DataFrame]:
-    """PL3: execution reports (S3, header per file) -> F2 + quoted CSV -> typed rows
+    """PL3 on landed execution reports (S3, header per file); see ``load_executions``."""
+    lines = spark.read.text(paths).filter(~F.col("value").startswith("DATA_CENTER"))
+    return load_executions(lines, as_of, current, purge_days)
+
+
+def load_executions(lines: DataFrame, as_of, current: DataFrame | None = None, purge_days: int = 30) -> dict[str, DataFrame]:
+    """PL3: report lines (column ``value``) -> F2 + quoted CSV -> typed rows
     (F3, F5, F7) -> upsert on (centre, order, job, attempt), the last end winning (S9).
 
     ``executions`` is the full table with the repair time written back (J5) and
     ``latest`` its latest run per job (J6), end date and time apart; ``open`` is the recent
     table without ``MP%`` and ``CREATED`` rows (P9), purged after ``purge_days`` (M1).
     """
-    lines = spark.read.text(paths).filter(~F.col("value").startswith("DATA_CENTER"))
     rec = lines.select(F.from_csv(T.drop_comma_in_date("value"), EXEC_REPORT_SCHEMA, {"quote": '"'}).alias("r"))
     start, end = TF.parse_report_ts(F.trim("r.c8")), TF.parse_report_ts(F.trim("r.c9"))
     typed = rec.select(

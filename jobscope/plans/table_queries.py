@@ -205,20 +205,20 @@ def q_rules(spark, sf):
 SELECT substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10) AS data, substring(data_center, 1, 2) AS ambiente, data_center,
   trim(CASE WHEN rtrim(substring(job_name, 1, 3)) = 'M' THEN substring(job_name, 1, 2) ELSE substring(job_name, 1, 3) END) AS sigla,
   completion_status AS status, count(*) AS volume
-FROM fx_exec WHERE data_center NOT IN ('M-REDE-R', 'M-CARTAO-R') GROUP BY ALL""", views=("fx_exec",))
+FROM fx_exec WHERE data_center NOT IN ('DS-B', 'WS-B') GROUP BY ALL""", views=("fx_exec",))
 def q_daily_volume(spark, sf):
-    return A.daily_volume(Estate(spark, sf).runs, None, "M", exclude_centres=("M-REDE-R", "M-CARTAO-R"))
+    return A.daily_volume(Estate(spark, sf).runs, None, "M", exclude_centres=("DS-B", "WS-B"))
 
 
 @register("a1_daily_volume_mainframe_day", sql="""
 SELECT substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10) AS data, substring(data_center, 1, 2) AS ambiente, data_center,
   trim(CASE WHEN rtrim(substring(job_name, 1, 3)) = 'P' THEN substring(job_name, 1, 2) ELSE substring(job_name, 1, 3) END) AS sigla,
   completion_status AS status, count(*) AS volume
-FROM fx_exec WHERE starts_with(data_center, 'MP') AND data_center NOT IN ('MP-CARTAO-R', 'MP-REDE-R')
+FROM fx_exec WHERE starts_with(data_center, 'MP') AND data_center NOT IN ('MP-B', 'MP-C')
   AND substring(strftime(end_time, '%Y-%m-%d %H:%M:%S'), 1, 10) = '2024-01-15' GROUP BY ALL""", views=("fx_exec",))
 def q_daily_volume_mp(spark, sf):
     return A.daily_volume(Estate(spark, sf).runs, "2024-01-15", "P", centre_prefix="MP",
-                          exclude_centres=("MP-CARTAO-R", "MP-REDE-R"))
+                          exclude_centres=("MP-B", "MP-C"))
 
 
 @register("a2_o1_platform_volume", sql=f"""

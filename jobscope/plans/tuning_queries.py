@@ -31,9 +31,11 @@ rules1 AS (
    FROM j WHERE server_name = 'OS' AND media_s >= 3600 AND notification_time LIKE '%>%')"""
 
 RULES2_SQL = """
+sd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY table_id, when_cond, shout_time ORDER BY urgency NULLS FIRST, message NULLS FIRST) AS rn
+         FROM fx_shout) t WHERE rn = 1),
 base AS (SELECT t.data_center AS server_name, t.sched_table AS folder_name, trim(jb.job_name) AS job_name, s.when_cond,
            s.shout_time AS notification_time, s.urgency, s.message
-         FROM fx_shout s JOIN fx_def_job jb ON s.table_id = jb.table_id AND s.job_id = jb.job_id
+         FROM sd s JOIN fx_def_job jb ON s.table_id = jb.table_id
          JOIN fx_def_table t ON s.table_id = t.table_id WHERE starts_with(t.data_center, 'DS')),
 ws AS (SELECT base.*, st.media_s FROM base JOIN fx_stat st ON base.server_name = st.datacenter AND base.job_name = st.jobname WHERE st.media_s IS NOT NULL),
 rules2 AS (
@@ -64,8 +66,7 @@ def q_rules2(spark, sf):
     return _rules2(Estate(spark, sf))
 
 
-@register("e3_threshold_summary_final", sql=f"""
-WITH {RULES1_SQL}, {RULES2_SQL},
+SUMMARY_SQL = f"""{RULES1_SQL}, {RULES2_SQL},
 c AS (SELECT * FROM rules1 UNION ALL SELECT * FROM rules2),
 f0 AS (SELECT c.*, CASE WHEN c.valor_correto <> 'OK' THEN (SELECT max(e.end_time) FROM fx_exec e WHERE e.data_center = c.server_name
         AND e.sched_table = c.folder_name AND e.job_name = c.job_name) END AS end_time FROM c),
@@ -78,9 +79,31 @@ k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY server_name, fold
         ORDER BY rule_no NULLS FIRST, media_s NULLS FIRST, urgency NULLS FIRST, message NULLS FIRST, valor_correto NULLS FIRST, end_time NULLS FIRST,
         quant_alert NULLS FIRST) AS rn FROM f) t WHERE rn = 1),
 x AS (SELECT rule_no, server_name, folder_name, job_name, media_s, notification_time, urgency, message, end_time, quant_alert,
-        CASE WHEN TRY_CAST(replace(valor_correto, '%', '') AS BIGINT) > 999 THEN '+30%' ELSE valor_correto END AS valor_correto FROM k)
-SELECT * FROM x WHERE NOT coalesce(valor_correto = notification_time, false)""",
-          views=("fx_shout_sum", "fx_stat", "fx_shout", "fx_def_job", "fx_def_table", "fx_exec", "fx_alert"))
+        CASE WHEN TRY_CAST(replace(valor_correto, '%', '') AS BIGINT) > 999 THEN '+30%' ELSE valor_correto END AS valor_correto FROM k),
+final AS (SELECT * FROM x WHERE NOT coalesce(valor_correto = notification_time, false))"""
+SUMMARY_VIEWS = ("fx_shout_sum", "fx_stat", "fx_shout", "fx_def_job", "fx_def_table", "fx_exec", "fx_alert")
+
+# Effective threshold (F8) in seconds.
+NEW_TIME_SQL = """CASE WHEN starts_with(valor_correto, '=') THEN TRY_CAST(substring(valor_correto, 2) AS BIGINT) * 60
+       WHEN starts_with(valor_correto, '+') THEN CAST(floor(CAST(media_s AS DOUBLE) + CAST(media_s AS DOUBLE) * (CAST(TRY_CAST(substring(valor_correto, 2, length(valor_correto) - 2) AS BIGINT) AS DOUBLE) / 100)) AS BIGINT)
+  END AS new_time_s"""
+
+
+@register("pl4_threshold_tuning_impact", sql=f"""
+WITH {SUMMARY_SQL}, s AS (SELECT *, {NEW_TIME_SQL} FROM final)
+SELECT s.*, (SELECT count(*) FROM fx_exec e WHERE e.job_name = s.job_name AND e.data_center = s.server_name AND s.new_time_s < e.runtime_s) AS calc_shout
+FROM s""", views=SUMMARY_VIEWS)
+def q_threshold_tuning(spark, sf):
+    """PL4 as a whole: both rule sets, summary, impact of each new threshold."""
+    from jobscope.plans.jobs import threshold_tuning
+    from jobscope.plans.table_queries import alarms_of
+
+    E = Estate(spark, sf)
+    return threshold_tuning(E.shout_sum.drop("media_s"), E.shout, E.def_job, E.def_table, E.stat, E.runs, AS_OF,
+                            centre_prefix="DS", report_cond=None, alarms=alarms_of(E.alert))["impact"].drop("id")
+
+
+@register("e3_threshold_summary_final", sql=f"WITH {SUMMARY_SQL}\nSELECT * FROM final", views=SUMMARY_VIEWS)
 def q_summary(spark, sf):
     from jobscope.operators.aggregates import alert_count
     from jobscope.plans.table_queries import alarms_of
@@ -107,11 +130,8 @@ def q_model_jitter(spark, sf):
     return TU.model_executions(E.runs, E.shout_sum, AS_OF, 60, "DS", jitter=True)
 
 
-@register("e4_f8_j8_threshold_impact", sql="""
-WITH s AS (SELECT id, server_name, folder_name, job_name, media_s, valor_correto, notification_time,
-  CASE WHEN starts_with(valor_correto, '=') THEN TRY_CAST(substring(valor_correto, 2) AS BIGINT) * 60
-       WHEN starts_with(valor_correto, '+') THEN CAST(floor(CAST(media_s AS DOUBLE) + CAST(media_s AS DOUBLE) * (CAST(TRY_CAST(substring(valor_correto, 2, length(valor_correto) - 2) AS BIGINT) AS DOUBLE) / 100)) AS BIGINT)
-  END AS new_time_s FROM fx_shout_sum)
+@register("e4_f8_j8_threshold_impact", sql=f"""
+WITH s AS (SELECT id, server_name, folder_name, job_name, media_s, valor_correto, notification_time, {NEW_TIME_SQL} FROM fx_shout_sum)
 SELECT s.*, (SELECT count(*) FROM fx_exec e WHERE e.job_name = s.job_name AND e.data_center = s.server_name AND s.new_time_s < e.runtime_s) AS calc_shout
 FROM s""", views=("fx_shout_sum", "fx_exec"))
 def q_impact(spark, sf):
@@ -144,3 +164,35 @@ def q_overrun(spark, sf):
         TU._sec_of_day(F.col("me")).alias("end_s"))
     lr = latest_execution(E.runs).withColumnRenamed("data_center", "server_name")
     return TU.overrun_rule(st, lr, centre_prefix="DS")
+
+
+TODAY, YESTERDAY = "2024-01-30", "2024-01-29"
+
+
+def _clock(c: str) -> str:
+    return f"(hour({c}) * 3600 + minute({c}) * 60 + second({c}))"
+
+
+@register("e6_planned_start_rule", sql=f"""
+WITH {STAT_TIMES_SQL},
+listed AS (SELECT data_center AS server_name, job_name FROM fx_exec WHERE starts_with(data_center, 'DS') GROUP BY ALL HAVING max(runtime_s) >= 14000),
+y AS (SELECT DISTINCT data_center AS server_name, job_name FROM fx_exec WHERE CAST(start_time AS DATE) = DATE '{YESTERDAY}'),
+t AS (SELECT data_center AS server_name, job_name, CAST({_clock('end_time')} - {_clock('start_time')} AS DOUBLE) / CAST(1.5 AS DOUBLE) - 1800 AS quant_alert
+  FROM fx_exec WHERE CAST(start_time AS DATE) = DATE '{TODAY}' AND starts_with(data_center, 'DS'))
+SELECT server_name, job_name, quant_alert, quant_alert / 60 AS total_minutes
+FROM t JOIN y USING (server_name, job_name) JOIN lr USING (server_name, job_name)
+WHERE lr.end_time IS NOT NULL AND NOT EXISTS (SELECT 1 FROM listed l WHERE l.server_name = t.server_name AND l.job_name = t.job_name)""",
+          views=("fx_stat", "fx_exec"))
+def q_planned_start(spark, sf):
+    """Rule 2e; jobs with a run of 14,000 s or more stand for those listed already."""
+    from jobscope.operators.relational import latest_execution
+
+    E = Estate(spark, sf)
+    runs = E.runs.withColumnRenamed("data_center", "server_name")
+    day = F.to_date("start_time")
+    today = runs.filter(day == F.lit(TODAY).cast("date")).select("server_name", "job_name", "end_time",
+                                                                 F.col("start_time").alias("planned_start"))
+    yesterday = runs.filter(day == F.lit(YESTERDAY).cast("date"))
+    listed = runs.groupBy("server_name", "job_name").agg(F.max("runtime_s").alias("m")).filter(F.col("m") >= 14000)
+    lr = latest_execution(E.runs).withColumnRenamed("data_center", "server_name")
+    return TU.planned_start_rule(today, yesterday, lr, listed, centre_prefix="DS")
