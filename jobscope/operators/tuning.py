@@ -45,6 +45,7 @@ from jobscope.operators.relational import alerts_if_threshold, trailing_window,
 # ---------------------------------------------------------------------------
 MIN_30, MIN_50, MIN_60, MIN_90 = 30 * 60, 50 * 60, 60 * 60, 90 * 60
 PCT_3, PCT_70, OK = "+03%", "+070%", "OK"
+SET_2 = 20  # rule numbers from here on belong to set 2
 
 
 def _lit_or_col(df: DataFrame, name: str, default=None) -> Column:
@@ -127,18 +128,24 @@ def definition_rules(shout: DataFrame, def_job: DataFrame, def_table: DataFrame,
 
 
 def finalize_summary(candidates: DataFrame, exec_df: DataFrame | None = None,
-                     alert_counts: DataFrame | None = None) -> DataFrame:
+                     alert_counts: DataFrame | None = None, yesterday: DataFrame | None = None) -> DataFrame:
     """Fill last end (J3) and, where the last end is unknown, the recent alert
     count (A7 output: data_center, job_name, quant_alert); keep the first row per
     (server, folder, job, notification) by insertion order (W1), cap large
-    numbers (F21), drop rows already right (P9)."""
+    numbers (F21), drop rows already right (P9).
+
+    Set 1 finds the last end by (server, folder, job), set 2 by (server, job) and only
+    for jobs of ``yesterday`` (server_name, job_name), if given."""
     df = candidates.withColumn("end_time", F.lit(None).cast("timestamp"))
     if exec_df is not None:
         last = exec_df.select(F.col("data_center").alias("server_name"), F.col("sched_table").alias("folder_name"),
                               "job_name", "end_time")
-        filled = update_from(df.filter(F.col("valor_correto") != OK),
-                             last, ["server_name", "folder_name", "job_name"], {"end_time": "end_time"})
-        df = filled.unionByName(df.filter(~(F.col("valor_correto") != OK)))
+        wrong, second = F.col("valor_correto") != OK, F.col("rule_no") >= SET_2
+        known = last if yesterday is None else last.join(yesterday.select("server_name", "job_name").distinct(),
+                                                         ["server_name", "job_name"], "left_semi")
+        one = update_from(df.filter(wrong & ~second), last, ["server_name", "folder_name", "job_name"], {"end_time": "end_time"})
+        two = update_from(df.filter(wrong & second), known, ["server_name", "job_name"], {"end_time": "end_time"})
+        df = one.unionByName(two).unionByName(df.filter(~wrong))
     df = df.withColumn("quant_alert", F.lit(0).cast("long"))
     if alert_counts is not None:
         cnt = alert_counts.filter(F.col("quant_alert") >= 1).select(

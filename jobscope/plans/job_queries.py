@@ -183,20 +183,33 @@ def q_stale_ws(spark, sf):
     return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF, server="WS")["decisions"]
 
 
-@register("pl16_family_decisions", sql=f"""
-WITH k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
+FAMILY_SQL = f"""k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
 old AS (SELECT * FROM fx_incident WHERE sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY),
 par AS (SELECT i.number FROM old i JOIN k ON i.number = k.p WHERE {ORIGIN} AND i.state NOT IN (6, 7, 8) AND starts_with(i.u_datacenter, 'DS')
   AND i.u_orderid <> '' AND starts_with(i.description, 'Cancelamento') AND NOT contains(i.u_additional_info, 'host-x')),
 kids AS (SELECT c.number, c.parent_incident FROM old c JOIN par ON c.parent_incident = par.number),
 ids AS (SELECT number FROM kids UNION SELECT parent_incident FROM kids),
-c AS (SELECT i.* FROM fx_incident i JOIN ids USING (number))
-SELECT c.number, c.u_datacenter, c.u_orderid, json_extract_string(c.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name,
+c AS (SELECT i.* FROM fx_incident i JOIN ids USING (number)),
+fam AS (SELECT c.number, c.u_datacenter, c.u_orderid, json_extract_string(c.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name,
   CAST(coalesce(c.u_run_number, 0) AS BIGINT) AS run_number,
   CASE WHEN s.server_name IS NULL THEN 'GONE' WHEN s.job_status <> 'Ended Not OK' THEN 'NOT_FAILED'
        WHEN s.number_of_runs <> coalesce(c.u_run_number, 0) THEN 'COUNTER_DIFFERS'
        WHEN s.held THEN 'DELETE' ELSE 'HOLD_THEN_DELETE' END AS decision
-FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id""", views=("fx_incident", "fx_active"))
+FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id)"""
+
+
+@register("pl16_log", sql=f"""
+WITH {FAMILY_SQL},
+act AS (SELECT * FROM fam WHERE decision IN ('DELETE', 'HOLD_THEN_DELETE'))
+SELECT TIMESTAMP '{AS_OF}' AS log_time, 6 AS automation_id, 1 AS status_id, job_name, number AS incidents, NULL::VARCHAR AS alerta_id,
+  NULL::VARCHAR AS new_value, NULL::VARCHAR AS error_message FROM act
+UNION ALL SELECT TIMESTAMP '{AS_OF}', 6, -1, NULL, NULL, NULL, NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM act)""", views=("fx_incident", "fx_active"))
+def q_cleanup_log(spark, sf):
+    E = Estate(spark, sf)
+    return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF)["log"]
+
+
+@register("pl16_family_decisions", sql=f"WITH {FAMILY_SQL}\nSELECT * FROM fam", views=("fx_incident", "fx_active"))
 def q_family_decisions(spark, sf):
     E = Estate(spark, sf)
     return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF)["family_decisions"]

@@ -147,13 +147,13 @@ def definitions_mirror(sources: dict, columns=None) -> DataFrame:
 
 def threshold_tuning(report, definitions, def_job, def_table, stat, executions, as_of,
                      centre_prefix: str = "PRD", report_cond: str | None = "EXECTIME",
-                     alarms: DataFrame | None = None) -> dict[str, DataFrame]:
+                     alarms: DataFrame | None = None, yesterday: DataFrame | None = None) -> dict[str, DataFrame]:
     """PL4: rule sets (card E) -> final summary -> impact (F8, J8) ->
     model sample (J4, F22) -> seasonality (W3)."""
     cands = TU.report_rules(report, stat, cond=report_cond).unionByName(
         TU.definition_rules(definitions, def_job, def_table, stat, centre_prefix=centre_prefix))
     counts = A.alert_count(alarms, as_of, 30, centre_prefix=centre_prefix) if alarms is not None else None
-    summary = TU.finalize_summary(cands, executions, counts)
+    summary = TU.finalize_summary(cands, executions, counts, yesterday)
     # After keep_first the (server, folder, job, notification) key is unique: it
     # is the row id the impact count groups by (no global numbering needed).
     summary = summary.withColumn("id", F.struct("server_name", "folder_name", "job_name", "notification_time"))
@@ -187,8 +187,10 @@ def gaps_to_events(failed_jobs, alerts, incidents, audit_events, all_jobs, as_of
 
 
 def stale_cleanup(incidents, job_status, held, edges, as_of, server: str = "DS") -> dict[str, DataFrame]:
-    """PL16: single-incident decisions (J16), families (J15), isolated held jobs."""
+    """PL16: single-incident decisions (J16), families (J15), isolated held jobs (J17) and
+    the log (S13) of the family jobs to delete, or its "nothing found" row."""
+    family = RC.cleanup_decision(RC.family_members(incidents, as_of, server), job_status)
+    done = family.filter(F.col("decision").isin("DELETE", "HOLD_THEN_DELETE")).withColumn("status", F.lit("OK"))
     return {"decisions": RC.cleanup_decision(RC.cleanup_candidates(incidents, as_of, server), job_status),
-            "families": RC.incident_families(incidents, as_of, server),
-            "family_decisions": RC.cleanup_decision(RC.family_members(incidents, as_of, server), job_status),
-            "isolated_held": RC.isolated_jobs(held, edges)}
+            "families": RC.incident_families(incidents, as_of, server), "family_decisions": family,
+            "log": S.job_log(done, 6, as_of), "isolated_held": RC.isolated_jobs(held, edges)}

@@ -16,6 +16,7 @@ from jobscope.plans.table_queries import ALARM_SQL
 from jobscope.sources.fixtures import AS_OF_EVENTS, Estate
 
 AS_OF = AS_OF_EVENTS
+TODAY, YESTERDAY = "2024-01-30", "2024-01-29"
 
 RULES1_SQL = """
 r AS (SELECT server_name, folder_name, job_name, notification_time FROM fx_shout_sum),
@@ -51,6 +52,11 @@ def _rules1(E):
     return TU.report_rules(E.shout_sum.drop("media_s"), E.stat, centre_prefix="DS", cond=None)
 
 
+def _jobs_of_yesterday(E):
+    return E.runs.filter(F.to_date("start_time") == F.lit(YESTERDAY).cast("date")).select(
+        F.col("data_center").alias("server_name"), "job_name")
+
+
 def _rules2(E):
     return TU.definition_rules(E.shout, E.def_job, E.def_table, E.stat, centre_prefix="DS")
 
@@ -68,8 +74,11 @@ def q_rules2(spark, sf):
 
 SUMMARY_SQL = f"""{RULES1_SQL}, {RULES2_SQL},
 c AS (SELECT * FROM rules1 UNION ALL SELECT * FROM rules2),
-f0 AS (SELECT c.*, CASE WHEN c.valor_correto <> 'OK' THEN (SELECT max(e.end_time) FROM fx_exec e WHERE e.data_center = c.server_name
-        AND e.sched_table = c.folder_name AND e.job_name = c.job_name) END AS end_time FROM c),
+yd AS (SELECT DISTINCT data_center, job_name FROM fx_exec WHERE CAST(start_time AS DATE) = DATE '{YESTERDAY}'),
+le AS (SELECT e.data_center, e.job_name, max(e.end_time) AS last_end FROM fx_exec e JOIN yd ON e.data_center = yd.data_center AND e.job_name = yd.job_name GROUP BY ALL),
+f0 AS (SELECT c.*, CASE WHEN c.valor_correto = 'OK' THEN NULL WHEN c.rule_no < 20 THEN (SELECT max(e.end_time) FROM fx_exec e WHERE e.data_center = c.server_name
+        AND e.sched_table = c.folder_name AND e.job_name = c.job_name) ELSE le.last_end END AS end_time
+        FROM c LEFT JOIN le ON c.server_name = le.data_center AND c.job_name = le.job_name),
 al AS ({ALARM_SQL}),
 ac AS (SELECT data_center, job_name, count(*) AS quant_alert FROM al WHERE when_cond = 'NOTOK'
         AND CAST(host_time AS DATE) >= CAST(TIMESTAMP '{AS_OF}' AS DATE) - INTERVAL 30 DAY AND starts_with(data_center, 'DS') GROUP BY ALL),
@@ -100,7 +109,8 @@ def q_threshold_tuning(spark, sf):
 
     E = Estate(spark, sf)
     return threshold_tuning(E.shout_sum.drop("media_s"), E.shout, E.def_job, E.def_table, E.stat, E.runs, AS_OF,
-                            centre_prefix="DS", report_cond=None, alarms=alarms_of(E.alert))["impact"].drop("id")
+                            centre_prefix="DS", report_cond=None, alarms=alarms_of(E.alert),
+                            yesterday=_jobs_of_yesterday(E))["impact"].drop("id")
 
 
 @register("e3_threshold_summary_final", sql=f"WITH {SUMMARY_SQL}\nSELECT * FROM final", views=SUMMARY_VIEWS)
@@ -110,7 +120,7 @@ def q_summary(spark, sf):
 
     E = Estate(spark, sf)
     counts = alert_count(alarms_of(E.alert), AS_OF, 30, centre_prefix="DS")
-    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.runs, counts)
+    return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.runs, counts, _jobs_of_yesterday(E))
 
 
 @register("j4_model_executions", sql=f"""
@@ -166,9 +176,6 @@ def q_overrun(spark, sf):
     return TU.overrun_rule(st, lr, centre_prefix="DS")
 
 
-TODAY, YESTERDAY = "2024-01-30", "2024-01-29"
-
-
 def _clock(c: str) -> str:
     return f"(hour({c}) * 3600 + minute({c}) * 60 + second({c}))"
 

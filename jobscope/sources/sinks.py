@@ -171,8 +171,7 @@ def audit_log(outcomes: DataFrame, automation_id: int, as_of, status_col: str =
     one-row frame kept only when ``outcomes`` has no row (a scalar-subquery
     test, not a driver-side count).
     """
-    st = F.col(status_col)
-    code = F.coalesce(F.create_map(*[x for k, v in STATUS_IDS.items() for x in (F.lit(k), F.lit(v))])[st], F.lit(0))
+    code = _status_code(status_col)
     ok = code == 1
     rows = outcomes.select(
         F.lit(as_of).cast("timestamp").alias("log_time"), F.lit(automation_id).alias("automation_id"),
@@ -180,11 +179,35 @@ def audit_log(outcomes: DataFrame, automation_id: int, as_of, status_col: str =
         F.when(ok, F.col(old_col) if old_col else F.lit(None)).cast("string").alias("old_value"),
         F.when(ok, F.lit(new_value)).cast("string").alias("new_value"),
         F.when(~ok, F.col(error_col) if error_col else F.lit(None)).cast("string").alias("error_message"))
-    spark = outcomes.sparkSession
-    n = outcomes.select(F.count(F.lit(1))).scalar()
-    empty = spark.range(1).select(
+    return _or_nothing_found(rows, outcomes, automation_id, as_of)
+
+
+def job_log(outcomes: DataFrame, automation_id: int, as_of, status_col: str = "status", job_col: str = "job_name",
+            incident_col: str = "number", alert_col: str | None = None, new_value: str | None = None,
+            error_col: str | None = None) -> DataFrame:
+    """S13, job layout: job, incident and alert of OK and NOK outcomes (other statuses log none of
+    them), the new value of OK, the error text of NOK; one "nothing found" row when empty."""
+    code = _status_code(status_col)
+
+    def known(name: str | None) -> Column:
+        return F.when(code > 0, F.col(name) if name else F.lit(None)).cast("string")
+
+    rows = outcomes.select(
         F.lit(as_of).cast("timestamp").alias("log_time"), F.lit(automation_id).alias("automation_id"),
-        F.lit(STATUS_IDS["NOF"]).alias("status_id"), F.lit(None).cast("string").alias("alerta_id"),
-        F.lit(None).cast("string").alias("old_value"), F.lit(None).cast("string").alias("new_value"),
-        F.lit(None).cast("string").alias("error_message")).filter(n == 0)
+        code.alias("status_id"), known(job_col).alias("job_name"), known(incident_col).alias("incidents"),
+        known(alert_col).alias("alerta_id"), F.when(code == 1, F.lit(new_value)).cast("string").alias("new_value"),
+        F.when(code == 2, F.col(error_col) if error_col else F.lit(None)).cast("string").alias("error_message"))
+    return _or_nothing_found(rows, outcomes, automation_id, as_of)
+
+
+def _status_code(status_col: str) -> Column:
+    names = F.create_map(*[x for k, v in STATUS_IDS.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(names[F.col(status_col)], F.lit(0))
+
+
+def _or_nothing_found(rows: DataFrame, outcomes: DataFrame, automation_id: int, as_of) -> DataFrame:
+    n = outcomes.select(F.count(F.lit(1))).scalar()
+    fixed = {"log_time": F.lit(as_of), "automation_id": F.lit(automation_id), "status_id": F.lit(STATUS_IDS["NOF"])}
+    empty = outcomes.sparkSession.range(1).select(
+        *[fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema]).filter(n == 0)
     return rows.unionByName(empty)
