@@ -1,7 +1,7 @@
 """Surrogates for personal data: keyed, type-consistent, distinct, and the same wherever an entity recurs.
 
-One pattern finds emails, secrets after a keyword, IPv4 addresses, card and account numbers, phone
-numbers and titled names. Each entity is replaced character by character from a keyed digest: digits
+One pattern finds emails, secrets after a keyword in any case, IPv4 addresses, card and account numbers
+(whole or in their printed groups), phone numbers and titled names. Each entity is replaced character by character from a keyed digest: digits
 by digits, letters by letters of the same case and script, punctuation and layout kept. What makes the
 type is kept too: an email's top-level domain, a phone's country code, an IBAN's country, octets
 below 256, and a card's check digit is valid exactly if it was. Names are made of syllables in their own
@@ -27,14 +27,23 @@ from pyspark.sql import functions as F
 from jobscope.llm.common import discard, fresh, written
 
 # Patterns, alphabets and syllables.
-SECRET_HEAD = r"(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
+SECRET_HEAD = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
 MALE = r"(?:Mr|Sir|Herr|Señor|Sr|Monsieur|Господин)"
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Госпожа)"
+# Letters and digits after country and check digits of an IBAN; printed in fours, these end where the country's number does.
+IBAN_LENGTHS = {
+    11: "NO", 12: "BE", 14: "DK|FI|FK|FO|GL|NL|SD", 15: "MK|SI", 16: "AT|BA|EE|KZ|LT|LU|MN|XK", 17: "CH|CR|HR|LI|LV",
+    18: "BG|BH|DE|GB|GE|IE|ME|RS|VA", 19: "AE|GI|IL|IQ|OM|SO|TL", 20: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 21: "LY|PT|ST", 22: "IS|TR",
+    23: "BI|DJ|FR|GR|IT|MC|MR|SM", 24: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 25: "BR|EG|PS|QA|UA", 26: "JO|KW|MU|YE", 27: "MT|SC",
+    28: "LC", 29: "RU",
+}
+IBAN_IN_FOURS = "|".join(rf"(?:{c})\d{{2}}(?: [A-Z0-9]{{4}}){{{n // 4}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
 KINDS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "secret": SECRET_HEAD + r"[A-Za-z0-9_\-+/]{16,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?!\d)",
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}}|{IBAN_IN_FOURS}"
+            r"|[A-Z]{2}\d{2} [A-Z0-9]{4}(?: \d{4}){2,6}(?: \d{1,3})?)(?![A-Za-z0-9])",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)[ \-.]?)?\d{2,4}(?:[ \-.]?\d{2,4}){1,3}|(?<!\d)(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)",
@@ -43,7 +52,7 @@ KINDS = {
 # One character decides which kinds can start at a place, so most places cost one test each; an
 # email starts only where its run of characters does (or the match before ended), not at each of them.
 STARTS = {
-    "email": r"(?=[A-Za-z0-9._%+\-])(?:(?<![A-Za-z0-9._%+\-])|\G)(?=[A-Za-z0-9._%+\-]++@)", "secret": "(?=[tspak])", "iban": r"(?=[A-Z]{2}\d)",
+    "email": r"(?=[A-Za-z0-9._%+\-])(?:(?<![A-Za-z0-9._%+\-])|\G)(?=[A-Za-z0-9._%+\-]++@)", "secret": "(?=[tspakTSPAK])", "iban": r"(?=[A-Z]{2}\d)",
     "card": r"(?=\d{4})", "ip": r"(?=\d)", "ssn": r"(?=\d{3}-)", "phone": r"(?=[+(\d])", "name": r"(?=[MSHFГ])",
 }
 PATTERNS = {k: f"(?:{STARTS[k]}(?:{p}))" for k, p in KINDS.items()}
@@ -126,6 +135,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     email = F.concat(_letters(F.substr(value, F.lit(1), F.length(value) - F.length(tld)), stream, F.lit(0)), tld)
     return (F.when(kind == "email", email).when(kind == "card", fixed).when(kind == "ip", _octets(value, stream))
             .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), F.substr(stream, F.lit(7), F.length(value)))
+            .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), F.upper(F.substr(stream, F.lit(7), F.length(value))))
             .when(kind == "iban", _letters(value, stream, F.lit(2)))
             .when(kind == "phone", _letters(value, stream, F.length(F.regexp_extract(value, r"^(\+\d{1,3}(?=\D))?", 0))))
             .when(kind.rlike("^(given|family)"), _name(kind, value, stream))
@@ -158,13 +168,13 @@ def _parts(m: Column) -> Column:
 
 def _has_entity(t: Column) -> Column:
     """Whether ``ENTITY`` is found in a text: kind by kind, each behind a cheap test that it implies."""
-    def any_of(words: list[str]) -> Column:
+    def any_of(words: list[str], t: Column = t) -> Column:
         return reduce(or_, (F.contains(t, F.lit(w)) for w in words))
 
     numbers = "(?=[+(\\d])(?:" + "|".join(PATTERNS[k] for k in ("card", "ip", "ssn", "phone")) + ")"
     titles = [w for p in (MALE, FEMALE) for w in p[len("(?:"):-1].split("|")]
     return F.coalesce((any_of(["@"]) & t.rlike(PATTERNS["email"]))
-                      | (any_of(["token", "secret", "passw", "key"]) & t.rlike(PATTERNS["secret"]))
+                      | (any_of(["token", "secret", "passw", "key"], F.lower(t)) & t.rlike(PATTERNS["secret"]))
                       | t.rlike(numbers) | t.rlike(PATTERNS["iban"])
                       | (any_of(titles) & t.rlike(PATTERNS["name"])), F.lit(False))
 
