@@ -10,7 +10,7 @@ surrogate with or without the given name.
 
 The distinct entities of the corpus form a table; surrogates that equal another's or any
 real value are drawn again with the next attempt number until none does, so different entities stay
-different. Only entity keys and surrogates meet in joins; texts move only for rows with entities.
+different; the space to draw from grows with the attempts, so it is never used up. Only entity keys and surrogates meet in joins; texts move only for rows with entities.
 
 Defined results: null and empty texts stay as they are with 0 entities; repeated rows change alike; ids
 may be null; an empty table gives an empty result; other columns pass through.
@@ -57,6 +57,7 @@ STARTS = {
 }
 PATTERNS = {k: f"(?:{STARTS[k]}(?:{p}))" for k, p in KINDS.items()}
 ENTITY = "|".join(PATTERNS.values())
+GROW = 4  # attempts before a surrogate may leave the size of its value, and between further steps
 ALPHABETS = (  # characters, and what replaces them
     ("[0-9]", "0123456789"), ("[a-zß-öø-ÿ]", "abcdefghijklmnopqrstuvwxyz"), ("[A-ZÀ-ÖØ-Þ]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("[а-яё]", "абвгдежзиклмнопрстуфхцчшэюя"), ("[А-ЯЁ]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
@@ -103,42 +104,59 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(d, F.lit(0), lambda s, x: s + x) % 10
 
 
-def _octets(value: Column, stream: Column) -> Column:
+def _octets(value: Column, stream: Column, step: Column) -> Column:
     def one(o: Column, i: Column) -> Column:
         x = _byte(stream, i * 2) * 256 + _byte(stream, i * 2 + 1)
-        return F.when(F.length(o) == 1, x % 9 + 1).when(F.length(o) == 2, x % 90 + 10).otherwise(x % 156 + 100).cast("string")
+        n = F.length(o) + step
+        return F.when(step > 2, x % 256).when(n == 1, x % 9 + 1).when(n == 2, x % 90 + 10).otherwise(x % 156 + 100).cast("string")
 
     return F.array_join(F.transform(F.split(value, r"\."), one), ".")
 
 
-def _name(kind: Column, value: Column, stream: Column) -> Column:
+def _name(kind: Column, value: Column, stream: Column, step: Column) -> Column:
     def build(script: str) -> Column:
+        more = F.when(step > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(step, F.lit(1))), lambda j: F.concat(
+            F.lower(_pick(HEADS[script], _byte(stream, j * 2 + 3))), _pick(BODIES[script], _byte(stream, j * 2 + 4)))), "")).otherwise("")
         ends = F.when(F.startswith(kind, F.lit("given")), F.when(F.endswith(kind, F.lit("_f")), _pick(GIVEN[script][1], _byte(stream, F.lit(4))))
                       .otherwise(_pick(GIVEN[script][0], _byte(stream, F.lit(4)))))
         ends = ends.otherwise(F.when(F.endswith(kind, F.lit("_f")), _pick(FAMILY[script][1], _byte(stream, F.lit(4))))
                               .otherwise(_pick(FAMILY[script][0], _byte(stream, F.lit(4)))))
         return F.concat(_pick(HEADS[script], _byte(stream, F.lit(0))), _pick(BODIES[script], _byte(stream, F.lit(1))),
-                        F.lower(_pick(HEADS[script], _byte(stream, F.lit(2)))), _pick(BODIES[script], _byte(stream, F.lit(3))), ends)
+                        F.lower(_pick(HEADS[script], _byte(stream, F.lit(2)))), _pick(BODIES[script], _byte(stream, F.lit(3))), more, ends)
 
     return F.when(value.rlike(r"\p{IsCyrillic}"), build("cyrillic")).otherwise(build("latin"))
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """The replacement of an entity at an attempt."""
+    """The replacement of an entity at an attempt.
+
+    Every ``GROW`` attempts the space grows: names by a syllable, octets by a digit up to all of 0 to 255, emails
+    and secrets by a letter, phone and social security numbers by a digit. Cards and IBANs have 10**12 and more.
+    """
     stream = _stream(key, kind, value, attempt)
+    step = F.least(F.floor(attempt / GROW).cast("int"), F.lit(25))
+    hexes = F.sha2(F.concat(stream, F.lit("+")), 256)
+
+    def more(letters: str) -> Column:
+        return F.when(step > 0, F.substr(F.translate(hexes, "0123456789abcdef", letters), F.lit(1), step)).otherwise("")
     card = _letters(value, stream, F.lit(0))
     last = F.regexp_replace(card, "[0-9]$", "0")
     check = F.pmod(F.lit(10) - _luhn(last), F.lit(10))
     odd = F.pmod(check + 1 + _byte(stream, F.length(value) - 1) % 9, F.lit(10))
     fixed = F.concat(F.substr(last, F.lit(1), F.length(last) - 1), F.when(_luhn(value) == 0, check).otherwise(odd).cast("string"))
     tld = F.concat(F.lit("."), F.substring_index(value, ".", -1))
-    email = F.concat(_letters(F.substr(value, F.lit(1), F.length(value) - F.length(tld)), stream, F.lit(0)), tld)
-    return (F.when(kind == "email", email).when(kind == "card", fixed).when(kind == "ip", _octets(value, stream))
-            .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), F.substr(stream, F.lit(7), F.length(value)))
-            .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), F.upper(F.substr(stream, F.lit(7), F.length(value))))
+    mail = _letters(F.substr(value, F.lit(1), F.length(value) - F.length(tld)), stream, F.lit(0))
+    email = F.when(step == 0, F.concat(mail, tld)).otherwise(F.concat(
+        F.substring_index(mail, "@", 1), more("bcdfghjklmnpqrst"), F.lit("@"), F.substring_index(mail, "@", -1), tld))
+    return (F.when(kind == "email", email).when(kind == "card", fixed).when(kind == "ip", _octets(value, stream, step))
+            .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), F.concat(F.substr(stream, F.lit(7), F.length(value)), more("0123456789abcdef")))
+            .when((kind == "secret") & value.rlike("^[0-9A-F]+$"),
+                  F.concat(F.upper(F.substr(stream, F.lit(7), F.length(value))), more("0123456789ABCDEF")))
+            .when(kind == "secret", F.concat(_letters(value, stream, F.lit(0)), more("bcdfghjklmnpqrst")))
             .when(kind == "iban", _letters(value, stream, F.lit(2)))
-            .when(kind == "phone", _letters(value, stream, F.length(F.regexp_extract(value, r"^(\+\d{1,3}(?=\D))?", 0))))
-            .when(kind.rlike("^(given|family)"), _name(kind, value, stream))
+            .when(kind == "phone", F.concat(_letters(value, stream, F.length(F.regexp_extract(value, r"^(\+\d{1,3}(?=\D))?", 0))), more("0123456789012345")))
+            .when(kind == "ssn", F.concat(_letters(value, stream, F.lit(0)), more("0123456789012345")))
+            .when(kind.rlike("^(given|family)"), _name(kind, value, stream, step))
             .otherwise(_letters(value, stream, F.lit(0))))
 
 

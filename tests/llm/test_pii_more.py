@@ -39,3 +39,15 @@ def test_upper_case_and_printed_groups(spark):
 def test_plain_words_are_no_entities(spark):
     rows = [("AB12 THIS WORD WILL STAY HERE",), ("1234 123456 123",), ("SECRET: SHORT",)]
     assert not any(r[0] for r in spark.createDataFrame(rows, "text string").select(pii._has_entity(F.col("text"))).collect())
+
+
+@pytest.mark.parametrize("kind, values, shape", [
+    ("ip", [f"{a}.{b}.{c}.{d}" for a in range(1, 9) for b in range(1, 9) for c in range(1, 9) for d in range(1, 9)], r"(\d{1,3}\.){3}\d{1,3}"),
+    ("email", [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"], r"[a-z]+@[a-z]\.com"),
+    ("phone", [f"+1 {n // 100:02d} {n % 100:02d}" for n in range(10_000)], r"\+1 \d\d \d{2,4}"),
+    ("secret", ["_" * 16, "-" * 16], r"[_-]{16}[a-z]+"),
+    ("family_any", [f"Name{n}" for n in range(130_000)], r"[A-Z][a-z]+")])
+def test_more_entities_than_the_first_pool(spark, kind, values, shape):
+    df = spark.createDataFrame([(v,) for v in values], "value string").select(F.lit(kind).alias("kind"), "value")
+    new = [r.surrogate for r in pii._distinct_surrogates(df, "k", 50).collect()]
+    assert len(new) == len(set(new)) == len(values) and not set(new) & set(values) and all(re.fullmatch(shape, x) for x in new)
