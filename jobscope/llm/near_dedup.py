@@ -17,7 +17,8 @@
 
 Defined results: a null or empty text, or one without words, has the empty set
 and is linked with nothing; a null id links nothing, is kept and has a null
-component; rows that repeat an id are documents of their own; an empty table
+component; a document is an id and a text (by its hash), so rows that repeat both are one and rows
+that share only the id are documents of their own, the smaller text hash first; an empty table
 gives an empty result; columns other than id and text are not read.
 """
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobscope.llm.common import discard, fresh, ship, written
@@ -35,10 +36,17 @@ from jobscope.llm.graph import components
 from jobscope.llm.hashing import mix64, shingle_hashes
 
 BANDS, ROWS = 40, 5
+#: A document in graphs and joins: its id and the hash of its text.
+NODE, NODE_ARROW = "struct<d:bigint,t:bigint>", pa.struct([("d", pa.int64()), ("t", pa.int64())])
+PAIR = f"a {NODE}, b {NODE}"
 #: A pair whose signatures agree on this much less than the threshold is ruled out (five standard errors at 200 slots).
 MARGIN = 0.15
 
 
+def _node(doc_id: str, text: str) -> Column:
+    return F.struct(F.col(doc_id).cast("long").alias("d"), F.xxhash64(F.col(text).cast("string")).alias("t"))
+
+
 def super_minhash(elements: np.ndarray, owner: np.ndarray, n_sets: int, slots: int) -> np.ndarray:
     """(n_sets, slots) signature values; ``owner`` gives the set of each element hash."""
     best = np.full(n_sets * slots, np.inf)
@@ -97,7 +105,7 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                     names=["doc_id", "n", "s1", "s2", "keys", "bits"])
                 lo = hi
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, keys array<long>, bits binary")
+    return docs.mapInArrow(run, f"doc_id {NODE}, n long, s1 long, s2 long, keys array<long>, bits binary")
 
 
 def _plausible(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
@@ -116,7 +124,7 @@ def _plausible(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
             for c in "ab"}
     return (pairs.join(side["a"], "a").join(side["b"], "b")
             .where(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
-            .select("a", "b", "bits_a", "bits_b").mapInArrow(run, "a long, b long"))
+            .select("a", "b", "bits_a", "bits_b").mapInArrow(run, PAIR))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -133,7 +141,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     full = written(_set_rows(docs, ids, words), "sets")
     x, y = (full.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    out = written(pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long"),
+    out = written(pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, PAIR),
                   "links")
     discard(full)
     return out
@@ -150,7 +158,7 @@ def _set_rows(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                                            pa.binary())], names=["id", "shingles"])
 
     return docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(
-        sets, "id long, shingles binary")
+        sets, f"id {NODE}, shingles binary")
 
 
 def spanning_links(rep: np.ndarray, comp: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], left: np.ndarray,
@@ -183,6 +191,11 @@ def spanning_links(rep: np.ndarray, comp: np.ndarray, bits: np.ndarray, sets: li
     return out
 
 
+def _flat(nodes: pa.ChunkedArray) -> list[pa.Array]:
+    """The two fields of a column of nodes."""
+    return pa.concat_arrays([c.cast(NODE_ARROW) for c in nodes.chunks]).flatten()
+
+
 def _across(left: DataFrame, heads: DataFrame, docs: DataFrame, words: int, percent: int, block: int = 3000) -> DataFrame:
     """Links (a, b) between components that still share buckets.
 
@@ -191,12 +204,14 @@ def _across(left: DataFrame, heads: DataFrame, docs: DataFrame, words: int, perc
     """
     def compare(t: pa.Table) -> pa.Table:
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        t = t.sort_by("rep")
-        rep, comp, blk = (t.column(c).to_numpy() for c in ("rep", "comp", "blk"))
+        d, x = (part.to_numpy() for part in _flat(t.column("rep")))
+        t = t.take(np.lexsort((x, d))).combine_chunks()
+        node, blk = t.column("rep"), t.column("blk").to_numpy()
+        comp = np.unique(np.stack([part.to_numpy() for part in _flat(t.column("comp"))], 1), axis=0, return_inverse=True)[1].ravel()
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint8).reshape(t.num_rows, -1)
         sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
-        links = spanning_links(rep, comp, bits, sets, np.flatnonzero(blk == i), np.flatnonzero(blk == j), percent)
-        return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate("ab")})
+        links = spanning_links(np.arange(t.num_rows), comp, bits, sets, np.flatnonzero(blk == i), np.flatnonzero(blk == j), percent)
+        return pa.table({c: node.take(pa.array([x[k] for x in links], pa.int64())) for k, c in enumerate("ab")})
 
     low = left.groupBy("key").agg(F.min("rep").alias("low"))
     cluster = components(left.join(low, "key").select(F.col("rep").alias("a"), F.col("low").alias("b")))
@@ -210,56 +225,61 @@ def _across(left: DataFrame, heads: DataFrame, docs: DataFrame, words: int, perc
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
     return written(rows.select("cluster", "i", "j", "blk", "rep", "comp", "bits", "shingles").groupBy("cluster", "i", "j")
-                   .applyInArrow(compare, "a long, b long"), "links")
+                   .applyInArrow(compare, PAIR), "links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = BANDS, rows: int = ROWS,
-                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; see the module text."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def _groups(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = BANDS, rows: int = ROWS,
+            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(node, n_shingles, component, kept) of every row; nodes and components are id and text hash."""
+    docs = docs.select(_node(doc_id, text).alias("doc_id"), F.col(text).cast("string").alias("text"))
     sig = written(signatures(docs, words, bands, rows), "signatures")
-    real = sig.where("n > 0 and doc_id is not null")
+    real = sig.where("n > 0 and doc_id.d is not null")
     reps = real.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     classes = written(reps, "classes")
     heads = sig.join(classes.select(F.col("rep").alias("doc_id"), "s1", "s2", "n"), ["doc_id", "s1", "s2", "n"],
                      "left_semi").select("doc_id", "n", "keys", "bits")
     spread = heads.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
-    shared = written(spread.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"),
+    # whether a bucket has several nodes is seen by their hashes, which aggregate in place
+    shared = written(spread.groupBy("key").agg(F.min(F.xxhash64("rep")).alias("lo"), F.max(F.xxhash64("rep")).alias("hi"),
                                                F.count("*").alias("size")).where("lo < hi").select("key", "size"), "keys")
     members = written(spread.join(shared, "key"), "members")
     degree = members.groupBy("rep").agg(F.sum("size").alias("degree"))
     members = written(members.select("key", "rep").join(degree, "rep"), "members")
 
-    best = members.groupBy("key").agg(F.max_by("rep", F.struct("degree", -F.col("rep"))).alias("centre"))
+    best = members.groupBy("key").agg(F.min_by("rep", F.struct(-F.col("degree"), F.col("rep"))).alias("centre"))
     pairs = members.join(best, "key").where("rep <> centre").select(
         F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
     links = _confirmed(written(_plausible(pairs, heads, percent), "pairs"), docs, words, percent)
     comps = written(components(links), "components")
     left = members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    mixed = left.groupBy("key").agg(F.min(F.xxhash64("comp")).alias("lo"), F.max(F.xxhash64("comp")).alias("hi")).where("lo < hi")
     left = written(left.join(mixed.select("key"), "key", "left_semi"), "open")
     more = _across(left, heads, docs, words, percent)
     if not more.isEmpty():
         comps = written(components(links.unionAll(more)), "components")
     member = sig.where("n > 0").select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
     out = member.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
-    out = out.unionAll(sig.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        F.col("doc_id").alias("node"), F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id.d").isNotNull(), F.coalesce("component", "rep")).alias("component"))
+    out = out.unionAll(sig.where("n = 0").select(F.col("doc_id").alias("node"), F.col("n").alias("n_shingles"), F.col("doc_id").alias("component")))
+    return out.withColumn("kept", F.col("node.d").isNull() | F.coalesce(F.col("node") == F.col("component"), F.lit(True)))
+
+
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; see the module text."""
+    return _groups(docs, **settings).select(F.col("node.d").alias("doc_id"), "n_shingles", F.col("component.d").alias("component_id"), "kept")
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """One row of each near-duplicate group, all columns kept; rows that share an id count as one document."""
-    found = written(near_duplicates(docs, **settings), "groups")
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = written(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-                    "repeated")
+    """One row of each near-duplicate group and of rows equal in id and text, all columns kept."""
+    d, t = (fresh(docs, c) for c in ("node_d", "node_t"))
+    node = _node(settings.get("doc_id", "doc_id"), settings.get("text", "text"))
+    found = written(_groups(docs, **settings), "groups").select(F.col("node.d").alias(d), F.col("node.t").alias(t), "kept")
+    gone = found.where(~F.col("kept")).select(d, t).distinct()
+    left = docs.withColumn(d, node["d"]).withColumn(t, node["t"]).join(gone, [d, t], "left_anti")
+    again = written(found.where("kept").where(F.col(d).isNotNull()).groupBy(d, t).count().where("count > 1").select(d, t), "repeated")
     if again.isEmpty():
-        return left
-    turn = fresh(docs, "turn")
-    one = left.join(again, "doc_id", "left_semi").withColumn(turn, F.row_number().over(
-        Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where(F.col(turn) == 1)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionAll(one.select(*docs.columns))
+        return left.select(*docs.columns)
+    one = left.join(again, [d, t], "left_semi").dropDuplicates([d, t])
+    return left.join(again, [d, t], "left_anti").select(*docs.columns).unionAll(one.select(*docs.columns))
