@@ -10,7 +10,8 @@ and the overlap is verified token by token: a document is contaminated if in
 some window of ``window`` aligned tokens (the whole item, if shorter) at least
 ``tolerance`` of them are equal.
 
-Tokens are runs of letters and digits, lower-cased. Items of fewer tokens than
+Tokens are runs of Unicode letters (with their marks) and digits, lower-cased; in scripts written
+without blanks every character is a token. Items of fewer tokens than
 a mask's span are sought whole and unchanged; items of fewer than ``min_tokens``
 tokens are no evidence and match nothing.
 
@@ -21,6 +22,8 @@ columns of the input pass through, and the added column gets a name that is free
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,19 +38,46 @@ from jobscope.llm.hashing import Prefix, mix64
 #: Spaced seeds of span 11 and weight 7 (1: compared, 0: ignored).
 MASKS = ("11101100101", "11011001011", "10110111001", "11100110011")
 RESULT = "contaminated boolean, n_tokens long, matched_tokens long, item_ids array<long>"
+#: Scripts without blanks between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Bopomofo, Han, Yi, half-width kana.
+UNSPACED = ((0xE00, 0xF00), (0xF00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3031, 0x3036), (0x3040, 0x3130),
+            (0x31A0, 0x31C0), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA4D0), (0xF900, 0xFB00), (0xFF66, 0xFFA0),
+            (0x1AFF0, 0x1B170), (0x20000, 0x32400))
+_STATE: dict = {}
 _KEPT = np.full(256, 32, np.uint8)
-_KEPT[128:] = np.arange(128, 256)
 for _c in range(128):
     if chr(_c).isalnum():
         _KEPT[_c] = _c
 _TABLE = _KEPT.tobytes()
 
 
+def _kinds() -> np.ndarray:
+    """By code point: 0 between tokens, 1 part of a token, 2 a token of its own."""
+    if "kinds" not in _STATE:
+        def kind(c: int) -> int:
+            mark = unicodedata.category(chr(c))[0] == "M" and not (0x20D0 <= c < 0x2100 or 0xFE00 <= c < 0xFE10 or c >= 0xE0100)
+            return int(mark or chr(c).isalnum())
+
+        kinds = np.fromiter(map(kind, range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
+        for lo, hi in UNSPACED:
+            kinds[lo:hi] *= 2
+        _STATE["kinds"] = kinds
+    return _STATE["kinds"]
+
+
 def token_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of a text's tokens in order."""
-    data = (text or "").lower().encode("utf-8", "surrogatepass").translate(_TABLE)
+    low = (text or "").lower()
+    data = low.encode("utf-8", "surrogatepass")
     if not data:
         return np.empty(0, np.uint64)
+    if not low.isascii():
+        a = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = _kinds()[a]
+        joins = np.concatenate(([False], kind == 1, [False]))
+        first, last = (np.flatnonzero((kind == 2) | ((kind == 1) & ~joins[k:len(a) + k])) for k in (0, 2))
+        at = np.concatenate(([0], np.cumsum(1 + (a >= 0x80) + (a >= 0x800) + (a >= 0x10000))))
+        return Prefix(data).hashes(at[first], at[last + 1]) if len(first) else np.empty(0, np.uint64)
+    data = data.translate(_TABLE)
     inside = np.frombuffer(data, np.uint8) != 32
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     return Prefix(data).hashes(edge[::2], edge[1::2]) if len(edge) else np.empty(0, np.uint64)
@@ -122,12 +152,12 @@ class SeedIndex:
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_tokens: int) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks whose white-space words sum to at most ``block_tokens`` (or one item)."""
+    """Items in blocks whose tokens sum to at most ``block_tokens`` (or one item)."""
     items = benchmark.select(F.col(item_id).cast("long"), F.col(text).cast("string")).where(
         F.col(item_id).isNotNull() & F.col(text).isNotNull())
     block, size = [], 0
     for i, t in items.toLocalIterator():
-        n = t.count(" ") + 1
+        n = len(token_hashes(t))
         if block and size + n > block_tokens:
             yield block
             block, size = [], 0
