@@ -12,7 +12,7 @@ some window of ``window`` aligned tokens (the whole item, if shorter) at least
 
 Tokens are runs of Unicode letters (with their marks) and digits, lower-cased; in scripts written
 without blanks every character is a token. Items of fewer tokens than
-a mask's span are sought whole and unchanged; items of fewer than ``min_tokens``
+the longest mask are sought whole and unchanged; items of fewer than ``min_tokens``
 tokens are no evidence and match nothing.
 
 Defined results: a null or empty text, item or id matches nothing and its row
@@ -35,8 +35,9 @@ from pyspark.sql.types import StructType
 from jobscope.llm.common import fresh, ship
 from jobscope.llm.hashing import Prefix, mix64
 
-#: Spaced seeds of span 11 and weight 7 (1: compared, 0: ignored).
-MASKS = ("11101100101", "11011001011", "10110111001", "11100110011")
+#: Spaced seeds of weight 5 (1: compared, 0: ignored), chosen together: in 13 aligned tokens of which 10 are equal, and in
+#: whole items of 12 (9 equal) and 11 (9 equal), wherever the others are, at least one mask meets equal tokens alone.
+MASKS = ("111011", "1100001011", "11010011", "11010000101")
 RESULT = "contaminated boolean, n_tokens long, matched_tokens long, item_ids array<long>"
 #: Scripts without blanks between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Bopomofo, Han, Yi, half-width kana.
 UNSPACED = ((0xE00, 0xF00), (0xF00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3031, 0x3036), (0x3040, 0x3130),
@@ -99,11 +100,13 @@ class SeedIndex:
     def __init__(self, items: list[tuple[int, str]], masks: tuple[str, ...], min_tokens: int):
         self.ids = [i for i, _ in items]
         self.tokens = [token_hashes(t) for _, t in items]
+        self.size = np.array([len(t) for t in self.tokens], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.concatenate(self.tokens) if items else np.empty(0, np.uint64)
         span = max(map(len, masks))
         short = {len(t) for t in self.tokens if min_tokens <= len(t) < span}
         self.parts = []
-        for mask in [*masks, *("1" * n for n in sorted(short))]:
-            whole = len(mask) < span
+        for mask, whole in [*((m, False) for m in masks), *(("1" * n, True) for n in sorted(short))]:
             own = [(seed_hashes(t, mask), k) for k, t in enumerate(self.tokens)
                    if (len(t) == len(mask) if whole else len(t) >= span)]
             if not own:
@@ -117,38 +120,50 @@ class SeedIndex:
             there[seeds >> np.uint64(64 - bits)] = True
             self.parts.append((mask, seeds[order], item[order], pos[order], there, np.uint64(64 - bits)))
 
-    def diagonals(self, tokens: np.ndarray) -> set[tuple[int, int]]:
-        """(item number, document place of the item's first token) of all seed hits."""
-        out: set[tuple[int, int]] = set()
+    def diagonals(self, tokens: np.ndarray, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """Item numbers and document places of the item's first token, of all seed hits; ``most`` hits are held at once."""
+        out = np.empty(0, np.int64)
         for mask, seeds, item, pos, there, shift in self.parts:
             own = seed_hashes(tokens, mask)
             at = np.flatnonzero(there[own >> shift])
-            if not len(at):
-                continue
             lo, hi = np.searchsorted(seeds, own[at], "left"), np.searchsorted(seeds, own[at], "right")
-            n = hi - lo
-            if n.any():
-                first = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                pairs = np.stack([item[first], np.repeat(at, n) - pos[first]], 1)
-                out.update(map(tuple, np.unique(pairs, axis=0).tolist()))
-        return out
+            at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            for part in _chunks(n, most):
+                m = n[part]
+                first = np.repeat(lo[part] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                # one number for both; a place before the document's start is negative
+                out = np.union1d(out, item[first] << 32 | (np.repeat(at[part], m) - pos[first] + (1 << 31)))
+        return out >> 32, (out & 0xFFFFFFFF) - (1 << 31)
 
     def judge(self, tokens: np.ndarray, window: int, tolerance: float) -> tuple[np.ndarray, set[int]]:
         """Covered document tokens and matching item ids."""
-        covered, found = np.zeros(len(tokens), bool), set()
-        for k, d in self.diagonals(tokens):
-            item = self.tokens[k]
-            lo, hi = max(0, -d), min(len(item), len(tokens) - d)
-            w = min(window, len(item))
-            if hi - lo < w:
-                continue
-            same = np.concatenate(([0], np.cumsum(item[lo:hi] == tokens[lo + d:hi + d])))
-            good = np.flatnonzero(same[w:] - same[:-w] >= tolerance * w)
-            if len(good):
-                found.add(self.ids[k])
-                for g in good:
-                    covered[lo + d + g:lo + d + g + w] = True
-        return covered, found
+        edge, found = np.zeros(len(tokens) + 1, np.int64), set()
+        item, d = self.diagonals(tokens)
+        lo = np.maximum(0, -d)
+        n, w = np.minimum(self.size[item], len(tokens) - d) - lo, np.minimum(window, self.size[item])
+        item, d, lo, n, w = (x[n >= w] for x in (item, d, lo, n, w))
+        for part in _chunks(n, 1 << 20):
+            m = n[part]
+            own = np.repeat(np.arange(len(m)), m)
+            at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            here = (lo[part] + d[part])[own] + at
+            same = np.concatenate(([0], np.cumsum(self.flat[(self.start[item[part]] + lo[part])[own] + at] == tokens[here])))
+            fits = np.flatnonzero(at + w[part][own] <= m[own])
+            wide = w[part][own[fits]]
+            good = same[fits + wide] - same[fits] >= tolerance * wide
+            found.update(self.ids[k] for k in np.unique(item[part][own[fits[good]]]))
+            np.add.at(edge, here[fits[good]], 1)
+            np.add.at(edge, here[fits[good]] + wide[good], -1)
+        return np.cumsum(edge)[:-1] > 0, found
+
+
+def _chunks(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Consecutive slices whose sizes sum to at most ``most`` (or one element)."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+        yield slice(lo, hi)
+        lo = hi
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_tokens: int) -> Iterator[list[tuple[int, str]]]:

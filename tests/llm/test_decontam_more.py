@@ -34,3 +34,22 @@ def test_unspaced_scripts_and_curly_quotes_are_found(spark):
 def test_block_sizes_count_tokens(spark):
     bench = spark.createDataFrame([(k, "\u5b66" * 30) for k in range(4)], "item_id long, text string")
     assert [len(b) for b in decontam._blocks(bench, "item_id", "text", 60)] == [2, 2]
+
+
+@pytest.mark.parametrize("size, wrong", [(13, 3), (12, 3), (11, 2)])
+def test_masks_meet_every_allowed_pattern(size, wrong):
+    item = decontam.token_hashes(" ".join(f"w{i}" for i in range(size)))
+    index = decontam.SeedIndex([(1, " ".join(f"w{i}" for i in range(size)))], decontam.MASKS, 5)
+    for k in range(wrong + 1):
+        for places in combinations(range(size), k):
+            doc = np.concatenate([np.arange(1, 8, dtype=np.uint64), item, np.arange(8, 15, dtype=np.uint64)])
+            doc[7 + np.array(places, int)] = 0
+            covered, found = index.judge(doc, 13, 0.75)
+            assert found == {1} and np.flatnonzero(covered).tolist() == list(range(7, 7 + size)), places
+
+
+def test_hits_in_small_chunks():
+    index = decontam.SeedIndex([(k, "a b c d e f g h i j k l m n") for k in range(9)], decontam.MASKS, 5)
+    doc = decontam.token_hashes("x a b c d e f g h i j k l m n " * 4)
+    whole, small = index.diagonals(doc), index.diagonals(doc, 3)
+    assert all((x == y).all() for x, y in zip(whole, small)) and index.judge(doc, 13, 0.75)[1] == set(range(9))
