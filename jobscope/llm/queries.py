@@ -1,11 +1,11 @@
-"""Registered queries of the ten operators and of the pipeline, with SQL where it can state them."""
+"""Registered queries of the thirteen operators and of the pipeline, with SQL where it can state them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobscope.llm import chat, decontam, lang_id, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, toxicity
+from jobscope.llm import chat, decontam, lang_id, line_dedup, merkle, near_dedup, packing, pii, quality, resample, suffix_dedup, toxicity, url_filter
 from jobscope.sources.tables import table
 
 #: Key of the surrogates in the registered query; production passes its own secret.
@@ -78,6 +78,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents towards the benchmark, and the tenth that is drawn."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaves and proofs of all documents, checked against a partly tampered copy."""
+    return merkle.audit(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# Rules of the registered URL query.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+             ("net", "/fr/", "block"))
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the URL rules on every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, stage by stage."""
     import corpus_pipeline
@@ -86,9 +108,78 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_line_dedup, op4_packing, op5_near_dedup, op6_language,
-                                   op7_suffix_dedup, op8_surrogates, op9_chat, op10_quality, pipeline)}
+                                   op7_suffix_dedup, op8_surrogates, op9_chat, op10_quality, op11_resample, op12_merkle, op13_urls, pipeline)}
+
+#: crc32 in SQL: the table of byte remainders, and a fold over the bytes of a text column ``x`` (alias ``crc``).
+CRC_TABLE = """crc_table AS (SELECT list(list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i))"""
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(x))),
+  lambda i: CAST('0x' || substr(hex(encode(x)), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
+AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES = {
+    "op11_resample": rf"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), {AZ}),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM benchmark),
+dx AS (SELECT r, unnest(w) AS x FROM d),
+known AS (SELECT x, {CRC} % 10000 AS bucket FROM (SELECT x FROM dx UNION SELECT x FROM b) CROSS JOIN crc_table),
+s AS (SELECT bucket, count(*) AS s FROM dx JOIN known USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN known USING (x) GROUP BY bucket),
+g AS (SELECT k.bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dx) + 10000)
+  / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM known) k LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+m AS (SELECT r, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM dx JOIN known USING (x) JOIN g USING (bucket) GROUP BY r),
+n AS (SELECT doc_id, r, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+  FROM d LEFT JOIN m USING (r)),
+o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features, weight) AS k, count(*) OVER () AS n FROM n WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * o.n // 100 THEN k END AS rank FROM n LEFT JOIN o USING (r)""",
+    "op12_merkle": rf"""
+WITH RECURSIVE {CRC_TABLE},
+parts AS (SELECT doc_id, lang, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || CAST(doc_id AS VARCHAR), '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || CAST(n_chars AS VARCHAR), '-') AS head, text,
+    coalesce(CAST(doc_id AS VARCHAR), '') AS x FROM documents),
+made AS (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(text)) || ':' || translate(text, {AZ}), '-')) AS low, {CRC} % 3 = 0 AS picked
+  FROM parts CROSS JOIN crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM made),
+nodes AS (SELECT coalesce('x' || lang, '') AS tree, 0 AS level, pos, n, leaf AS digest FROM placed
+  UNION ALL SELECT tree, level + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 8),
+tops AS (SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+crown AS (SELECT 0 AS level, pos, n, digest FROM tops
+  UNION ALL SELECT level + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos)) FROM crown WHERE n > 1 GROUP BY level, pos // 8),
+root AS (SELECT digest AS root FROM crown WHERE n = 1),
+height AS (SELECT tree, max(level) AS h FROM nodes GROUP BY tree),
+every AS (SELECT tree, level, pos, digest FROM nodes JOIN height USING (tree) WHERE level < h
+  UNION ALL SELECT t.tree, h + c.level, c.pos, c.digest FROM tops t JOIN height USING (tree) JOIN crown c
+    ON c.n > 1 AND c.pos // 8 = (t.pos // CAST(power(8, c.level) AS BIGINT)) // 8),
+step AS (SELECT row_number() OVER () AS r, coalesce('x' || lang, '') AS tree, pos, CASE WHEN picked THEN low ELSE leaf END AS start FROM placed),
+way AS (SELECT s.r, e.level, e.pos, e.digest, CASE WHEN e.level < h.h THEN s.pos // CAST(power(8, e.level) AS BIGINT)
+    ELSE t.pos // CAST(power(8, e.level - h.h) AS BIGINT) END AS own
+  FROM step s JOIN height h USING (tree) JOIN tops t USING (tree) JOIN every e USING (tree)
+  WHERE e.level >= h.h OR e.pos // 8 = s.pos // CAST(power(8, e.level + 1) AS BIGINT)),
+runs AS (SELECT r, level, coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE pos < own), '') AS before,
+    coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE pos > own), '') AS after FROM way GROUP BY r, level),
+climb AS (SELECT r, 0 AS level, start AS digest FROM step
+  UNION ALL SELECT c.r, c.level + 1, sha256(before || digest || after) FROM climb c JOIN runs USING (r, level)),
+folded AS (SELECT r, arg_max(digest, level) AS folded_root FROM climb GROUP BY r),
+proof AS (SELECT r, sha256(coalesce(string_agg(before || after, '' ORDER BY level), '')) AS proof_sha256 FROM step LEFT JOIN runs USING (r) GROUP BY r)
+SELECT p.doc_id, p.leaf, t.digest AS subroot, root.root, proof_sha256, folded_root, folded_root = root.root AS verified
+FROM (SELECT *, row_number() OVER () AS k FROM placed) p JOIN step s ON s.tree = coalesce('x' || p.lang, '') AND s.pos = p.pos
+JOIN tops t ON t.tree = s.tree JOIN folded USING (r) JOIN proof USING (r) CROSS JOIN root""",
+    "op13_urls": rf"""
+WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+r AS (SELECT page_id, row_number() OVER () AS k, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, k, translate(regexp_extract(rest, '^[^/?#]*'), {AZ}) AS host,
+  regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM r),
+f AS (SELECT k, arg_max(h || p, length(h || p) * 10000 + length(h)) AS rule, arg_max(v, length(h || p) * 10000 + length(h)) AS verdict
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY k)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN f USING (k)""",
     "op3_line_dedup": r"""
 WITH base AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 pos AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM base),
