@@ -191,7 +191,7 @@ def test_toxicity_separates_held_out(spark):
 
 
 def test_lexicon_is_learned_from_its_folds_only(spark):
-    rows = [(p, float(y), f"{w} filler number{k}") for p, w in ((0, "grobian"), (1, "ruffian"), (3, "villain")) for k in range(40) for y, w in ((1, w), (0, "friend"))]
+    rows = [(p, float(y), f"{w if y else 'friend'} filler number{k}") for p, w in ((0, "grobian"), (1, "ruffian"), (3, "villain")) for k in range(40) for y in (0, 1)]
     zero, one, both = toxicity.learn_lexicons(spark.createDataFrame(rows, "part int, label double, text string"))
     assert "grobian" in zero[0] and "ruffian" not in zero[0] + zero[1] and "ruff*" in one[0]
     assert {"grobian", "ruffian", "grob*", "ruffia*"} <= set(both[0]) and not any(x.startswith(("vill", "filler", "friend")) for x in both[0] + both[1])
