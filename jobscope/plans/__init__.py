@@ -11,6 +11,7 @@ def load_all():
         job_queries,
         reconcile_queries,
         source_queries,
+        stored_queries,
         table_queries,
         tuning_queries,
     )

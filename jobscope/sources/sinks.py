@@ -1,7 +1,7 @@
 """Writers.
 
-Tables live as Parquet folders. A table that is rewritten from itself (upsert,
-purge, rotation) is written as a new *version* folder, and readers pick the
+Plain outputs are Parquet or CSV folders. A table that is rewritten from itself (upsert,
+purge, rotation) is a :class:`~jobscope.sources.stored.StoredTable`: readers see the
 newest committed version, so a job never overwrites the files it is reading
 and a failed write leaves the previous version intact.
 """
@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobscope.operators import relational as R
+from jobscope.sources.stored import StoredTable, Version
 
 # ---------------------------------------------------------------------------
 # Audit status codes and event payload constants.
@@ -78,64 +78,16 @@ def write_per_key(df: DataFrame, path: str, key: str, min_rows: int | None = Non
 
 # --------------------------------------------------------------------------- versioned tables
 
-class VersionedTable:
-    """A table kept as ``<root>/v=<n>`` folders; the newest committed one is current.
+#: Tables with versions (see ``jobscope.sources.stored``); without a partition column an upsert rewrites the whole table.
+VersionedTable = StoredTable
 
-    ``upsert``/``replace`` read the current version and write version n+1, so
-    the input is never overwritten while it is read. Works on any Hadoop file
-    system (the listing uses the JVM FileSystem of the session).
-    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def versions(self) -> list[int]:
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def current_path(self) -> str | None:
-        v = self.versions()
-        return f"{self.root}/v={v[-1]:06d}" if v else None
-
-    def read(self) -> DataFrame:
-        p = self.current_path()
-        if p is None:
-            raise FileNotFoundError(self.root)
-        return self.spark.read.parquet(p)
-
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Write ``df`` as the next version."""
-        v = self.versions()
-        path = f"{self.root}/v={(v[-1] + 1 if v else 1):06d}"
-        overwrite(df, path, partition_by)
-        return path
-
-    def upsert(self, updates: DataFrame, keys: Sequence[str], order_col: str) -> str:
-        """``REPLACE INTO`` as a new version."""
-        cur = self.read() if self.versions() else updates.limit(0)
-        return self.replace(R.upsert(cur, updates, keys, order_col))
-
-    def purge(self, date_col: str, days: int, as_of) -> str:
-        """M1 on a stored table."""
-        return self.replace(R.purge(self.read(), date_col, days, as_of))
-
-
-def rotate_snapshot(today: VersionedTable, yesterday: VersionedTable) -> str:
-    """M2: yesterday := today (a new version of the D1 table)."""
-    return yesterday.replace(today.read())
+def rotate_snapshot(today: StoredTable, yesterday: StoredTable, keep: int | None = None) -> Version:
+    """M2: yesterday := today (a new version of the D1 table); ``keep`` limits the versions it holds on to."""
+    out = yesterday.replace(today.read())
+    if keep is not None:
+        yesterday.expire(keep=keep)
+    return out
 
 
 # --------------------------------------------------------------------------- S12

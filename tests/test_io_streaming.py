@@ -11,8 +11,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from jobscope.operators.reconcile import alerts_without_incident
 from jobscope.plans.services import service_map_load
 from jobscope.sources import sinks as S
-from jobscope.sources.reports import concat_reports, load_delimited, read_dated_files, read_report
-from jobscope.streaming.landing import alerts_unmatched_after_grace, ingest_landing, run_grace_check
+from jobscope.sources.reports import concat_reports, load_delimited, read_checked, read_dated_checked, read_dated_files, read_report
+from jobscope.streaming.landing import alerts_unmatched_after_grace, ingest_landing, merge_batch, run_grace_check
 
 
 def _scratch():
@@ -141,3 +141,29 @@ def test_grace_join_matches_batch(spark):
     al = spark.createDataFrame(alerts, a_schema).withColumn("notes", F.lit(None).cast("string"))
     j12 = alerts_without_incident(al, inc, "2024-01-31 00:00:00", lookback_hours=0, max_age_days=2)
     assert sorted(r.alert_id for r in j12.collect()) == [13]  # no upper time bound in the batch rule
+
+
+def test_rejected_lines_come_out_with_their_file(spark):
+    d = _scratch()
+    _write(f"{d}/BIM.20250520.csv", 'DS-A;"J;1";S1\nDS-A;J2\n\nDS-B;J3;S3;extra\n;;\n')
+    _write(f"{d}/BIM.20250521.TMP.csv", "x;y\n")
+    rows, rejected = read_dated_checked(spark, d, "BIM.*", ["dc", "job", "svc"])
+    assert sorted((tuple(r) for r in rows.collect()), key=repr) == [("DS-A", "J;1", "S1", dt.date(2025, 5, 20)), (None, None, None, dt.date(2025, 5, 20))]
+    assert sorted(tuple(r) for r in rejected.collect()) == [("BIM.20250520.csv", "DS-A", "DS-A;J2"), ("BIM.20250520.csv", "DS-B", "DS-B;J3;S3;extra")]
+    assert (rows.count(), rejected.count(), rejected.select("line").distinct().count()) == (2, 2, 2)
+    _write(f"{d}/h.csv", "Run ID,Server\nr1,DS-A\nr2\n")
+    rows, rejected = read_checked(spark, f"{d}/h.csv", ["run_id", "server"], header=True)
+    assert [r.run_id for r in rows.collect()] == ["r1"] and [r.line for r in rejected.collect()] == ["r2"]
+
+
+def test_replayed_micro_batch_and_new_checkpoint(spark):
+    landing, target, c1, c2 = _scratch(), os.path.join(_scratch(), "t"), os.path.join(_scratch(), "a"), os.path.join(_scratch(), "b")
+    schema = StructType([StructField("k", StringType()), StructField("v", StringType())])
+    _write(f"{landing}/f1.csv", "k,v\na,1\n")
+    ingest_landing(spark, landing, schema, target, ["k"], "v", c1)
+    t = S.VersionedTable(spark, target)
+    merge_batch(t, spark.createDataFrame([("a", "again")], schema), 0, ["k"], "v", c1)
+    assert [tuple(r) for r in t.read().collect()] == [("a", "1")] and t.versions() == [1]
+    _write(f"{landing}/f2.csv", "k,v\na,2\n")
+    ingest_landing(spark, landing, schema, target, ["k"], "v", c2)  # a stream of its own: its batch 0 counts
+    assert [tuple(r) for r in t.read().collect()] == [("a", "2")] and len(t.current().batches) == 2
