@@ -83,10 +83,14 @@ def sec_to_time(c) -> Column:
         "%02d:%02d:%02d", F.floor(s / 3600).cast("long"), F.floor((s % 3600) / 60).cast("long"), s % 60))
 
 
-def jitter_small(c, limit_s: int = 1440, lo: int = 50, hi: int = 58, seed: int = 42) -> Column:
+def jitter_small(c, limit_s: int = 1440, lo: int = 50, hi: int = 58, seed: int = 42, key=()) -> Column:
     """values at or below ``limit_s`` become a random whole number in [lo, hi].
 
-    ``rand(seed)`` is deterministic per partition layout; other rows are untouched.
+    The number is drawn from the MD5 of seed, key columns (what tells rows apart; NULL as empty text) and value, so a
+    row gets the same one in any layout and after any recomputation; other rows are untouched.
     """
     v = _c(c)
-    return F.when(v <= limit_s, F.floor(F.rand(seed) * (hi - lo + 1) + lo).cast("long")).otherwise(v)
+    parts = [F.coalesce(_c(k).cast("string"), F.lit("")) for k in key]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts, F.coalesce(v.cast("string"), F.lit(""))))
+    drawn = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % (hi - lo + 1) + lo
+    return F.when(v <= limit_s, drawn.cast("long")).otherwise(v)

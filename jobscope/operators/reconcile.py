@@ -284,13 +284,14 @@ def family_members(incidents: DataFrame, as_of, server: str = "DS", **cutoffs) -
             .withColumn("job_name", json_field("u_additional_info", "$.JOBNAME_ADDINFO")))
 
 
-def cleanup_decision(candidates: DataFrame, job_status: DataFrame) -> DataFrame:
+def cleanup_decision(candidates: DataFrame, job_status: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """J16 (card C): decision per candidate incident from the job's current state.
 
     not found -> ``GONE``; status not 'Ended Not OK' -> ``NOT_FAILED``; run
     number differs from the incident's (missing = 0) -> ``COUNTER_DIFFERS``;
     else held -> ``DELETE``, not held -> ``HOLD_THEN_DELETE``. The first three
-    count as success with no action. ``job_status`` has one row per (server, run id).
+    count as success with no action. ``job_status`` has one row per (server, run id);
+    ``also`` names further candidate columns to keep.
     """
     st = job_status.select(F.col("server_name").alias("__srv"), F.col("run_id").alias("__run"),
                            F.col("job_status").alias("__status"), F.col("number_of_runs").alias("__runs"),
@@ -303,7 +304,7 @@ def cleanup_decision(candidates: DataFrame, job_status: DataFrame) -> DataFrame:
                 .when(F.coalesce(F.col("__held"), F.lit(False)), F.lit("DELETE"))
                 .otherwise(F.lit("HOLD_THEN_DELETE")))
     return j.select("number", "u_datacenter", "u_orderid", "job_name", run_number.alias("run_number"),
-                    decision.alias("decision"))
+                    decision.alias("decision"), *also)
 
 
 # --------------------------------------------------------------------------- J17
@@ -314,6 +315,22 @@ def isolated_jobs(held: DataFrame, edges: DataFrame, key: str = "run_id") -> Dat
     return held.join(ends, held[key] == ends["__n"], "left_anti")
 
 
+# Fixed value: error text of a held job that is not isolated.
+NOT_ISOLATED = "Rotina com sucessores"
+
+
+def held_outcomes(jobs: DataFrame, edges: DataFrame, as_of, days: int = 15) -> DataFrame:
+    """J17 with outcomes: held jobs that started on a day at least ``days`` days ago, with ``status`` OK when isolated,
+    else NOK and an ``error``. Jobs without a centre or run id are skipped."""
+    day = F.date_sub(F.to_date(F.lit(as_of).cast("timestamp")), days)
+    old = jobs.filter(F.col("held") & (F.to_date("start_time") <= day) & (F.col("server_name") != "") & (F.col("run_id") != ""))
+    ends = edges.select(F.col("src").alias("__n")).union(edges.select(F.col("dst").alias("__n"))).distinct()
+    j = old.join(ends, old.run_id == ends["__n"], "left")
+    free = F.col("__n").isNull()
+    return j.select("job_name", "server_name", "run_id", F.when(free, "OK").otherwise("NOK").alias("status"),
+                    F.when(~free, F.lit(NOT_ISOLATED)).alias("error"))
+
+
 # --------------------------------------------------------------------------- J18
 
 def split_success(ids: DataFrame, messages: DataFrame, id_col: str = "alert_id",

@@ -180,7 +180,8 @@ def model_executions(exec_df: DataFrame, summary: DataFrame, as_of, days: int =
                                        & F.col("data_center").startswith(centre_prefix)), "start_time", days, as_of)
     s = summary.select(F.col("server_name"), F.col("job_name").alias("s_job"), F.col("folder_name"))
     j = e.join(s, (e.data_center == s.server_name) & (e.job_name == s.s_job) & (e.sched_table == s.folder_name), "inner")
-    rt = jitter_small(F.col("runtime_s"), seed=seed) if jitter else F.col("runtime_s")
+    key = ["data_center", "job_name", F.unix_seconds("start_time"), F.unix_seconds("end_time")]
+    rt = jitter_small(F.col("runtime_s"), seed=seed, key=key) if jitter else F.col("runtime_s")
     return j.select("data_center", F.col("s_job").alias("job_name"), "start_time", "end_time", rt.alias("runtime_s"))
 
 

@@ -15,6 +15,7 @@ from jobscope.plans.reconcile_queries import (AUDIT_EVENTS_SQL, FAILED_MSG_SQL,
 from jobscope.plans.registry import register
 from jobscope.plans.services import service_map_load
 from jobscope.plans.table_queries import CATALOG_SQL, DIFF_SQL
+from jobscope.sources.sinks import gap_log
 from jobscope.sources.fixtures import AS_OF_DATES, AS_OF_EVENTS, Estate
 
 AS_OF = AS_OF_EVENTS
@@ -138,8 +139,7 @@ def q_close_log(spark, sf):
     return J.close_reopen(main, late, E.active, _failed_jobs(E), _failed_messages(E), AS_OF)["log"]
 
 
-@register("pl15_gap_events", sql=f"""
-WITH jobs AS (SELECT j.* FROM fx_active j WHERE j.job_status = 'Ended Not OK' AND NOT EXISTS (SELECT 1 FROM fx_alert a
+GAPS_SQL = f"""WITH jobs AS (SELECT j.* FROM fx_active j WHERE j.job_status = 'Ended Not OK' AND NOT EXISTS (SELECT 1 FROM fx_alert a
   WHERE a.server_name = j.server_name AND a.run_id = j.run_id AND a.job_name = j.job_name AND a.run_counter = j.number_of_runs)),
 ev AS ({AUDIT_EVENTS_SQL}),
 h1 AS (SELECT DISTINCT j.job_name FROM jobs j JOIN ev ON concat(j.server_name, '-', CAST(j.number_of_runs AS VARCHAR)) = ev.resource
@@ -155,18 +155,40 @@ gaps0 AS (
   UNION ALL
   SELECT ag.job_name, ag.server_name, ag.run_id, ag.alert_time, CASE WHEN fj.job_name IS NOT NULL THEN fj.start_time ELSE ag.alert_time END,
     CASE WHEN fj.job_name IS NOT NULL THEN fj.end_time ELSE ag.alert_time END, ag.run_counter FROM ag LEFT JOIN fj ON ag.job_name = fj.job_name),
-gaps AS (SELECT * FROM gaps0)
+gaps AS (SELECT * FROM gaps0)"""
+
+
+@register("pl15_gap_events", sql=f"""
+{GAPS_SQL}
 SELECT job_name, run_id, concat_ws('-', server_name, CAST(rerun_counter AS VARCHAR), run_id) AS resource,
   strftime(start_time, '%d/%m/%Y %H:%M:%S') AS datetime_start FROM gaps""",
           views=("fx_alert", "fx_active", "fx_incident"))
 def q_gap_events(spark, sf):
     E = Estate(spark, sf)
-    out = J.gaps_to_events(_failed_jobs(E), E.alert, E.incident, _audit_events(E), E.active, AS_OF)
-    ev = out["events"]
+    ev = J.gaps_to_events(_failed_jobs(E), E.alert, E.incident, _audit_events(E), E.active, AS_OF)["events"]
     return ev.select("job_name", "run_id", F.get_json_object("payload", "$.resource").alias("resource"),
                      F.get_json_object("payload", "$.additional_info.DATETIME_START").alias("datetime_start"))
 
 
+@register("pl15_log", sql=f"""
+{GAPS_SQL},
+inc AS (SELECT u_datacenter, job_name, min(number) AS number FROM (SELECT u_datacenter, number, json_extract_string(u_additional_info, '$.JOBNAME_ADDINFO') AS job_name
+  FROM fx_incident WHERE right(number, 1) IN ('2', '4')) t GROUP BY 1, 2),
+lg AS (SELECT g.job_name, i.number, coalesce(ends_with(g.run_id, '5'), false) AS bad FROM gaps g LEFT JOIN inc i ON g.server_name = i.u_datacenter AND g.job_name = i.job_name)
+SELECT TIMESTAMP '{AS_OF}' AS log_time, 5 AS automation_id, CASE WHEN bad THEN 2 ELSE 1 END AS status_id, job_name, CASE WHEN NOT bad THEN number END AS incidents,
+  CASE WHEN NOT bad THEN 'Event Opened' END AS old_value, CASE WHEN NOT bad THEN 'None' END AS new_value, CASE WHEN bad THEN 'HTTP 500' END AS error_message FROM lg
+UNION ALL SELECT TIMESTAMP '{AS_OF}', 5, -1, NULL, NULL, NULL, NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM lg)""",
+          views=("fx_alert", "fx_active", "fx_incident"))
+def q_gap_log(spark, sf):
+    """Outcomes of the gap events: runs ending in 5 could not be posted, and some incidents carry a job's name as their order."""
+    E = Estate(spark, sf)
+    gaps = J.gaps_to_events(_failed_jobs(E), E.alert, E.incident, _audit_events(E), E.active, AS_OF)["gaps"]
+    failures = gaps.filter(F.col("run_id").endswith("5")).select("job_name", "run_id", F.lit("HTTP 500").alias("error_message"))
+    found = E.incident.filter(F.substring("number", -1, 1).isin("2", "4")).select(
+        "number", "u_datacenter", F.get_json_object("u_additional_info", "$.JOBNAME_ADDINFO").alias("u_orderid"))
+    return gap_log(gaps, AS_OF, failures, found)
+
+
 @register("pl16_stale_cleanup_decisions_ws", sql=f"""
 WITH k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
 c AS (SELECT i.*, json_extract_string(i.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name FROM fx_incident i LEFT JOIN k ON i.number = k.p
@@ -198,15 +220,49 @@ fam AS (SELECT c.number, c.u_datacenter, c.u_orderid, json_extract_string(c.u_ad
 FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id)"""
 
 
-@register("pl16_log", sql=f"""
-WITH {FAMILY_SQL},
-act AS (SELECT * FROM fam WHERE decision IN ('DELETE', 'HOLD_THEN_DELETE'))
-SELECT TIMESTAMP '{AS_OF}' AS log_time, 6 AS automation_id, 1 AS status_id, job_name, number AS incidents, NULL::VARCHAR AS alerta_id,
-  NULL::VARCHAR AS new_value, NULL::VARCHAR AS error_message FROM act
-UNION ALL SELECT TIMESTAMP '{AS_OF}', 6, -1, NULL, NULL, NULL, NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM act)""", views=("fx_incident", "fx_active"))
-def q_cleanup_log(spark, sf):
+def _cleanup_log_sql(source: str) -> str:
+    """Rows of ``source`` (decisions joined with their incident) as the clean-up log; every sixth incident's deletion failed."""
+    return f"""lg AS (SELECT d.job_name, d.number, CASE WHEN length(d.number) % 2 = 0 THEN regexp_replace(i.u_alert_id, '-X$', '') ELSE '0' END AS alert,
+  d.decision IN ('DELETE', 'HOLD_THEN_DELETE') AND ends_with(d.number, '6') AS bad FROM {source} d JOIN fx_incident i USING (number))
+SELECT TIMESTAMP '{AS_OF}' AS log_time, 4 AS automation_id, CASE WHEN bad THEN 2 ELSE 1 END AS status_id, job_name, number AS incidents, alert AS alerta_id,
+  NULL::VARCHAR AS new_value, CASE WHEN bad THEN 'HTTP 500' END AS error_message FROM lg
+UNION ALL SELECT TIMESTAMP '{AS_OF}', 4, -1, NULL, NULL, NULL, NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM lg)"""
+
+
+def _cleanup(spark, sf, server: str = "DS"):
+    """The clean-up over the fixture; deletions of incidents ending in 6 are said to have failed."""
     E = Estate(spark, sf)
-    return J.stale_cleanup(E.incident, E.active, E.active, E.edge, AS_OF)["log"]
+    plain = E.incident.withColumn("u_alert_id", F.when(F.length("number") % 2 == 0, F.regexp_replace("u_alert_id", "-X$", "")).otherwise(F.col("u_alert_id")))
+    failures = E.incident.filter(F.col("number").endswith("6")).select("number", F.lit("HTTP 500").alias("error_message"))
+    return J.stale_cleanup(plain, E.active, E.active, E.edge, AS_OF, server, failures)
+
+
+@register("pl16_log", sql=f"WITH {FAMILY_SQL},\n{_cleanup_log_sql('fam')}", views=("fx_incident", "fx_active"))
+def q_cleanup_log(spark, sf):
+    return _cleanup(spark, sf)["log"]
+
+
+@register("pl16_single_log", sql=f"""WITH k AS (SELECT parent_incident AS p, count(*) AS n FROM fx_incident WHERE parent_incident IS NOT NULL GROUP BY 1),
+c AS (SELECT i.*, json_extract_string(i.u_additional_info, '$.JOBNAME_ADDINFO') AS job_name FROM fx_incident i LEFT JOIN k ON i.number = k.p
+  WHERE i.u_source = 'scheduler' AND i.category = 'monitoring' AND i.parent_incident IS NULL AND coalesce(k.n, 0) = 0
+    AND starts_with(i.u_datacenter, 'DS') AND i.u_orderid IS NOT NULL AND i.u_orderid <> '' AND i.state IN (1, 2, 3)
+    AND i.sys_created_on < TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY AND NOT coalesce(i.u_additional_info LIKE '%host-x%', false)),
+one AS (SELECT c.number, c.job_name, CASE WHEN s.job_status = 'Ended Not OK' AND CAST(s.number_of_runs AS BIGINT) = CAST(coalesce(c.u_run_number, 0) AS BIGINT)
+  THEN 'DELETE' ELSE 'NONE' END AS decision FROM c LEFT JOIN fx_active s ON c.u_datacenter = s.server_name AND c.u_orderid = s.run_id),
+{_cleanup_log_sql('one')}""", views=("fx_incident", "fx_active"))
+def q_cleanup_single_log(spark, sf):
+    return _cleanup(spark, sf)["single_log"]
+
+
+@register("pl16_held_log", sql=f"""
+WITH ends AS (SELECT src AS n FROM fx_edge UNION SELECT dst FROM fx_edge),
+h AS (SELECT a.job_name, ends.n IS NULL AS free FROM fx_active a LEFT JOIN ends ON a.run_id = ends.n
+      WHERE a.held AND CAST(a.start_time AS DATE) <= DATE '{AS_OF[:10]}' - INTERVAL 15 DAY)
+SELECT TIMESTAMP '{AS_OF}' AS log_time, 6 AS automation_id, CASE WHEN free THEN 1 ELSE 2 END AS status_id, job_name, NULL::VARCHAR AS incidents,
+  NULL::VARCHAR AS alerta_id, NULL::VARCHAR AS new_value, CASE WHEN NOT free THEN 'Rotina com sucessores' END AS error_message FROM h
+UNION ALL SELECT TIMESTAMP '{AS_OF}', 6, -1, NULL, NULL, NULL, NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM h)""", views=("fx_active", "fx_edge"))
+def q_held_log(spark, sf):
+    return _cleanup(spark, sf)["held_log"]
 
 
 @register("pl16_family_decisions", sql=f"WITH {FAMILY_SQL}\nSELECT * FROM fam", views=("fx_incident", "fx_active"))

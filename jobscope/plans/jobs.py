@@ -174,23 +174,45 @@ def close_reopen(alerts, late, active, failed, messages, as_of) -> dict[str, Dat
 
 
 def gaps_to_events(failed_jobs, alerts, incidents, audit_events, all_jobs, as_of,
-                   limit: int | None = None) -> dict[str, DataFrame]:
+                   limit: int | None = None, failures: DataFrame | None = None) -> dict[str, DataFrame]:
     """PL15: jobs without alert (J11) minus already reported (J13) + alerts without
-    incident in any search (J12) -> merged (J14) -> event payloads (S12).
-    With ``limit`` the job fails above it (M3); it never returns part of the gaps."""
+    incident in any search (J12) -> merged (J14) -> event payloads (S12) and the log of their outcomes (S13).
+    With ``limit`` the job fails above it (M3); it never returns part of the gaps. ``failures``
+    (job_name, run_id, error_message) names the events that could not be posted."""
     jg = RC.drop_already_reported(RC.jobs_without_alert(failed_jobs, alerts), audit_events, incidents)
     ag = RC.alerts_never_matched(alerts, incidents, as_of)
     gaps = RC.merge_gaps(jg, ag, all_jobs)
     if limit is not None:
         gaps = R.require_volume(gaps, limit)
-    return {"gaps": gaps, "events": S.event_payload(gaps)}
-
-
-def stale_cleanup(incidents, job_status, held, edges, as_of, server: str = "DS") -> dict[str, DataFrame]:
-    """PL16: single-incident decisions (J16), families (J15), isolated held jobs (J17) and
-    the log (S13) of the family jobs to delete, or its "nothing found" row."""
-    family = RC.cleanup_decision(RC.family_members(incidents, as_of, server), job_status)
-    done = family.filter(F.col("decision").isin("DELETE", "HOLD_THEN_DELETE")).withColumn("status", F.lit("OK"))
-    return {"decisions": RC.cleanup_decision(RC.cleanup_candidates(incidents, as_of, server), job_status),
-            "families": RC.incident_families(incidents, as_of, server), "family_decisions": family,
-            "log": S.job_log(done, 6, as_of), "isolated_held": RC.isolated_jobs(held, edges)}
+    return {"gaps": gaps, "events": S.event_payload(gaps), "log": S.gap_log(gaps, as_of, failures, incidents)}
+
+
+# Ids of the clean-up automations in the log.
+CLEANUP_ID, HELD_CLEANUP_ID = 4, 6
+
+
+def _cleanup_log(candidates, job_status, as_of, failures) -> DataFrame:
+    """Log rows of incidents with a clean-up decision: a job that is gone, no longer failed or at another run counts
+    as done; only a deletion that was tried can have failed (``failures``: number, error_message)."""
+    done = RC.cleanup_decision(candidates.withColumn("alert_id", T.digits_or_zero("u_alert_id")), job_status, also=["alert_id"])
+    error = F.lit(None).cast("string")
+    if failures is not None:
+        bad = failures.groupBy(F.col("number").alias("__bad")).agg(F.coalesce(F.max("error_message"), F.lit("Erro desconhecido")).alias("__error"))
+        done = done.join(bad, done.number == bad["__bad"], "left")
+        error = F.when(F.col("decision").isin("DELETE", "HOLD_THEN_DELETE"), F.col("__error"))
+    done = done.withColumn("error", error).withColumn("status", F.when(F.col("error").isNull(), "OK").otherwise("NOK"))
+    return S.job_log(done, CLEANUP_ID, as_of, alert_col="alert_id", error_col="error")
+
+
+def stale_cleanup(incidents, job_status, held, edges, as_of, server: str = "DS", failures: DataFrame | None = None) -> dict[str, DataFrame]:
+    """PL16: single-incident decisions (J16), families (J15), isolated held jobs (J17), and the
+    logs (S13) of the families, of the single incidents and of the jobs held for 15 days, each with its
+    "nothing found" row. ``failures`` (number, error_message) names deletions that did not succeed."""
+    members = RC.family_members(incidents, as_of, server)
+    single = RC.cleanup_candidates(incidents, as_of, server)
+    isolated = RC.held_outcomes(held, edges, as_of)
+    return {"decisions": RC.cleanup_decision(single, job_status),
+            "families": RC.incident_families(incidents, as_of, server), "family_decisions": RC.cleanup_decision(members, job_status),
+            "log": _cleanup_log(members, job_status, as_of, failures), "single_log": _cleanup_log(single, job_status, as_of, failures),
+            "isolated_held": isolated.filter(F.col("status") == "OK"),
+            "held_log": S.job_log(isolated.withColumn("none", F.lit(None).cast("string")), HELD_CLEANUP_ID, as_of, incident_col="none", error_col="error")}

@@ -152,6 +152,35 @@ def job_log(outcomes: DataFrame, automation_id: int, as_of, status_col: str = "s
     return _or_nothing_found(rows, outcomes, automation_id, as_of)
 
 
+def gap_log(gaps: DataFrame, as_of, failures: DataFrame | None = None, incidents: DataFrame | None = None,
+            automation_id: int = 5, order_col: str = "job_name") -> DataFrame:
+    """S13, gap layout: one row per event posted, or the "nothing found" row.
+
+    An opened event logs job, the incident found for it, ``Event Opened`` as old and the text ``None`` as new value; a
+    failed one (its job and run are in ``failures``: job_name, run_id, error_message) logs the job and the error. The
+    incident is the first by number of the centre whose order id equals ``order_col`` of the gap
+    (LITERAL: the source compares it with the job's name).
+    """
+    rows = gaps.select("job_name", "run_id", "server_name", F.col(order_col).alias("__order"))
+    if failures is not None:
+        bad = failures.groupBy(F.col("job_name").alias("__job"), F.col("run_id").alias("__run")).agg(F.max("error_message").alias("__error"),
+                                                                                                  F.lit(True).alias("__failed"))
+        rows = rows.join(bad, rows.job_name.eqNullSafe(F.col("__job")) & rows.run_id.eqNullSafe(F.col("__run")), "left")
+    else:
+        rows = rows.withColumn("__error", F.lit(None).cast("string")).withColumn("__failed", F.lit(None).cast("boolean"))
+    if incidents is not None:
+        inc = incidents.groupBy(F.col("u_datacenter").alias("__dc"), F.col("u_orderid").alias("__oid")).agg(F.min("number").alias("__number"))
+        rows = rows.join(inc, (F.col("server_name") == F.col("__dc")) & (F.col("__order") == F.col("__oid")), "left")
+    else:
+        rows = rows.withColumn("__number", F.lit(None).cast("string"))
+    ok = F.col("__failed").isNull()
+    out = rows.select(F.lit(as_of).cast("timestamp").alias("log_time"), F.lit(automation_id).alias("automation_id"),
+                      F.when(ok, F.lit(STATUS_IDS["OK"])).otherwise(F.lit(STATUS_IDS["NOK"])).alias("status_id"), F.col("job_name").cast("string").alias("job_name"),
+                      F.when(ok, F.col("__number")).cast("string").alias("incidents"), F.when(ok, F.lit("Event Opened")).alias("old_value"),
+                      F.when(ok, F.lit("None")).alias("new_value"), F.when(~ok, F.col("__error")).alias("error_message"))
+    return _or_nothing_found(out, gaps, automation_id, as_of)
+
+
 def _status_code(status_col: str) -> Column:
     names = F.create_map(*[x for k, v in STATUS_IDS.items() for x in (F.lit(k), F.lit(v))])
     return F.coalesce(names[F.col(status_col)], F.lit(0))
