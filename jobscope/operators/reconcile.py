@@ -171,24 +171,27 @@ def drop_already_reported(jobs: DataFrame, events: DataFrame | None, incidents:
     ``'-'.join(resource_cols)``, same order id (message key) and node = job name.
     Pass 2 (on what is left): a system incident on the same centre and order,
     created at or after ``end_time - lookback_hours``. Each pass drops every
-    remaining job with a hit's name.
+    remaining job with a hit's name, so the names to drop are those with a hit of either
+    pass: both are looked up side by side from the jobs' keys, and one anti-join removes them.
     """
-    out = jobs
+    if events is None and incidents is None:
+        return jobs
+    res = F.concat_ws("-", *[F.col(c).cast("string") for c in resource_cols])
+    keys = jobs.select("job_name", "server_name", "run_id", "end_time", res.alias("__res"))
+    hit = F.lit(False)
     if events is not None:
         ev = events.filter((F.col("metric_name") == AUDIT_METRIC) & (F.col("u_source") == AUDIT_SOURCE)).select(
-            "resource", "message_key", "node").distinct()
-        res = F.concat_ws("-", *[F.col(c).cast("string") for c in resource_cols])
-        hits = out.join(ev, (res == ev.resource) & (out.run_id == ev.message_key) & (out.job_name == ev.node),
-                        "left_semi").select("job_name").distinct()
-        out = out.join(hits, "job_name", "left_anti")
+            F.col("resource").alias("__e_res"), F.col("message_key").alias("__e_key"), F.col("node").alias("__e_node")).distinct()
+        keys = keys.join(ev, (F.col("__res") == F.col("__e_res")) & (F.col("run_id") == F.col("__e_key"))
+                         & (F.col("job_name") == F.col("__e_node")), "left")
+        hit = hit | F.col("__e_key").isNotNull()
     if incidents is not None:
-        last = _system_incidents(incidents).groupBy("u_datacenter", "u_orderid").agg(
+        last = _system_incidents(incidents).groupBy(F.col("u_datacenter").alias("__i_dc"), F.col("u_orderid").alias("__i_order")).agg(
             F.max("sys_created_on").alias("__last"))
-        hits = (out.join(last, (out.server_name == last.u_datacenter) & (out.run_id == last.u_orderid), "inner")
-                .filter(F.col("__last") >= _hours_before(F.col("end_time"), lookback_hours))
-                .select("job_name").distinct())
-        out = out.join(hits, "job_name", "left_anti")
-    return out
+        keys = keys.join(last, (F.col("server_name") == F.col("__i_dc")) & (F.col("run_id") == F.col("__i_order")), "left")
+        hit = hit | F.coalesce(F.col("__last") >= _hours_before(F.col("end_time"), lookback_hours), F.lit(False))
+    hits = keys.filter(hit).select("job_name").distinct()
+    return jobs.join(hits, "job_name", "left_anti")
 
 
 # --------------------------------------------------------------------------- J14

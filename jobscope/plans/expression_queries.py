@@ -87,7 +87,7 @@ def q_alert_report(spark, sf):
 SELECT alert_id, strftime(alert_time, '%Y%m%d%H%M%S') AS compact, strftime(alert_time, '%d/%m/%Y %H:%M:%S') AS display,
        strftime(alert_time, '%Y-%m-%d') AS day, alert_time AS reparsed FROM fx_alert""", views=("fx_alert",))
 def q_times(spark, sf):
-    a = Estate(spark, sf).alert
+    a = Estate(spark, sf).alert_plain
     long_text = F.date_format("alert_time", "MMMM d, yyyy h:mm:ss a")
     reparsed = TF.parse_ts(long_text, TF.LONG_TS)
     compact = TF.format_ts(reparsed, TF.COMPACT_TS)
@@ -152,7 +152,7 @@ def q_last3(spark, sf):
 SELECT alert_id, concat_ws('-', server_name, CAST(run_counter AS VARCHAR), run_id) AS resource,
        concat(server_name, ':', run_id) AS job_id FROM fx_alert""", views=("fx_alert",))
 def q_resource(spark, sf):
-    a = Estate(spark, sf).alert
+    a = Estate(spark, sf).alert_plain
     return a.select("alert_id", T.resource_key("server_name", "run_counter", "run_id").alias("resource"),
                     T.concat_fields("server_name", F.lit(":"), "run_id").alias("job_id"))
 
@@ -218,7 +218,7 @@ SELECT alert_id, CASE WHEN upper(notes) LIKE '%INC%' AND strpos(notes, 'INC') >
        CASE WHEN upper(lower(notes)) LIKE '%INC%' AND strpos(lower(notes), 'INC') > 0 THEN 'x' END AS lower_inc
 FROM fx_alert""", views=("fx_alert",))
 def q_notes(spark, sf):
-    a = Estate(spark, sf).alert
+    a = Estate(spark, sf).alert_plain
     low = T.incident_in_notes(F.lower("notes"))
     return a.select("alert_id", T.incident_in_notes("notes").alias("inc"),
                     F.when(low.isNotNull(), F.lit("x")).alias("lower_inc"))

@@ -213,7 +213,7 @@ SELECT a.alert_id, a.run_id, CASE WHEN f.fid IS NULL THEN 'ok' ELSE 'failed' END
 FROM fx_alert a LEFT JOIN (SELECT fid FROM f WHERE fid IS NOT NULL) f ON a.alert_id = f.fid""", views=("fx_alert", "fx_incident"))
 def q_split(spark, sf):
     E = Estate(spark, sf)
-    return RC.split_success(E.alert.select("alert_id", "run_id"), _failed_messages(E))
+    return RC.split_success(E.alert_plain.select("alert_id", "run_id"), _failed_messages(E))
 
 
 @register("s13_audit_log", sql=f"""
@@ -227,7 +227,7 @@ SELECT TIMESTAMP '{AS_OF}' AS log_time, 1 AS automation_id, CASE status WHEN 'OK
           views=("fx_alert", "fx_incident"))
 def q_audit(spark, sf):
     E = Estate(spark, sf)
-    o = RC.split_success(E.alert.select("alert_id", "message"), _failed_messages(E))
+    o = RC.split_success(E.alert_plain.select("alert_id", "message"), _failed_messages(E))
     o = o.select("alert_id", F.col("message").alias("old_value"),
                  F.when(F.col("outcome") == "ok", "OK").otherwise("NOK").alias("status"),
                  F.when(F.col("outcome") != "ok", F.lit("close failed")).alias("err"))

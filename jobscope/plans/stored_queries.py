@@ -14,7 +14,9 @@ from jobscope.plans.registry import register
 from jobscope.session import checkpoint_dir
 from jobscope.sources.fixtures import AS_OF_DATES, AS_OF_EVENTS, Estate
 from jobscope.sources.reports import load_checked, read_dated_checked
-from jobscope.sources.stored import StoredTable
+from jobscope.operators import relational as R
+from jobscope.sources.sinks import write_per_key_bucketed
+from jobscope.sources.stored import StoredTable, VolumeExceeded
 from jobscope.streaming.landing import ingest_landing, merge_batch, rows_too_late, run_grace_check
 
 
@@ -164,6 +166,30 @@ def q_versions_kept(spark, sf):
     return out[0].unionByName(out[1])
 
 
+@register("m3_guarded_replace", sql="""
+SELECT job_id, job_name, memname FROM fx_jobs_cur c WHERE NOT EXISTS (SELECT 1 FROM fx_jobs_prev p WHERE trim(p.job_name) = trim(c.job_name))""",
+          views=("fx_jobs_cur", "fx_jobs_prev"))
+def q_guarded_replace(spark, sf):
+    """New jobs replace a stored table under its limit; a result above the limit is refused and leaves it as it was."""
+    E = Estate(spark, sf)
+    new = R.snapshot_diff(E.jobs_cur, E.jobs_prev).filter(F.col("flag") == "I").select("job_id", "job_name", "memname")
+    t = StoredTable(spark, _folder(spark, "guarded"))
+    t.replace(new, limit=10**9)
+    try:
+        t.replace(E.jobs_cur.select("job_id", "job_name", "memname"), limit=0)
+    except VolumeExceeded:
+        return t.read()
+    raise AssertionError("the guard let everything through")
+
+
+@register("s11_per_job_index", sql="""
+SELECT job_name, count(*) AS n FROM fx_exec GROUP BY job_name HAVING count(*) > 80""", views=("fx_exec",))
+def q_per_job_index(spark, sf):
+    """Runs of the jobs with over 80 of them, in 16 buckets, counted by the index of the files."""
+    index = write_per_key_bucketed(Estate(spark, sf).runs, _folder(spark, "per-job"), "job_name", 16, min_rows=80)
+    return index.groupBy("job_name").agg(F.sum("rows").alias("n"))
+
+
 # --------------------------------------------------------------------------- T1, T2: streams
 
 @register("t1_ingest_landing", sql=f"""
@@ -197,7 +223,7 @@ def q_unmatched_after_grace(spark, sf):
     One closing pair a year on moves the watermark past the last alert.
     """
     E = Estate(spark, sf)
-    alerts = E.alert.select("alert_id", "run_id", "server_name", "alert_time")
+    alerts = E.alert_plain.select("alert_id", "run_id", "server_name", "alert_time")
     incidents = E.incident.select("number", "u_datacenter", "u_orderid", "u_alert_id", "sys_created_on", "sys_created_by", "u_source", "category")
     a_dir, i_dir, target, ckpt = (_folder(spark, x) for x in ("alerts", "incidents", "unmatched", "grace"))
     closing = F.expr(f"TIMESTAMP '{AS_OF_EVENTS}' + INTERVAL 366 DAY")

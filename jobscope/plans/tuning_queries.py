@@ -109,7 +109,7 @@ def q_threshold_tuning(spark, sf):
 
     E = Estate(spark, sf)
     return threshold_tuning(E.shout_sum.drop("media_s"), E.shout, E.def_job, E.def_table, E.stat, E.runs, AS_OF,
-                            centre_prefix="DS", report_cond=None, alarms=alarms_of(E.alert),
+                            centre_prefix="DS", report_cond=None, alarms=alarms_of(E.alert_plain),
                             yesterday=_jobs_of_yesterday(E))["impact"].drop("id")
 
 
@@ -119,7 +119,7 @@ def q_summary(spark, sf):
     from jobscope.plans.table_queries import alarms_of
 
     E = Estate(spark, sf)
-    counts = alert_count(alarms_of(E.alert), AS_OF, 30, centre_prefix="DS")
+    counts = alert_count(alarms_of(E.alert_plain), AS_OF, 30, centre_prefix="DS")
     return TU.finalize_summary(_rules1(E).unionByName(_rules2(E)), E.runs, counts, _jobs_of_yesterday(E))
 
 

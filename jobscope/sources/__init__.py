@@ -5,7 +5,7 @@ from jobscope.sources.reports import (  # noqa: F401
 )
 from jobscope.sources.sinks import (  # noqa: F401
     VersionedTable, append, audit_log, event_payload, export_delimited, overwrite, replace_partition,
-    rotate_snapshot, write_per_key,
+    rotate_snapshot, write_per_key, write_per_key_bucketed,
 )
-from jobscope.sources.stored import StoredTable, VersionConflict  # noqa: F401
+from jobscope.sources.stored import StoredTable, VersionConflict, VolumeExceeded  # noqa: F401
 from jobscope.sources.tables import table  # noqa: F401

@@ -16,7 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobscope.operators.numbering import number_rows
 from jobscope.operators.ordering import keep_first, sequence_within
+from jobscope.sources.scratch import keep
 from jobscope.sources.tables import table
 
 # ---------------------------------------------------------------------------
@@ -129,7 +131,8 @@ def fx_alert(spark: SparkSession, sf_dir: str, exec_df: DataFrame | None = None)
     i = F.col("exec_id")
     return e.filter(F.col("completion_status") == "Ended Not OK").select(
         i.alias("alert_id"), F.col("order_id").alias("run_id"), F.col("data_center").alias("server_name"),
-        "job_name", F.col("rerun_counter").alias("run_counter"), F.col("start_time").alias("alert_time"),
+        "job_name", *([F.col("rerun_counter").alias("run_counter")] if "rerun_counter" in e.columns else []),
+        F.col("start_time").alias("alert_time"),
         F.when(i % 5 == 0, "Late submission").otherwise("Ended not OK").alias("message"),
         F.when(i % 8 == 0, F.concat(F.lit("ver INC"), (i + 1).cast("string")))
          .when(i % 4 == 0, F.concat(F.lit("ver INC"), i.cast("string"))).alias("notes"),
@@ -190,7 +193,8 @@ def fx_shout_sum(spark: SparkSession, sf_dir: str, exec_df: DataFrame | None = N
     j = jobs.join(stat, (jobs.data_center == stat.datacenter) & (jobs.job_name == stat.jobname), "inner")
     # three threshold rows per job: a generator, not a cross join
     j = j.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    j = sequence_within(j, [], ["data_center", "sched_table", "job_name", "k"], name="id")
+    # ids by a string order: written ranges, since names share their first bytes
+    j = number_rows(keep(j, "jobs"), ["data_center", "sched_table", "job_name", "k"], name="id")
     name = F.col("job_name")
     tail2 = F.substring(name, F.length(name) - 1, 2).cast("int")
     pick = (F.length(name) + tail2 + F.col("k")) % 4
@@ -272,6 +276,11 @@ class Estate:
     def alert(self):
         return self._get("alert", lambda: fx_alert(self.spark, self.sf_dir, self.exec))
 
+    @property
+    def alert_plain(self):
+        """Alerts without the run counter (no numbering shuffle)."""
+        return self._get("alert_plain", lambda: fx_alert(self.spark, self.sf_dir, self.runs))
+
     @property
     def active(self):
         return self._get("active", lambda: fx_active(self.spark, self.sf_dir, self.exec))

@@ -76,6 +76,27 @@ def write_per_key(df: DataFrame, path: str, key: str, min_rows: int | None = Non
      .format(fmt).option("header", True).save(path))
 
 
+def write_per_key_bucketed(df: DataFrame, path: str, key: str, buckets: int, min_rows: int | None = None,
+                           max_records_per_file: int = 1_000_000) -> DataFrame:
+    """S11 for many keys: rows in ``buckets`` folders by a hash of the key, sorted by it, and an index.
+
+    The number of files depends on ``buckets`` and the rows, not on the number of keys. Returns the index, one row
+    per (key, file): key, file, rows; it is also written to ``<path>/index``. A reader of one key opens the files the index
+    names and filters by key. A rebalance splits an oversized bucket, so a hot key becomes several files.
+    """
+    spark = df.sparkSession
+    if min_rows is not None:
+        keep = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_rows).select(F.col(key).alias("__key"))
+        df = df.join(keep, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    data = f"{path.rstrip('/')}/data"
+    rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).hint("rebalance", "bucket").sortWithinPartitions("bucket", key)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("maxRecordsPerFile", max_records_per_file).partitionBy("bucket").parquet(data)
+    back = spark.read.schema(df.schema).parquet(f"{data}/*").select(F.col(key), F.col("_metadata.file_path").alias("file"))
+    back.groupBy(key, "file").agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(f"{path.rstrip('/')}/index")
+    return spark.read.parquet(f"{path.rstrip('/')}/index")
+
+
 # --------------------------------------------------------------------------- versioned tables
 
 #: Tables with versions (see ``jobscope.sources.stored``); without a partition column an upsert rewrites the whole table.

@@ -34,6 +34,10 @@ from pyspark.sql.types import StructType
 from jobscope.operators import relational as R
 
 
+class VolumeExceeded(RuntimeError):
+    """More rows than the caller's limit were written; they were taken away again and nothing was committed."""
+
+
 class VersionConflict(RuntimeError):
     """Another writer committed the next version first."""
 
@@ -153,12 +157,24 @@ class StoredTable:
 
     # ------------------------------------------------------------------ operations
 
-    def replace(self, df: DataFrame, keys: Sequence[str] = ()) -> Version:
-        """``df`` is the whole new version. ``keys`` are needed when the table has slices."""
+    def replace(self, df: DataFrame, keys: Sequence[str] = (), limit: int | None = None) -> Version:
+        """``df`` is the whole new version. ``keys`` are needed when the table has slices.
+
+        M3: with ``limit`` the written rows are counted (from the files' footers, so ``df`` is computed once and a task that ran
+        twice counts once) and a larger result is deleted instead of committed.
+        """
         if self.slices > 1 and not keys:
             raise ValueError("a table with slices is written by its keys")
         base = self.current()
-        return self.commit(base, Version(folders=self._write(self._plain(df), keys), schema=df.schema.json(), batches=dict(base.batches)))
+        new = Version(folders=self._write(self._plain(df), keys), schema=df.schema.json(), batches=dict(base.batches))
+        if limit is not None:
+            n = self._read_folders(new, [f for fs in new.folders.values() for f in fs]).count()
+            if n > limit:
+                for load in {f.split("/")[0] for fs in new.folders.values() for f in fs}:
+                    fs, p = self._fs(f"{self.root}/data/{load}")
+                    fs.delete(p, True)
+                raise VolumeExceeded(f"volume guard: {n} rows, limit {limit}")
+        return self.commit(base, new)
 
     def _slots_of(self, df: DataFrame, keys: Sequence[str]) -> set[str]:
         """Slots that the rows of ``df`` belong to, as folder names (one row per slot reaches the driver)."""

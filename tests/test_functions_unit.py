@@ -51,6 +51,14 @@ def test_jitter_range_and_untouched(spark):
             assert r.j == r.v
 
 
+def test_jitter_is_the_same_in_any_layout(spark):
+    df = spark.range(0, 500).select("id", (F.col("id") % 5).alias("v"))
+    j = TF.jitter_small("v", key=["id"]).alias("j")
+    one = {r.id: r.j for r in df.coalesce(1).select("id", j).collect()}
+    assert one == {r.id: r.j for r in df.repartition(7, F.col("id") % 3).orderBy(F.desc("id")).select("id", j).collect()}
+    assert set(one.values()) == set(range(50, 59))
+
+
 def test_codes_and_criticality(spark):
     df = spark.createDataFrame([("M",), ("M  ",), ("MAB123",), ("PX0001",), ("ab",)], "j string")
     rows = df.select(T.app_code("j", "M").alias("a"), T.app_code("j", "M", test_len=1).alias("b"),

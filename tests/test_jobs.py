@@ -99,3 +99,28 @@ def test_service_lob_load(spark):
     look = spark.createDataFrame([("L12", "JOB_A")], "lob string, jobname string")
     got = sorted(tuple(r) for r in J.service_lob_load(spark, f"{d}/s.csv", look).collect())
     assert got == [("Cartoes XYZ", "L99", "XYZ", None), ("Pagamentos ABC", "L12", "ABC", "JOB_A")]
+
+
+def test_logs_with_failures_and_nothing_found(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from jobscope.operators.reconcile import held_outcomes
+    from jobscope.sources.sinks import gap_log
+
+    t0 = dt.datetime(2024, 1, 10)
+    held = spark.createDataFrame([("J1", "DS-A", "R1", t0, True), ("J2", "DS-A", "R2", t0, True), ("J3", "DS-A", "R3", dt.datetime(2024, 1, 17), True),
+                                  ("J4", "DS-A", "R4", t0, False), ("J5", None, "R5", t0, True), ("J6", "DS-A", "R6", dt.datetime(2024, 1, 16, 23), True)],
+                                 "job_name string, server_name string, run_id string, start_time timestamp, held boolean")
+    edges = spark.createDataFrame([("R2", "R9"), ("R9", "R2")], "src string, dst string")
+    got = sorted(tuple(r)[0:1] + tuple(r)[3:] for r in held_outcomes(held, edges, "2024-01-31 00:00:00").collect())
+    assert got == [("J1", "OK", None), ("J2", "NOK", "Rotina com sucessores"), ("J6", "OK", None)]
+    E = Estate(spark, sf_dir)
+    none = J.stale_cleanup(E.incident.limit(0), E.active, E.active.limit(0), E.edge, AS_OF_EVENTS)
+    assert [[(r.automation_id, r.status_id, r.job_name) for r in none[k].collect()] for k in ("log", "single_log", "held_log")] == [
+        [(4, -1, None)], [(4, -1, None)], [(6, -1, None)]]
+    gaps = spark.createDataFrame([("A", "1", "DS-A"), ("B", "2", "DS-A")], "job_name string, run_id string, server_name string")
+    bad = spark.createDataFrame([("B", "2", "HTTP 500")], "job_name string, run_id string, error_message string")
+    inc = spark.createDataFrame([("INC9", "DS-A", "A"), ("INC8", "DS-A", "A")], "number string, u_datacenter string, u_orderid string")
+    log = sorted((r.job_name, r.status_id, r.incidents, r.old_value, r.error_message) for r in gap_log(gaps, AS_OF_EVENTS, bad, inc).collect())
+    assert log == [("A", 1, "INC8", "Event Opened", None), ("B", 2, None, None, "HTTP 500")]
+    assert [(r.automation_id, r.status_id) for r in gap_log(gaps.filter(F.lit(False)), AS_OF_EVENTS).collect()] == [(5, -1)]

@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
-from jobscope.sources.stored import StoredTable, Version, VersionConflict
+from jobscope.sources.sinks import write_per_key_bucketed
+from jobscope.sources.stored import StoredTable, Version, VersionConflict, VolumeExceeded
 
 SCHEMA = "dc string, k int, v string, d timestamp"
 
@@ -140,3 +141,25 @@ def test_reserved_columns_and_missing_tables(spark, root):
         t.replace(spark.createDataFrame([(1,)], "load int"))
     t.replace(_rows(spark, []))
     assert t.read().count() == 0 and t.read().columns == ["dc", "k", "v", "d"]
+
+
+def test_volume_guard_counts_the_written_rows(spark, root):
+    t = StoredTable(spark, root, "dc")
+    t.replace(_rows(spark, [("A", 0, "x")]), limit=1)
+    before = _files(root)
+    with pytest.raises(VolumeExceeded):
+        t.replace(_rows(spark, [("A", k, "y") for k in range(3)]), limit=2)
+    assert _content(t) == [("A", 0, "x")] and t.versions() == [1] and _files(root) == before
+
+
+def test_bucketed_files_do_not_grow_with_the_jobs(spark, root):
+    rows = spark.range(6000).selectExpr("concat('job', id % 1500) as job", "id as v").unionAll(
+        spark.range(500).selectExpr("'hot' as job", "id as v")).unionAll(spark.range(3).selectExpr("cast(null as string)", "id"))
+    index = write_per_key_bucketed(rows, root, "job", 4, min_rows=2, max_records_per_file=2000)
+    got = {}
+    for r in index.collect():
+        got[r.job] = got.get(r.job, 0) + r.rows
+    assert got == {**{f"job{k}": 4 for k in range(1500)}, "hot": 500, None: 3}
+    assert index.select("file").distinct().count() <= 8
+    files = [r.file for r in index.where("job = 'hot'").collect()]
+    assert spark.read.parquet(*files).where("job = 'hot'").count() == 500
