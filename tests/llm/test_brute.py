@@ -123,10 +123,47 @@ def test_word_tokenizer_on_odd_texts():
     from tokenizers import Tokenizer
 
     tok, own = Tokenizer.from_file(queries.vocabulary()), packing.WordTokenizer(queries.vocabulary())
-    for t in ("It's  a test", "Ábc ́x", "<|endoftext|> a<|ENDOFTEXT|>", "x\x1cy z", "ΣΑΣ İstanbul ß µ", "　日本 12 3½", "you'll WE'RE", " "):
+    for t in ("It's  a test", "Ábc ́x", "<|endoftext|> a<|ENDOFTEXT|>", "x\x1cy z", "ΣΑΣ İstanbul ß µ", "　日本 12 3½", "you'll WE'RE", " ",
+              "L'ÉTÉ «déjà»--'s ª1²3 µÞß ×÷\xad x_y __ 'S'T\t\x0bend\r\n", "caf\xa0é\x85z", "".join(map(chr, range(33, 127))) + "".join(map(chr, range(161, 256)))):
         assert np.frombuffer(own.ids(t), own.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_every_latin_pair_tokenises_alike():
+    from tokenizers import Tokenizer
+
+    tok, own = Tokenizer.from_file(queries.vocabulary()), packing.WordTokenizer(queries.vocabulary())
+    some = [*"aZ9 '_<|-\n", *map(chr, range(0xa1, 0x100))]
+    text = " ".join(a + b + c for a in "a1'-s" for b in some for c in some)
+    assert packing._LATIN.fullmatch(text)
+    for part in (text[i:i + 5000] for i in range(0, len(text), 5000)):
+        assert np.frombuffer(own.ids(part), own.dtype).tolist() == tok.encode(part, add_special_tokens=False).ids
+
+
+def test_memo_and_stretches_change_nothing(monkeypatch):
+    whole = packing.WordTokenizer(queries.vocabulary())
+    text = " ".join(f"Word{i % 37}x, {'日本' if i % 50 == 0 else ''}(it's)\n" for i in range(900)) + "z" * 500
+    want = whole.ids(text)
+    monkeypatch.setattr(packing, "STRETCH", 100), monkeypatch.setattr(packing, "MEMO_WORDS", 5)
+    small = packing.WordTokenizer(queries.vocabulary())
+    assert small.ids(text) == want and len(small.pieces) <= 6 and len(small.pieces.older) <= 6
+
+
+def test_equal_rows_and_long_texts_spread_over_groups(spark):
+    from jobscope.llm.common import written
+
+    same = written(spark.range(20_000).selectExpr("cast(null as long) as doc_id", "'one two three' as text"))
+    rows = packing.pack(same, queries.vocabulary()).selectExpr("sequence_id div 4294967296 as grp", "length").groupBy("grp").agg({"length": "sum"}).collect()
+    sizes = sorted(r[1] for r in rows)
+    assert len(sizes) == 10 and sum(sizes) == 4 * 20_000 and sizes[-1] < 1.3 * sizes[0]
+    n = packing.LONG * 2 + 77
+    long = written(spark.createDataFrame([(1, "a " * n), (2, "b"), (3, None)], "doc_id long, text string"))
+    got = packing.pack(long, queries.vocabulary(), group_bytes=1 << 17, with_ids=True).where("doc_id = 1").orderBy("start").collect()
+    assert got[0].start == 0 and all(a.start + a.length == b.start for a, b in zip(got, got[1:]))
+    assert sum(r.length for r in got) == n + 1 == got[0].doc_tokens and len({r.sequence_id >> 32 for r in got}) > 1
+    ids = np.concatenate([np.frombuffer(bytes(r.ids), "<u4") for r in got])
+    assert len(set(ids[:-1].tolist())) == 1 and ids[-1] == packing.END
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = np.random.default_rng(1)
     n = rng.integers(1, 100, 300).tolist()
