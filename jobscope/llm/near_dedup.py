@@ -139,7 +139,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    full = written(_set_rows(docs, ids, words), "sets")
+    full = _set_rows(docs, ids, words)
     x, y = (full.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     out = written(pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, PAIR),
                   "links")
@@ -147,8 +147,33 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return out
 
 
+def _maybe_in(rows: DataFrame, ids: DataFrame, bits_per_id: int = 32, max_bits: int = 1 << 28) -> DataFrame:
+    """``rows`` (id, text) whose id may be in ``ids``: all that are, and a few others; a filter before the shuffle.
+
+    One bit per hash value, at most ``max_bits`` (32 MB) whatever the number of ids: beyond that
+    more rows pass, and the join that follows is as right as before.
+    """
+    size = 1 << min(max_bits.bit_length() - 1, max(16, (ids.count() * bits_per_id).bit_length()))
+    at = F.pmod(F.xxhash64("id.d", "id.t"), F.lit(size))
+    words = ids.select(at.alias("at")).groupBy(F.expr("at div 32").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("bits")).toPandas()
+    table = np.zeros(size // 32, np.uint32)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    known = rows.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = known.value
+        for b in batches:
+            x = b.column(2).to_numpy(zero_copy_only=False)
+            yield b.select(["id", "text"]).filter(pa.array((bits[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1))
+
+    return rows.select("id", "text", at.alias("at")).mapInArrow(run, f"id {NODE}, text string")
+
+
 def _set_rows(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(id, shingles) of the documents in ``ids``."""
+    """(id, shingles) of the documents in ``ids``, as a written table; other texts, but for a few, are not shuffled."""
+    ids = written(ids, "ids")
+    near = _maybe_in(docs.select(F.col("doc_id").alias("id"), "text"), ids)
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 500):
@@ -157,8 +182,10 @@ def _set_rows(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                     [s.column(0), pa.array([shingle_hashes(t, words).tobytes() for t in s.column(1).to_pylist()],
                                            pa.binary())], names=["id", "shingles"])
 
-    return docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(
-        sets, f"id {NODE}, shingles binary")
+    out = written(near.join(ids, "id", "left_semi").mapInArrow(
+        sets, f"id {NODE}, shingles binary"), "sets")
+    discard(ids)
+    return out
 
 
 def spanning_links(rep: np.ndarray, comp: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], left: np.ndarray,
@@ -217,7 +244,7 @@ def _across(left: DataFrame, heads: DataFrame, docs: DataFrame, words: int, perc
     cluster = components(left.join(low, "key").select(F.col("rep").alias("a"), F.col("low").alias("b")))
     cluster = cluster.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     rows = written(left.select("rep", "comp").distinct().join(cluster, "rep"), "clusters")
-    sets = _set_rows(docs, rows.select(F.col("rep").alias("id")), words)
+    sets = _set_rows(docs, rows.select(F.col("rep").alias("id")).distinct(), words)
     size = rows.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     rows = (rows.join(size, "cluster").join(heads.select(F.col("doc_id").alias("rep"), "bits"), "rep")
             .join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
@@ -267,8 +294,13 @@ def _groups(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = BAN
 
 
 def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; see the module text."""
-    return _groups(docs, **settings).select(F.col("node.d").alias("doc_id"), "n_shingles", F.col("component.d").alias("component_id"), "kept")
+    """(doc_id, n_shingles, component_id, kept) of every row; see the module text.
+
+    ``kept`` says whether the id is its component's smallest (true for null ids); :func:`keep_one` also chooses among rows of one id.
+    """
+    own, least = F.col("node.d"), F.col("component.d")
+    return _groups(docs, **settings).select(own.alias("doc_id"), "n_shingles", least.alias("component_id"),
+                                            F.coalesce(own == least, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:

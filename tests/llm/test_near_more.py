@@ -28,3 +28,13 @@ def test_links_across_blocks_carry_the_text_hash(spark):
     links = near_dedup._across(left, sig, docs.select(near_dedup._node("doc_id", "text").alias("doc_id"), "text"), 5, 75, block=4).collect()
     assert links and all(x.a < x.b for x in links)
     assert near_dedup.keep_one(docs).count() == 1
+
+
+def test_filter_before_the_shuffle_keeps_every_wanted_row(spark):
+    rows = spark.range(20_000).selectExpr("named_struct('d', id % 15000, 't', id * 7919) as id", "concat('x', id) as text")
+    ids = rows.where("id.t % 40 = 0").select("id")
+    for bits in (32, 1):  # a crowded table lets more rows pass, never fewer
+        got = near_dedup._maybe_in(rows, ids, bits_per_id=bits)
+        assert got.join(ids, "id", "left_semi").count() == ids.count() == 500
+        assert got.count() < (700 if bits == 32 else 20_000)
+    assert near_dedup._maybe_in(rows, ids.limit(0)).count() == 0
