@@ -185,11 +185,13 @@ WITH base AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS
 pos AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM base),
 seq AS (SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k
         FROM pos WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-two AS (SELECT a.doc_id, a.k, a.pos AS p1, b.pos AS p2, a.line AS l1, b.line AS l2
-        FROM seq a JOIN seq b ON a.doc_id = b.doc_id AND b.k = a.k + 1
-        WHERE length(a.line) + length(b.line) >= 60),
-later AS (SELECT doc_id, p1, p2, row_number() OVER (PARTITION BY l1, l2 ORDER BY doc_id, k) AS r FROM two),
-gone AS (SELECT doc_id, p1 AS pos FROM later WHERE r > 1 UNION SELECT doc_id, p2 FROM later WHERE r > 1),
+sums AS (SELECT *, sum(length(line)) OVER (PARTITION BY doc_id ORDER BY k) AS upto, length(line) AS chars FROM seq),
+-- the shortest runs of 60 characters or more that start at a line, and those that end at one
+runs AS (SELECT a.doc_id, a.k AS k, min(b.k) AS e FROM sums a ASOF JOIN sums b ON a.doc_id = b.doc_id AND a.upto - a.chars + 60 <= b.upto GROUP BY ALL
+         UNION SELECT b.doc_id, max(a.k), b.k FROM sums b ASOF JOIN sums a ON a.doc_id = b.doc_id AND b.upto - 60 >= a.upto - a.chars GROUP BY ALL),
+whole AS (SELECT doc_id, list(line ORDER BY k) AS ws FROM seq GROUP BY doc_id),
+later AS (SELECT r.doc_id, k, e, row_number() OVER (PARTITION BY ws[k:e] ORDER BY r.doc_id, k) AS r FROM runs r JOIN whole USING (doc_id)),
+gone AS (SELECT DISTINCT s.doc_id, s.pos FROM (SELECT doc_id, unnest(range(k, e + 1)) AS k FROM later WHERE r > 1) JOIN seq s USING (doc_id, k)),
 kept AS (SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.pos) AS text FROM pos p ANTI JOIN gone USING (doc_id, pos)
          GROUP BY p.doc_id),
 n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
