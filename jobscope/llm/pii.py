@@ -6,7 +6,9 @@ by digits, letters by letters of the same case and script, punctuation and layou
 type is kept too: an email's top-level domain, a phone's country code, an IBAN's country, octets
 below 256, and a card's check digit is valid exactly if it was. Names are made of syllables in their own
 script, given names and Cyrillic family names with the gender of the title; a family name gets the same
-surrogate with or without the given name.
+surrogate with or without the given name. Numbers are drawn without their layout and then laid out as each
+was written: one card, account or phone number printed with and without groups is one entity. Names are found after a
+title only ("John Miller lives here" stays); emails are entities by their exact characters.
 
 The distinct entities of the corpus form a table; surrogates that equal another's or any
 real value are drawn again with the next attempt number until none does, so different entities stay
@@ -46,7 +48,7 @@ KINDS = {
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
-    "phone": r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)[ \-.]?)?\d{2,4}(?:[ \-.]?\d{2,4}){1,3}|(?<!\d)(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)",
+    "phone": r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)[ \-.]?)?\d{2,4}(?:[ \-.]?\d{2,4}){1,3}(?!\d)|(?<!\d)(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)",
     "name": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
 # One character decides which kinds can start at a place, so most places cost one test each; an
@@ -57,6 +59,10 @@ STARTS = {
 }
 PATTERNS = {k: f"(?:{STARTS[k]}(?:{p}))" for k, p in KINDS.items()}
 ENTITY = "|".join(PATTERNS.values())
+# Calling codes: two of one digit, the two-digit ones, and three digits for all others.
+CALLING_CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+LAID_OUT = ("card", "iban", "phone", "ssn")  # kinds whose layout is no part of the entity
+LAYOUT = r"[ .()\-]"
 GROW = 4  # attempts before a surrogate may leave the size of its value, and between further steps
 ALPHABETS = (  # characters, and what replaces them
     ("[0-9]", "0123456789"), ("[a-zß-öø-ÿ]", "abcdefghijklmnopqrstuvwxyz"), ("[A-ZÀ-ÖØ-Þ]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
@@ -154,12 +160,26 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
                   F.concat(F.upper(F.substr(stream, F.lit(7), F.length(value))), more("0123456789ABCDEF")))
             .when(kind == "secret", F.concat(_letters(value, stream, F.lit(0)), more("bcdfghjklmnpqrst")))
             .when(kind == "iban", _letters(value, stream, F.lit(2)))
-            .when(kind == "phone", F.concat(_letters(value, stream, F.length(F.regexp_extract(value, r"^(\+\d{1,3}(?=\D))?", 0))), more("0123456789012345")))
+            .when(kind == "phone", F.concat(_letters(value, stream, F.length(F.regexp_extract(value, CALLING_CODE, 0))), more("0123456789012345")))
             .when(kind == "ssn", F.concat(_letters(value, stream, F.lit(0)), more("0123456789012345")))
             .when(kind.rlike("^(given|family)"), _name(kind, value, stream, step))
             .otherwise(_letters(value, stream, F.lit(0))))
 
 
+def _bare(kind: Column, value: Column) -> Column:
+    """The entity itself: a number without its layout."""
+    return F.when(kind.isin(*LAID_OUT), F.regexp_replace(value, LAYOUT, "")).otherwise(value)
+
+
+def _laid_out(kind: Column, value: Column, bare: Column) -> Column:
+    """The surrogate ``bare`` in the layout of ``value``; what it has grown by stands at the end."""
+    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("n"))
+    return F.when(~kind.isin(*LAID_OUT), bare).otherwise(F.aggregate(F.split(value, ""), start, lambda a, c: F.when(
+        c.rlike(LAYOUT), F.struct(F.concat(a["done"], c).alias("done"), a["n"].alias("n"))).otherwise(
+        F.struct(F.concat(a["done"], F.substr(bare, a["n"] + 1, F.lit(1))).alias("done"), (a["n"] + 1).alias("n"))),
+        lambda a: F.concat(a["done"], F.substr(bare, a["n"] + 1))))
+
+
 def _part(kind: Column | str, value: Column) -> Column:
     return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), value.alias("value"))
 
@@ -225,12 +245,15 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     gaps, found = F.split(t, ENTITY, -1), F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))
     parts = F.flatten(F.zip_with(gaps, found, lambda g, m: F.concat(
         F.array(_part("", g)), F.when(m.isNotNull(), _parts(m)).otherwise(F.array().cast("array<struct<kind:string,value:string>>")))))
-    dirty = docs.where(hit).select("*", F.xxhash64(t).alias(tid), parts.alias(seq))
+    # the parts hold the text, so the long search runs once and the text itself need not be written
+    dirty = written(docs.where(hit).select(*(c for c in docs.columns if c != text), F.xxhash64(t).alias(tid), parts.alias(seq)), "parts")
     places = dirty.select(F.col(tid).alias("tid"), F.posexplode(F.filter(seq, lambda p: p["kind"] != "")).alias("at", "p")).select(
         "tid", "at", "p.kind", "p.value")
-    places = written(places.groupBy("tid", "at").agg(F.first("kind").alias("kind"), F.first("value").alias("value")), "entities")
+    places = written(places.groupBy("tid", "at").agg(F.first("kind").alias("kind"), F.first("value").alias("as_written")).withColumn(
+        "value", _bare(F.col("kind"), F.col("as_written"))), "entities")
     given = _distinct_surrogates(places.select("kind", "value").distinct(), key, rounds)
-    new_of = places.join(given, ["kind", "value"]).groupBy("tid").agg(
+    made = _laid_out(F.col("kind"), F.col("as_written"), F.col("surrogate")).alias("surrogate")
+    new_of = places.join(given, ["kind", "value"]).select("tid", "at", made).groupBy("tid").agg(
         F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("s"))
     rows = dirty.join(new_of.select(F.col("tid").alias(tid), F.col("s.surrogate").alias(new)), tid)
     # literals with the surrogates between them: every entity part is met in order
