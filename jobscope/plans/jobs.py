@@ -2,7 +2,8 @@
 
 Each function takes DataFrames (or paths for landed files) and returns the
 frames the job would write; writing is left to the caller (``sources.sinks``),
-so the same plan runs in tests and in production. Catalogue (PL5), criticality
+so the same plan runs in tests and in production. Only the execution load (PL3)
+writes a table of its own, which its steps share. Catalogue (PL5), criticality
 check (PL13) and service summary (PL6) live in ``catalogue`` and ``services``.
 """
 
@@ -21,6 +22,7 @@ from jobscope.operators.seasonality import seasonality
 from jobscope.plans.expression_queries import EXEC_REPORT_SCHEMA, WHEN_PHRASES
 from jobscope.sources import sinks as S
 from jobscope.sources.reports import read_report
+from jobscope.sources.scratch import keep
 
 ALERT_FIELDS = ["serial", "alert_key", "node", "node_alias", "agent", "alert_group", "x7", "application", "manager",
                 "server", "severity", "summary", "first_occurrence", "last_occurrence", "internal_last", "poll",
@@ -58,6 +60,9 @@ def load_executions(lines: DataFrame, as_of, current: DataFrame | None = None, p
     ``executions`` is the full table with the repair time written back (J5) and
     ``latest`` its latest run per job (J6), end date and time apart; ``open`` is the recent
     table without ``MP%`` and ``CREATED`` rows (P9), purged after ``purge_days`` (M1).
+
+    The loaded table is written once and every later step reads it: a lazy one would be parsed and
+    reduced again by each of them, in other plans (filters moved below the parse), so no shuffle is shared.
     """
     rec = lines.select(F.from_csv(T.drop_comma_in_date("value"), EXEC_REPORT_SCHEMA, {"quote": '"'}).alias("r"))
     start, end = TF.parse_report_ts(F.trim("r.c8")), TF.parse_report_ts(F.trim("r.c9"))
@@ -69,7 +74,7 @@ def load_executions(lines: DataFrame, as_of, current: DataFrame | None = None, p
         F.trim("r.c11").alias("completion_status"), F.trim("r.c12").alias("average_cpu_time"),
         F.trim("r.c13").alias("order_id"), TF.duration_s(end, start).alias("runtime_s"))
     keys = ["data_center", "order_id", "job_name", "rerun_counter"]
-    table = R.upsert(current.drop("mttr_s") if current is not None else None, typed, keys, "end_time")
+    table = keep(R.upsert(current.drop("mttr_s") if current is not None else None, typed, keys, "end_time"), "executions")
     recent = R.keep_unless(table, F.col("data_center").startswith("MP") | (F.col("sched_table") == "CREATED"))
     mttr = R.mttr(table, as_of, 10)
     latest = R.latest_execution(table).select("data_center", "job_name", "end_time",
