@@ -106,8 +106,13 @@ class StoredTable:
         new.number = max(used, default=0) + 1
         new.written_ms = int(time.time() * 1000)
         fs, p = self._fs(f"{self.root}/versions/{new.number:09d}.json")
+        # a local file system looks for the file first and then creates it, so two writers can pass: the name is taken there by
+        # the atomic call, and stays an unfinished manifest until it is written
+        local = fs.getUri().getScheme() == "file" and fs.mkdirs(p.getParent())
+        if local and not self.spark._jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).createNewFile():
+            raise VersionConflict(f"{self.root}: version {new.number} was taken")
         try:
-            out = fs.create(p, False)  # exclusive: fails where the file exists
+            out = fs.create(p, local)  # elsewhere exclusive: fails where the file exists
         except Exception as e:  # noqa: BLE001 - the JVM's file-exists error, in whatever class the file system raises
             raise VersionConflict(f"{self.root}: version {new.number} was taken") from e
         try:
